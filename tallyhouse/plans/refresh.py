@@ -1,0 +1,133 @@
+"""The refresh job (N12): source → (staging ∥ audit) → marts → cohort.
+
+Every stage is written as a full-replace Parquet table and the next stage
+reads that table back, so lineage is cut at each layer and a lost executor
+only recomputes work since the last written table. The audit reads the
+source tables, not staging, and runs concurrently with staging (two Spark
+jobs from two driver threads); an audit failure is reported but does not
+stop the marts, a staging failure does.
+"""
+
+from __future__ import annotations
+
+import logging
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tallyhouse.plans.audit import data_quality_issues
+from tallyhouse.plans.cohort import cohort_retention
+from tallyhouse.plans.marts import category_performance, monthly_revenue_by_country, user_segments
+from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
+from tallyhouse.plans.staging import stg_orders, stg_products, stg_users
+from tallyhouse.sources.sinks import write_table
+from tallyhouse.sources.tables import raw_sources
+
+log = logging.getLogger(__name__)
+
+STAGING = ("stg_orders", "stg_products", "stg_users")
+REFERENCE = ("ref_allowed_status", "ref_allowed_age_group", "issue_catalog")
+MARTS = ("monthly_revenue_by_country", "category_performance", "user_segments")
+
+
+@dataclass
+class RefreshResult:
+    out: str
+    written: dict[str, str] = field(default_factory=dict)
+    errors: dict[str, str] = field(default_factory=dict)
+
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(self.written[name])
+
+
+def _path(out: str, layer: str, name: str) -> str:
+    return f"{out.rstrip('/')}/{layer}/{name}"
+
+
+def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
+            run_audit: bool = True) -> RefreshResult:
+    """Run the whole chain; returns where each table was written.
+
+    ``source`` is a folder (raw_* tables, or the driver's tables they are
+    derived from) or a dict of the three raw DataFrames. ``out`` must be a
+    shared folder on a cluster (e.g. under ``spark.checkpoint.dir``).
+    """
+    raw = raw_sources(spark, source) if isinstance(source, str) else source
+    result = RefreshResult(out=out)
+
+    def run_staging() -> None:
+        tables = {
+            "stg_orders": stg_orders(raw["raw_orders"]),
+            "stg_products": stg_products(raw["raw_products"]),
+            "stg_users": stg_users(raw["raw_users"]),
+        }
+        for name, df in tables.items():
+            result.written[name] = write_table(df, _path(out, "staging", name))
+
+    def run_audit_phase() -> None:
+        refs = {"ref_allowed_status": ref_allowed_status(spark),
+                "ref_allowed_age_group": ref_allowed_age_group(spark),
+                "issue_catalog": issue_catalog(spark)}
+        for name, df in refs.items():
+            result.written[name] = write_table(df.coalesce(1), _path(out, "audit", name))
+        back = {name: spark.read.parquet(result.written[name]) for name in refs}
+        issues = data_quality_issues(spark, raw["raw_orders"], raw["raw_products"], raw["raw_users"],
+                                     ref_status=back["ref_allowed_status"],
+                                     ref_age_group=back["ref_allowed_age_group"],
+                                     catalog=back["issue_catalog"], ordered=True)
+        result.written["data_quality_issues"] = write_table(issues.coalesce(1),
+                                                            _path(out, "audit", "data_quality_issues"))
+
+    # phase 1: staging and audit side by side
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        staging_future = pool.submit(run_staging)
+        audit_future = pool.submit(run_audit_phase) if run_audit else None
+        if audit_future is not None:
+            try:
+                audit_future.result()
+            except Exception as exc:  # reported, not swallowed: marts still run
+                log.error("audit phase failed: %s", exc)
+                result.errors["audit"] = repr(exc)
+        staging_future.result()  # a staging failure stops the job
+
+    # phase 2: marts from the written staging tables
+    orders = result.table(spark, "stg_orders")
+    products = result.table(spark, "stg_products")
+    users = result.table(spark, "stg_users")
+    marts = {
+        "monthly_revenue_by_country": monthly_revenue_by_country(orders, users, ordered=True).coalesce(1),
+        "category_performance": category_performance(orders, products, ordered=True).coalesce(1),
+        "user_segments": user_segments(users, orders),
+    }
+    for name, df in marts.items():
+        result.written[name] = write_table(df, _path(out, "analytics", name))
+
+    # phase 3: cohort from the written user_segments and staged orders
+    cohort = cohort_retention(result.table(spark, "user_segments"), orders, ordered=True).coalesce(1)
+    result.written["cohort_retention"] = write_table(cohort, _path(out, "analytics", "cohort_retention"))
+    return result
+
+
+def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
+    import argparse
+
+    from tallyhouse.session import build_session
+
+    ap = argparse.ArgumentParser(description="run the staging → audit → marts → cohort refresh")
+    ap.add_argument("source")
+    ap.add_argument("out")
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = build_session(args.master)
+    res = refresh(spark, args.source, args.out)
+    for name, path in res.written.items():
+        print(f"{name}\t{path}")
+    for name, err in res.errors.items():
+        print(f"ERROR {name}\t{err}")
+    if res.errors:
+        raise SystemExit(1)
+
+
+if __name__ == "__main__":  # pragma: no cover
+    main()
