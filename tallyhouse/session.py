@@ -27,7 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     ``shuffle_partitions`` to roughly input bytes / 128 MB (AQE coalesces
     the small ones at runtime).
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
