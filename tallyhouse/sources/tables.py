@@ -4,7 +4,6 @@ raw_* source views."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +24,19 @@ SOURCE_COLUMNS = {
 }
 
 
-def table_path(base: str, name: str) -> str:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path's scheme
+    (local, HDFS, object stores alike)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return bool(hpath.getFileSystem(conf).exists(hpath))
+
+
+def table_path(spark: SparkSession, base: str, name: str) -> str:
     """``<base>/<name>.parquet`` when that exists (driver layout), else ``<base>/<name>``."""
-    single = os.path.join(base, f"{name}.parquet") if "://" not in base else f"{base}/{name}.parquet"
-    if "://" in base or os.path.exists(single):
-        return single
-    return os.path.join(base, name)
+    single = f"{base.rstrip('/')}/{name}.parquet"
+    return single if path_exists(spark, single) else f"{base.rstrip('/')}/{name}"
 
 
 def read_table(spark: SparkSession, base: str, name: str,
@@ -43,7 +49,7 @@ def read_table(spark: SparkSession, base: str, name: str,
     mapping). Both are expressed as DataFrame operations so they land in the
     scan as ``ReadSchema`` and ``PushedFilters``.
     """
-    df = spark.read.parquet(table_path(base, name))
+    df = spark.read.parquet(table_path(spark, base, name))
     for column, values in (where or {}).items():
         df = df.filter(F.col(column).isin(list(values)))
     if columns:
@@ -63,7 +69,7 @@ def read_csv_typed(spark: SparkSession, path: str, columns: Sequence[str],
 
 def _view(spark: SparkSession, base: str, view: str) -> DataFrame:
     text, inputs = VIEW_INPUTS[view]
-    frames = {name: spark.read.parquet(table_path(base, name)) for name in inputs}
+    frames = {name: spark.read.parquet(table_path(spark, base, name)) for name in inputs}
     return spark.sql(text, **frames)
 
 
@@ -88,8 +94,9 @@ def raw_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     the driver's TPC-H-like tables."""
     out = {}
     for view in RAW_TABLES:
-        landed = os.path.join(base, view)
-        if "://" not in base and (os.path.isdir(landed) or os.path.exists(landed + ".parquet")):
+        landed = path_exists(spark, f"{base.rstrip('/')}/{view}") or \
+            path_exists(spark, f"{base.rstrip('/')}/{view}.parquet")
+        if landed:
             out[view] = read_table(spark, base, view, columns=SOURCE_COLUMNS[view])
         else:
             out[view] = _view(spark, base, view)
