@@ -23,7 +23,7 @@ from tallyhouse.oracle import oracle_queries  # noqa: E402
 from tallyhouse.operators.profile import duplicates, orphans  # noqa: E402
 from tallyhouse.operators.dedup import keep_best, tie_breakers  # noqa: E402
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
-from tallyhouse.plans.refresh import refresh  # noqa: E402
+from tallyhouse.plans.job import refresh  # noqa: E402
 from tallyhouse.session import apply_conf, shared_dir  # noqa: E402
 from tallyhouse.functions.exprs import parse_bool, status_norm, try_date  # noqa: E402
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources  # noqa: E402

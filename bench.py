@@ -22,7 +22,7 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
-from tallyhouse.plans.refresh import refresh  # noqa: E402
+from tallyhouse.plans.job import refresh  # noqa: E402
 from tallyhouse.session import build_session, shared_dir  # noqa: E402
 from tallyhouse.sources.sinks import write_table  # noqa: E402
 from tallyhouse.sources.tables import RAW_TABLES, raw_sources  # noqa: E402

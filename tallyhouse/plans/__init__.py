@@ -14,4 +14,4 @@ from tallyhouse.plans.marts import (  # noqa: F401
     user_segments,
 )
 from tallyhouse.plans.cohort import cohort_retention  # noqa: F401
-from tallyhouse.plans.refresh import refresh  # noqa: F401
+from tallyhouse.plans.job import refresh  # noqa: F401

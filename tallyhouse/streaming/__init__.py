@@ -2,6 +2,6 @@
 
 The source project is a full-reload daily batch (every table is replaced on
 each run); it has no watermark, time window, stateful operator or late-data
-logic. A scheduled ``tallyhouse.plans.refresh.refresh`` run is the whole
+logic. A scheduled ``tallyhouse.plans.job.refresh`` run is the whole
 data flow.
 """
