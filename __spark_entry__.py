@@ -24,6 +24,7 @@ from tallyhouse.operators.profile import duplicates, orphans  # noqa: E402
 from tallyhouse.operators.dedup import keep_best, tie_breakers  # noqa: E402
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
 from tallyhouse.plans.job import refresh  # noqa: E402
+from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status  # noqa: E402
 from tallyhouse.session import apply_conf, shared_dir  # noqa: E402
 from tallyhouse.functions.exprs import parse_bool, status_norm, try_date  # noqa: E402
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources  # noqa: E402
@@ -106,21 +107,18 @@ def q_dedup_orders(spark, sf_dir):
 
 def _audit_prep(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status
-    return (audit.orders_prep(raw["raw_orders"], ref_allowed_status(spark)),
-            audit.products_prep(raw["raw_products"]),
-            audit.users_prep(raw["raw_users"], ref_allowed_age_group(spark)))
+    return (audit.orders_prep(raw["raw_orders"]), audit.products_prep(raw["raw_products"]),
+            audit.users_prep(raw["raw_users"]))
 
 
 def q_issues_long(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status
     return audit.issues_long(raw["raw_orders"], raw["raw_products"], raw["raw_users"],
                              ref_allowed_status(spark), ref_allowed_age_group(spark))
 
 
 def q_orders_profile(spark, sf_dir):
-    return audit.orders_profile(_audit_prep(spark, sf_dir)[0])
+    return audit.orders_profile(_audit_prep(spark, sf_dir)[0], ref_allowed_status(spark))
 
 
 def q_products_profile(spark, sf_dir):
@@ -128,7 +126,7 @@ def q_products_profile(spark, sf_dir):
 
 
 def q_users_profile(spark, sf_dir):
-    return audit.users_profile(_audit_prep(spark, sf_dir)[2])
+    return audit.users_profile(_audit_prep(spark, sf_dir)[2], ref_allowed_age_group(spark))
 
 
 def q_duplicate_keys(spark, sf_dir):

@@ -34,15 +34,18 @@ def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str | None =
 
     ``left`` is first reduced to (key, row count) — map-side combined, so even
     a key holding a third of all rows ships one row per task — and ``right``
-    to its distinct keys; the anti join then runs on the two key sets, both
-    already hash-partitioned on the key.
+    to its distinct keys; only these two key sets meet in the join. The join
+    is written as left outer + "no match" filter: as a ``left_anti`` join the
+    optimizer would push it below the aggregate and shuffle every raw row.
     """
     rk = right_key or key
     left_keys = (left.filter(F.col(key).isNotNull())
                      .groupBy(key).agg(F.count(F.lit(1)).alias("__n")))
     right_keys = (right.filter(F.col(rk).isNotNull())
-                       .select(F.col(rk).alias(key)).distinct())
-    return (left_keys.join(right_keys, on=key, how="left_anti")
+                       .select(F.col(rk).alias(key)).distinct()
+                       .withColumn("__hit", F.lit(True)))
+    return (left_keys.join(right_keys, on=key, how="left")
+                     .filter(F.col("__hit").isNull())
                      .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
 
 

@@ -17,12 +17,10 @@ from tallyhouse.operators.profile import duplicates, orphans, profile, to_long
 from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
 
 
-def orders_prep(orders: DataFrame, ref_status: DataFrame) -> DataFrame:
-    """Trimmed keys and typed measures of the source orders, with the matching
-    row of the allowed-status code list (broadcast: a code list is small)."""
+def orders_prep(orders: DataFrame) -> DataFrame:
+    """Trimmed keys and typed measures of the source orders."""
     status = blank("status")
-    ref = F.broadcast(ref_status.select(F.col("status").alias("status_in_catalog")))
-    prep = orders.select(
+    return orders.select(
         blank("order_id").alias("order_id"),
         blank("user_id").alias("user_id"),
         blank("product_id").alias("product_id"),
@@ -33,7 +31,6 @@ def orders_prep(orders: DataFrame, ref_status: DataFrame) -> DataFrame:
         try_num("revenue_czk", 18, 2).alias("revenue_n"),
         try_num("discount_pct", 10, 4).alias("discount_n"),
     )
-    return prep.join(ref, F.col("status_in_catalog") == F.col("status_norm"), "left")
 
 
 def products_prep(products: DataFrame) -> DataFrame:
@@ -46,21 +43,26 @@ def products_prep(products: DataFrame) -> DataFrame:
     )
 
 
-def users_prep(users: DataFrame, ref_age_group: DataFrame) -> DataFrame:
-    ref = F.broadcast(ref_age_group.select(F.col("age_group").alias("age_group_in_catalog")))
-    prep = users.select(
+def users_prep(users: DataFrame) -> DataFrame:
+    return users.select(
         blank("user_id").alias("user_id"),
         blank("country").alias("country"),
         blank("acquisition_channel").alias("acquisition_channel"),
         blank("registered_at").alias("registered_at"),
         blank("age_group").alias("age_group"),
-        F.trim("age_group").alias("__age_trimmed"),
+        F.trim("age_group").alias("age_trimmed"),
     )
-    return (prep.join(ref, F.col("age_group_in_catalog") == F.col("__age_trimmed"), "left")
-                .drop("__age_trimmed"))
 
 
-def orders_profile(o: DataFrame) -> DataFrame:
+def _lookup(df: DataFrame, code_list: DataFrame, list_col: str, on: str, as_name: str) -> DataFrame:
+    """Left join to a code list (broadcast: code lists are small); ``as_name``
+    is NULL where the value is not in the list."""
+    ref = F.broadcast(code_list.select(F.col(list_col).alias(as_name)))
+    return df.join(ref, F.col(as_name) == F.col(on), "left")
+
+
+def orders_profile(o: DataFrame, ref_status: DataFrame) -> DataFrame:
+    o = _lookup(o, ref_status, "status", "status_norm", "status_in_catalog")
     status, norm = F.col("status"), F.col("status_norm")
     in_catalog = F.col("status_in_catalog").isNotNull()
     return profile(o, {
@@ -90,7 +92,8 @@ def products_profile(p: DataFrame) -> DataFrame:
     })
 
 
-def users_profile(u: DataFrame) -> DataFrame:
+def users_profile(u: DataFrame, ref_age_group: DataFrame) -> DataFrame:
+    u = _lookup(u, ref_age_group, "age_group", "age_trimmed", "age_group_in_catalog")
     return profile(u, {
         "null_in_key_user_id": F.col("user_id").isNull(),
         "missing_country": F.col("country").isNull() | (F.trim("country") == ""),
@@ -105,17 +108,15 @@ def users_profile(u: DataFrame) -> DataFrame:
 def issues_long(orders: DataFrame, products: DataFrame, users: DataFrame,
                 ref_status: DataFrame, ref_age_group: DataFrame) -> DataFrame:
     """All 26 checks as (table_name, issue_type, affected_rows), zeros included."""
-    o = orders_prep(orders, ref_status)
-    p = products_prep(products)
-    u = users_prep(users, ref_age_group)
+    o, p, u = orders_prep(orders), products_prep(products), users_prep(users)
     parts = [
-        to_long(orders_profile(o), "orders"),
+        to_long(orders_profile(o, ref_status), "orders"),
         to_long(duplicates(o, "order_id", "duplicate_order_id"), "orders"),
         to_long(orphans(o, u, "user_id", name="fk_user_id_not_in_users"), "orders"),
         to_long(orphans(o, p, "product_id", name="fk_product_id_not_in_products"), "orders"),
         to_long(products_profile(p), "products"),
         to_long(duplicates(p, "product_id", "duplicate_product_id"), "products"),
-        to_long(users_profile(u), "users"),
+        to_long(users_profile(u, ref_age_group), "users"),
         to_long(duplicates(u, "user_id", "duplicate_user_id"), "users"),
     ]
     out = parts[0]

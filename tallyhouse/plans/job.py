@@ -56,56 +56,59 @@ def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
     raw = raw_sources(spark, source) if isinstance(source, str) else source
     result = RefreshResult(out=out)
 
-    def run_staging() -> None:
-        tables = {
-            "stg_orders": stg_orders(raw["raw_orders"]),
-            "stg_products": stg_products(raw["raw_products"]),
-            "stg_users": stg_users(raw["raw_users"]),
-        }
-        for name, df in tables.items():
-            result.written[name] = write_table(df, _path(out, "staging", name))
+    def write(name: str, layer: str, df: DataFrame) -> None:
+        result.written[name] = write_table(df, _path(out, layer, name))
 
     def run_audit_phase() -> None:
         refs = {"ref_allowed_status": ref_allowed_status(spark),
                 "ref_allowed_age_group": ref_allowed_age_group(spark),
                 "issue_catalog": issue_catalog(spark)}
         for name, df in refs.items():
-            result.written[name] = write_table(df.coalesce(1), _path(out, "audit", name))
+            write(name, "audit", df.coalesce(1))
         back = {name: spark.read.parquet(result.written[name]) for name in refs}
         issues = data_quality_issues(spark, raw["raw_orders"], raw["raw_products"], raw["raw_users"],
                                      ref_status=back["ref_allowed_status"],
                                      ref_age_group=back["ref_allowed_age_group"],
                                      catalog=back["issue_catalog"], ordered=True)
-        result.written["data_quality_issues"] = write_table(issues.coalesce(1),
-                                                            _path(out, "audit", "data_quality_issues"))
-
-    # phase 1: staging and audit side by side
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        staging_future = pool.submit(run_staging)
-        audit_future = pool.submit(run_audit_phase) if run_audit else None
-        if audit_future is not None:
+        write("data_quality_issues", "audit", issues.coalesce(1))
+
+    # Independent writes are separate Spark jobs submitted from a few driver
+    # threads, so small jobs overlap instead of queueing one after another.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        # phase 1: staging (three tables) and the audit side by side
+        staging_jobs = [
+            pool.submit(write, "stg_orders", "staging", stg_orders(raw["raw_orders"])),
+            pool.submit(write, "stg_products", "staging", stg_products(raw["raw_products"])),
+            pool.submit(write, "stg_users", "staging", stg_users(raw["raw_users"])),
+        ]
+        audit_job = pool.submit(run_audit_phase) if run_audit else None
+        if audit_job is not None:
             try:
-                audit_future.result()
+                audit_job.result()
             except Exception as exc:  # reported, not swallowed: marts still run
                 log.error("audit phase failed: %s", exc)
                 result.errors["audit"] = repr(exc)
-        staging_future.result()  # a staging failure stops the job
-
-    # phase 2: marts from the written staging tables
-    orders = result.table(spark, "stg_orders")
-    products = result.table(spark, "stg_products")
-    users = result.table(spark, "stg_users")
-    marts = {
-        "monthly_revenue_by_country": monthly_revenue_by_country(orders, users, ordered=True).coalesce(1),
-        "category_performance": category_performance(orders, products, ordered=True).coalesce(1),
-        "user_segments": user_segments(users, orders),
-    }
-    for name, df in marts.items():
-        result.written[name] = write_table(df, _path(out, "analytics", name))
-
-    # phase 3: cohort from the written user_segments and staged orders
-    cohort = cohort_retention(result.table(spark, "user_segments"), orders, ordered=True).coalesce(1)
-    result.written["cohort_retention"] = write_table(cohort, _path(out, "analytics", "cohort_retention"))
+        for job in staging_jobs:
+            job.result()  # a staging failure stops the job
+
+        # phase 2: marts from the written staging tables
+        orders = result.table(spark, "stg_orders")
+        products = result.table(spark, "stg_products")
+        users = result.table(spark, "stg_users")
+        mart_jobs = [
+            pool.submit(write, "monthly_revenue_by_country", "analytics",
+                        monthly_revenue_by_country(orders, users, ordered=True).coalesce(1)),
+            pool.submit(write, "category_performance", "analytics",
+                        category_performance(orders, products, ordered=True).coalesce(1)),
+            pool.submit(write, "user_segments", "analytics", user_segments(users, orders)),
+        ]
+        mart_jobs[2].result()
+
+        # phase 3: cohort from the written user_segments and staged orders
+        cohort = cohort_retention(result.table(spark, "user_segments"), orders, ordered=True).coalesce(1)
+        cohort_job = pool.submit(write, "cohort_retention", "analytics", cohort)
+        for job in (*mart_jobs, cohort_job):
+            job.result()
     return result
 
 

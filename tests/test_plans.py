@@ -41,10 +41,15 @@ def test_no_python_udfs_no_cartesian(spark, chain):
             assert bad not in p, (bad, p)
 
 
-def test_orphans_are_anti_joins_on_preaggregated_keys(spark, chain):
-    raw = chain[0]
-    p = plan(data_quality_issues(spark, raw["raw_orders"], raw["raw_products"], raw["raw_users"]))
-    assert p.count("LeftAnti") == 2
+def test_orphans_join_preaggregated_keys(spark):
+    from tallyhouse.operators.profile import orphans
+    left = spark.range(100).selectExpr("CAST(id % 7 AS STRING) AS k")
+    right = spark.range(3).selectExpr("CAST(id AS STRING) AS k")
+    p = plan(orphans(left, right, "k"))
+    # the join's left input is the per-key count, not the raw rows
+    join_at = p.index("Join")
+    assert "partial_count" in p[join_at:] and "LeftAnti" not in p
+    assert orphans(left, right, "k").first()[0] == 100 - 15 - 15 - 14
 
 
 def test_as_of_is_a_scalar_subquery(chain):
