@@ -44,7 +44,8 @@ def main() -> None:
     derived = raw_sources(spark, sf_dir)
     landed = f"{scratch}/landed"
     for name in RAW_TABLES:
-        write_table(derived[name], f"{landed}/{name}")
+        # landed like an export from the source system: one file per core
+        write_table(derived[name].repartition(cpus), f"{landed}/{name}")
     land_raw = time.perf_counter() - t0
     raw = raw_sources(spark, landed)
 
