@@ -36,7 +36,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+                          driver_memory=os.environ.get("BENCH_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
     scratch = shared_dir(spark, "bench")
 

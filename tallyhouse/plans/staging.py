@@ -43,38 +43,36 @@ def stg_orders(orders: DataFrame, with_loaded_at: bool = True) -> DataFrame:
 
     Per ``order_id`` (raw, untrimmed; all NULL ids form one group) the row
     kept is: completed first, then newest parseable order_date, then the
-    remaining raw columns ascending (deterministic tie-break).
+    remaining raw columns ascending (deterministic tie-break). Only the raw
+    columns and the two sort keys cross the shuffle; every output expression
+    is evaluated after the dedup, on the surviving rows.
     """
     src = orders.select(*[F.col(c).cast("string") for c in ORDER_COLUMNS])
+    keyed = src.select(
+        *ORDER_COLUMNS,
+        F.when(status_norm("status") == "completed", 0).otherwise(1).alias("__not_completed"),
+        try_date("order_date").alias("__date"),
+    )
+    best = keep_best(
+        keyed, "order_id",
+        [F.col("__not_completed").asc(), F.col("__date").desc_nulls_last(),
+         *tie_breakers(ORDER_COLUMNS, exclude=["order_id"])])
     raw_status = F.lower(F.trim(F.col("status")))
     qty = try_num("quantity")
     rev_int = try_num("revenue_czk")
-    norm = src.select(
-        *[F.col(c).alias(f"__raw_{c}") for c in ORDER_COLUMNS],
-        status_norm("status").alias("__status"),
-        try_date("order_date").alias("__date"),
+    out = best.select(
+        "order_id", "user_id", "product_id",
+        F.col("__date").alias("order_date"),
+        qty.alias("quantity"),
+        status_norm("status").alias("status"),
+        try_num("revenue_czk", 18, 2).alias("revenue_czk"),
+        try_num("discount_pct", 6, 4).alias("discount_pct"),
         flag(raw_status.isin("completed", STATUS_ALIAS_COMPLETED)
              & (blank("revenue_czk").isNull() | (rev_int == 0))).alias("is_revenue_suspicious"),
         flag(F.col("status").isNotNull()
              & ~raw_status.isin(*ALLOWED_STATUSES, STATUS_ALIAS_COMPLETED)).alias("is_status_unknown"),
         flag(blank("quantity").isNull() | qty.isNull() | (qty <= 0)).alias("is_quantity_invalid"),
     )
-    best = keep_best(
-        norm, "__raw_order_id",
-        [F.when(F.col("__status") == "completed", 0).otherwise(1).asc(),
-         F.col("__date").desc_nulls_last(),
-         *tie_breakers([f"__raw_{c}" for c in ORDER_COLUMNS], exclude=["__raw_order_id"])])
-    out = best.select(
-        F.col("__raw_order_id").alias("order_id"),
-        F.col("__raw_user_id").alias("user_id"),
-        F.col("__raw_product_id").alias("product_id"),
-        F.col("__date").alias("order_date"),
-        try_num("__raw_quantity").alias("quantity"),
-        F.col("__status").alias("status"),
-        try_num("__raw_revenue_czk", 18, 2).alias("revenue_czk"),
-        try_num("__raw_discount_pct", 6, 4).alias("discount_pct"),
-        "is_revenue_suspicious", "is_status_unknown", "is_quantity_invalid",
-    )
     return _lineage(out, "orders", with_loaded_at)
 
 
@@ -82,58 +80,52 @@ def stg_products(products: DataFrame, with_loaded_at: bool = True) -> DataFrame:
     """``stg_products``; per ``product_id`` the active row with the highest
     price wins."""
     src = products.select(*[F.col(c).cast("string") for c in PRODUCT_COLUMNS])
+    keyed = src.select(
+        *PRODUCT_COLUMNS,
+        F.when(parse_bool("is_active") == 1, 0).otherwise(1).alias("__inactive"),
+        try_num("price_czk", 18, 2).alias("__price"),
+    )
+    best = keep_best(
+        keyed, "product_id",
+        [F.col("__inactive").asc(), F.col("__price").desc_nulls_last(),
+         *tie_breakers(PRODUCT_COLUMNS, exclude=["product_id"])])
     price_int = try_num("price_czk")
     margin = try_num("margin_pct", 10, 4)
-    clean = src.select(
-        *[F.col(c).alias(f"__raw_{c}") for c in PRODUCT_COLUMNS],
+    out = best.select(
+        "product_id",
         F.trim("product_name").alias("product_name"),
         initcap_words(F.lower(F.trim("category"))).alias("category"),
-        try_num("price_czk", 18, 2).alias("price_czk"),
+        F.col("__price").alias("price_czk"),
         try_num("margin_pct", 6, 4).alias("margin_pct"),
         parse_bool("is_active").alias("is_active"),
         flag(price_int.isNull() | (price_int <= 0)).alias("is_price_invalid"),
         flag(margin.isNull() | ~margin.between(0, 1)).alias("is_margin_out_of_range"),
         flag(F.col("category").isNull() | (F.trim("category") == "")).alias("is_category_missing"),
     )
-    best = keep_best(
-        clean, "__raw_product_id",
-        [F.when(F.col("is_active") == 1, 0).otherwise(1).asc(),
-         F.col("price_czk").desc_nulls_last(),
-         *tie_breakers([f"__raw_{c}" for c in PRODUCT_COLUMNS], exclude=["__raw_product_id"])])
-    out = best.select(
-        F.col("__raw_product_id").alias("product_id"),
-        "product_name", "category", "price_czk", "margin_pct", "is_active",
-        "is_price_invalid", "is_margin_out_of_range", "is_category_missing",
-    )
     return _lineage(out, "products", with_loaded_at)
 
 
 def stg_users(users: DataFrame, with_loaded_at: bool = True) -> DataFrame:
     """``stg_users``; per ``user_id`` the newest registration wins."""
     src = users.select(*[F.col(c).cast("string") for c in USER_COLUMNS])
+    keyed = src.select(*USER_COLUMNS, try_date("registered_at").alias("__registered"))
+    best = keep_best(
+        keyed, "user_id",
+        [F.col("__registered").desc_nulls_last(),
+         *tie_breakers(USER_COLUMNS, exclude=["user_id"])])
     country = F.upper(F.trim("country"))
     channel = F.lower(F.trim("acquisition_channel"))
-    registered = try_date("registered_at")
-    clean = src.select(
-        *[F.col(c).alias(f"__raw_{c}") for c in USER_COLUMNS],
+    out = best.select(
+        "user_id",
         code_or("country", ALLOWED_COUNTRIES, case="upper").alias("country"),
         channel.alias("acquisition_channel"),
-        registered.alias("registered_at"),
+        F.col("__registered").alias("registered_at"),
         code_or("age_group", ALLOWED_AGE_GROUPS, default="unknown").alias("age_group"),
         flag(F.col("age_group").isNull()
              | ~F.trim("age_group").isin(*ALLOWED_AGE_GROUPS)).alias("is_age_group_unknown"),
         flag(~country.isin(*ALLOWED_COUNTRIES) | F.col("country").isNull()).alias("is_country_unknown"),
         flag(~channel.isin(*ALLOWED_CHANNELS)
              | F.col("acquisition_channel").isNull()).alias("is_channel_unknown"),
-        flag(registered.isNull()).alias("is_registered_at_invalid"),
-    )
-    best = keep_best(
-        clean, "__raw_user_id",
-        [F.col("registered_at").desc_nulls_last(),
-         *tie_breakers([f"__raw_{c}" for c in USER_COLUMNS], exclude=["__raw_user_id"])])
-    out = best.select(
-        F.col("__raw_user_id").alias("user_id"),
-        "country", "acquisition_channel", "registered_at", "age_group",
-        "is_age_group_unknown", "is_country_unknown", "is_channel_unknown", "is_registered_at_invalid",
+        flag(F.col("__registered").isNull()).alias("is_registered_at_invalid"),
     )
     return _lineage(out, "users", with_loaded_at)

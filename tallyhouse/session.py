@@ -23,7 +23,7 @@ REQUIRED_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "tallyhouse") -> SparkSession:
+                  app_name: str = "tallyhouse", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the jobs assume.
 
     On a cluster pass ``master=None`` and let spark-submit decide; size
@@ -34,6 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+    if driver_memory:  # local mode: the executors live in the driver JVM
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in REQUIRED_CONF.items():
