@@ -40,6 +40,13 @@ class RefreshResult:
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.written[name])
 
+    def register_views(self, spark: SparkSession) -> list[str]:
+        """Expose every written table as a temp view of the same name, so the
+        published tables can be queried with ``spark.sql`` as before."""
+        for name in self.written:
+            self.table(spark, name).createOrReplaceTempView(name)
+        return sorted(self.written)
+
 
 def _path(out: str, layer: str, name: str) -> str:
     return f"{out.rstrip('/')}/{layer}/{name}"

@@ -19,6 +19,9 @@ def test_refresh_writes_everything(spark):
     assert cohort.count() == cohort.select("cohort_month").distinct().count()
     issues = res.table(spark, "data_quality_issues")
     assert issues.filter("affected_rows <= 0").count() == 0
+    assert "stg_orders" in res.register_views(spark)
+    top = spark.sql("SELECT segment, count(*) AS n FROM user_segments GROUP BY segment").collect()
+    assert sum(r.n for r in top) == res.table(spark, "stg_users").count()
 
 
 def test_audit_failure_does_not_stop_marts(spark, monkeypatch):
