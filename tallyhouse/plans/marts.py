@@ -9,7 +9,7 @@ broadcast is left to AQE, which decides on measured runtime sizes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import month_of
@@ -70,7 +70,7 @@ def category_totals(stg_orders: DataFrame, stg_products: DataFrame) -> DataFrame
                  F.sum("discount_n").alias("discount_n")))
 
 
-def _avg4(total: str, count: str) -> DataFrame:
+def _avg4(total: str, count: str) -> Column:
     # exact-enough mean rounded half-up to 4 places: DECIMAL(28,4)/DECIMAL(18,0)
     # keeps 14 fractional digits before the final rounding
     num = F.col(total).cast("decimal(28,4)")
