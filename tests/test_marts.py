@@ -160,3 +160,16 @@ def test_invariants(spark, small_chain):
         assert cr.filter((F.col(f"month_{k}_retention_pct") < 0) | (F.col(f"month_{k}_retention_pct") > 100)).count() == 0
     cp = category_performance(so, sp)
     assert cp.count() == cp.select("category").distinct().count()
+
+
+def test_empty_inputs(spark):
+    orders = spark.createDataFrame([], O_SCHEMA)
+    users = spark.createDataFrame([("u1", "CZ", "18-24", D(2024, 1, 1)), (None, None, "unknown", None)], U_SCHEMA)
+    products = spark.createDataFrame([], P_SCHEMA)
+    assert monthly_revenue_by_country(orders, users).count() == 0
+    assert category_performance(orders, products).count() == 0
+    seg = {r.user_id: r for r in user_segments(users, orders).collect()}
+    assert {r.segment for r in seg.values()} == {"lost"} and seg["u1"].days_since_registered is None
+    cohorts = cohort_retention(user_segments(users, orders), orders).collect()
+    assert [(r.cohort_month, r.cohort_size, r.month_0_users, r.month_0_retention_pct) for r in cohorts] == \
+        [("2024-01", 1, 0, 0.0)]
