@@ -26,7 +26,15 @@ from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
 from tallyhouse.plans.job import refresh  # noqa: E402
 from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status  # noqa: E402
 from tallyhouse.session import apply_conf, shared_dir  # noqa: E402
-from tallyhouse.functions.exprs import parse_bool, status_norm, try_date  # noqa: E402
+from tallyhouse.functions.exprs import (  # noqa: E402
+    ALLOWED_STATUSES,
+    STATUS_ALIAS_COMPLETED,
+    flag,
+    parse_bool,
+    status_norm,
+    try_date,
+)
+from tallyhouse.operators.cohort import cohort_sizes  # noqa: E402
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -150,7 +158,6 @@ def q_orphan_products(spark, sf_dir):
 def q_status_normalized(spark, sf_dir):
     """status_norm + is_status_unknown truth table over every raw status value."""
     o = _raw(spark, sf_dir)["raw_orders"]
-    from tallyhouse.functions.exprs import ALLOWED_STATUSES, STATUS_ALIAS_COMPLETED, flag
     raw_l = F.lower(F.trim("status"))
     return (o.groupBy(F.col("status").alias("raw_status"),
                       status_norm("status").alias("status"),
@@ -202,7 +209,6 @@ def q_segment_counts(spark, sf_dir):
 
 
 def q_cohort_size(spark, sf_dir):
-    from tallyhouse.operators.cohort import cohort_sizes
     s = _staged(spark, sf_dir)
     sizes = cohort_sizes(marts.user_segments(s["stg_users"], s["stg_orders"]))
     return sizes.select(F.date_format("cohort_month", "yyyy-MM").alias("cohort_month"),
