@@ -22,7 +22,7 @@ from tallyhouse.plans.marts import category_performance, monthly_revenue_by_coun
 from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
 from tallyhouse.plans.staging import stg_orders, stg_products, stg_users
 from tallyhouse.sources.sinks import write_table
-from tallyhouse.sources.tables import raw_sources
+from tallyhouse.sources.tables import path_exists, raw_sources
 
 log = logging.getLogger(__name__)
 
@@ -53,18 +53,27 @@ def _path(out: str, layer: str, name: str) -> str:
 
 
 def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
-            run_audit: bool = True) -> RefreshResult:
+            run_audit: bool = True, resume: bool = False) -> RefreshResult:
     """Run the whole chain; returns where each table was written.
 
     ``source`` is a folder (raw_* tables, or the driver's tables they are
     derived from) or a dict of the three raw DataFrames. ``out`` must be a
     shared folder on a cluster (e.g. under ``spark.checkpoint.dir``).
+
+    With ``resume=True`` a table whose folder already holds a committed write
+    (``_SUCCESS``) is kept as is, so re-running into the same ``out`` after a
+    driver failure continues from the last finished tables.
     """
     raw = raw_sources(spark, source) if isinstance(source, str) else source
     result = RefreshResult(out=out)
 
     def write(name: str, layer: str, df: DataFrame) -> None:
-        result.written[name] = write_table(df, _path(out, layer, name))
+        path = _path(out, layer, name)
+        if resume and path_exists(spark, f"{path}/_SUCCESS"):
+            log.info("resume: keeping committed %s", path)
+            result.written[name] = path
+            return
+        result.written[name] = write_table(df, path)
 
     def run_audit_phase() -> None:
         refs = {"ref_allowed_status": ref_allowed_status(spark),
@@ -128,9 +137,10 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     ap.add_argument("source")
     ap.add_argument("out")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--resume", action="store_true", help="keep tables already committed in <out>")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
-    res = refresh(spark, args.source, args.out)
+    res = refresh(spark, args.source, args.out, resume=args.resume)
     for name, path in res.written.items():
         print(f"{name}\t{path}")
     for name, err in res.errors.items():

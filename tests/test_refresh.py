@@ -40,3 +40,20 @@ def test_staging_failure_stops(spark, monkeypatch):
     monkeypatch.setattr(R, "stg_users", broken)
     with pytest.raises(RuntimeError, match="staging exploded"):
         R.refresh(spark, SF_SMALL, shared_dir(spark))
+
+
+def test_resume_keeps_committed_tables(spark, monkeypatch):
+    out = shared_dir(spark)
+    first = R.refresh(spark, SF_SMALL, out)
+    marker = f"{first.written['stg_orders']}/_SUCCESS"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(marker)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = fs.getFileStatus(path).getModificationTime()
+
+    def broken(*a, **k):
+        raise RuntimeError("staging should not be recomputed")
+    monkeypatch.setattr(R, "write_table", broken)
+    again = R.refresh(spark, SF_SMALL, out, resume=True)
+    assert again.written == first.written and not again.errors
+    assert fs.getFileStatus(path).getModificationTime() == before
