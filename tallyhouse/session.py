@@ -16,9 +16,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # MIN/MAX/COUNT without filters answered from Parquet footers (the
-    # reference date of the segments is MAX(order_date) over staged orders)
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
