@@ -21,14 +21,15 @@ def mom_growth(df: DataFrame, part: str, month: str, value: str,
     """
     prev_name = prev_name or f"prev_month_{value}"
     w = Window.partitionBy(part).orderBy(month)
-    cur = F.col(value).cast("decimal(18,2)")
-    prev = F.lag(F.col(value)).over(w).cast("decimal(18,2)")
-    prev_month = F.lag(F.col(month)).over(w)
+    lagged = df.select(F.col(month), F.col(part), F.col(value).cast("decimal(18,2)").alias("__cur"),
+                       F.lag(F.col(value)).over(w).cast("decimal(18,2)").alias("__prev"),
+                       F.lag(F.col(month)).over(w).alias("__prev_month"))
+    cur, prev, prev_month = F.col("__cur"), F.col("__prev"), F.col("__prev_month")
     growth = (F.when(prev_month.isNull() | (prev_month != F.add_months(F.col(month), -1)), F.lit(None))
                .when(prev.isNull() | (prev == 0), F.lit(None))
                .otherwise(F.round((cur - prev) / prev * F.lit(100), 2)))
-    return df.select(F.col(month), F.col(part), cur.alias(value), prev.alias(prev_name),
-                     growth.cast("decimal(10,2)").alias(pct_name))
+    return lagged.select(F.col(month), F.col(part), cur.alias(value), prev.alias(prev_name),
+                         growth.cast("decimal(10,2)").alias(pct_name))
 
 
 def rank_by(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:

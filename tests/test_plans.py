@@ -64,3 +64,26 @@ def test_scan_prunes_columns(spark):
     # the users view reads customer: only the four columns it needs
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in p \
         or "c_name" not in p.split("ReadSchema")[1]
+
+
+def _join_inputs_are_aggregated(p: str) -> bool:
+    """Every join in the plan reads, on its fact side, an aggregate: the text
+    between a join and the next FileScan below it contains an aggregate."""
+    lines = p.splitlines()
+    for i, line in enumerate(lines):
+        if "Join" in line and "BroadcastExchange" not in line:
+            below = "\n".join(lines[i + 1:i + 12])
+            if "HashAggregate" not in below:
+                return False
+    return True
+
+
+def test_marts_preaggregate_before_joining(spark, chain):
+    from tallyhouse.session import shared_dir
+    from tallyhouse.sources.sinks import write_table
+    out = shared_dir(spark)
+    so, sp, su = [spark.read.parquet(write_table(df, f"{out}/{i}")) for i, df in enumerate(chain[1:])]
+    for df in (monthly_revenue_by_country(so, su), category_performance(so, sp), user_segments(su, so)):
+        p = plan(df)
+        assert "partial_sum" in p or "partial_count" in p
+        assert _join_inputs_are_aggregated(p), p
