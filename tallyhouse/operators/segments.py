@@ -20,10 +20,14 @@ def segment(df: DataFrame, as_of: Column, registered: str = "registered_at",
     ``as_of`` is a scalar column (e.g. ``stg_orders.agg(max(...)).scalar()``,
     a scalar subquery evaluated once), so no join is needed to attach it.
     """
-    since_reg = F.datediff(as_of, F.col(registered)).cast("bigint")
+    # attach the scalar once; both differences read the column
+    with_ref = df.withColumn("__as_of", as_of)
+    ref = F.col("__as_of")
+    since_reg = F.datediff(ref, F.col(registered)).cast("bigint")
     since_last = F.when(F.col(last_order).isNull(), F.lit(None)).otherwise(
-        F.datediff(as_of, F.col(last_order))).cast("bigint")
-    out = df.withColumns({"days_since_registered": since_reg, "days_since_last_order": since_last})
+        F.datediff(ref, F.col(last_order))).cast("bigint")
+    out = with_ref.withColumns({"days_since_registered": since_reg,
+                                "days_since_last_order": since_last}).drop("__as_of")
     seg = (F.when(F.col(last_order).isNull() | (F.col("days_since_last_order") > LOST_AFTER_DAYS), "lost")
             .when(F.col(revenue) > HIGH_VALUE_ABOVE, "high_value")
             .when(F.col("days_since_last_order") > AT_RISK_AFTER_DAYS, "at_risk")
