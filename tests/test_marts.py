@@ -173,3 +173,13 @@ def test_empty_inputs(spark):
     cohorts = cohort_retention(user_segments(users, orders), orders).collect()
     assert [(r.cohort_month, r.cohort_size, r.month_0_users, r.month_0_retention_pct) for r in cohorts] == \
         [("2024-01", 1, 0, 0.0)]
+
+
+def test_strict_casts_raise_on_overflow(spark):
+    """Output casts are strict (ANSI) — an average margin of 10 or more
+    does not fit DECIMAL(5,4) and fails the job instead of becoming NULL."""
+    orders = spark.createDataFrame([o("1", "u", D(2024, 1, 1), "10", prod="a")], O_SCHEMA)
+    products = spark.createDataFrame([("a", "Toys", "12.5")], "product_id string, category string, margin_pct string") \
+        .withColumn("margin_pct", F.col("margin_pct").cast("decimal(6,4)"))
+    with pytest.raises(Exception, match="(?i)overflow|cannot be represented|NUMERIC_VALUE_OUT_OF_RANGE"):
+        category_performance(orders, products).collect()
