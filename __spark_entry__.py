@@ -35,6 +35,7 @@ from tallyhouse.functions.exprs import (  # noqa: E402
     try_date,
 )
 from tallyhouse.operators.cohort import cohort_sizes  # noqa: E402
+from tallyhouse.operators.series import mom_growth, rank_by  # noqa: E402
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -193,6 +194,21 @@ def q_monthly_revenue(spark, sf_dir):
     return m.select("month", "country", F.col("revenue_czk").cast("decimal(18,2)").alias("revenue_czk"))
 
 
+def q_mom_growth(spark, sf_dir):
+    """Previous row's revenue and month per country, and the growth."""
+    s = _staged(spark, sf_dir)
+    return mom_growth(marts.monthly_revenue(s["stg_orders"], s["stg_users"]), "country", "month",
+                      "revenue_czk", prev_month_name="prev_month")
+
+
+def q_category_rank(spark, sf_dir):
+    """Rank of each category by revenue (ties share a rank, NULLs first)."""
+    s = _staged(spark, sf_dir)
+    totals = marts.category_totals(s["stg_orders"], s["stg_products"])
+    return rank_by(totals.select("category", F.col("total_revenue_czk").cast("decimal(18,2)").alias("total_revenue_czk")),
+                   "total_revenue_czk", "revenue_rank")
+
+
 def q_user_metrics(spark, sf_dir):
     s = _staged(spark, sf_dir)
     m = marts.user_metrics(s["stg_users"], s["stg_orders"])
@@ -244,6 +260,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bool_parsed": q_bool_parsed,
     "flag_counts": q_flag_counts,
     "monthly_revenue": q_monthly_revenue,
+    "mom_growth": q_mom_growth,
+    "category_rank": q_category_rank,
     "user_metrics": q_user_metrics,
     "segment_counts": q_segment_counts,
     "cohort_size": q_cohort_size,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def mom_growth(df: DataFrame, part: str, month: str, value: str,
-               prev_name: str | None = None, pct_name: str = "mom_growth_pct") -> DataFrame:
+               prev_name: str | None = None, pct_name: str = "mom_growth_pct",
+               prev_month_name: str | None = None) -> DataFrame:
     """Previous period value and month-over-month growth in % per ``part``.
 
     The previous value is whatever row came before (shown even across a gap);
@@ -17,7 +18,8 @@ def mom_growth(df: DataFrame, part: str, month: str, value: str,
     exact half-up rounding to 2 places.
 
     Runs after aggregation: one row per (part, month), so the window's
-    shuffle is small however large the orders table is.
+    shuffle is small however large the orders table is. ``prev_month_name``
+    also returns the month of the previous row.
     """
     prev_name = prev_name or f"prev_month_{value}"
     w = Window.partitionBy(part).orderBy(month)
@@ -28,7 +30,8 @@ def mom_growth(df: DataFrame, part: str, month: str, value: str,
     growth = (F.when(prev_month.isNull() | (prev_month != F.add_months(F.col(month), -1)), F.lit(None))
                .when(prev.isNull() | (prev == 0), F.lit(None))
                .otherwise(F.round((cur - prev) / prev * F.lit(100), 2)))
-    return lagged.select(F.col(month), F.col(part), cur.alias(value), prev.alias(prev_name),
+    extra = [prev_month.alias(prev_month_name)] if prev_month_name else []
+    return lagged.select(F.col(month), F.col(part), cur.alias(value), prev.alias(prev_name), *extra,
                          growth.cast("decimal(10,2)").alias(pct_name))
 
 
