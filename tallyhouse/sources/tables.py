@@ -4,6 +4,7 @@ raw_* source views."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,13 @@ SOURCE_COLUMNS = {
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path's scheme
     (local, HDFS, object stores alike)."""
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # no JVM gateway (e.g. a Spark Connect client): local paths only
+        local = path[len("file:"):] if path.startswith("file:") else path
+        return "://" not in local and os.path.exists(local)
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     return bool(hpath.getFileSystem(conf).exists(hpath))
 
 
