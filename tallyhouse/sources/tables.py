@@ -46,17 +46,25 @@ def table_path(spark: SparkSession, base: str, name: str) -> str:
 
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None,
-               where: Mapping[str, Iterable[object]] | None = None) -> DataFrame:
+               where: Mapping[str, Iterable[object]] | None = None,
+               where_operator: str = "eq") -> DataFrame:
     """Whole-table scan of a mapped table.
 
-    ``columns`` keeps only those columns and ``where`` keeps rows whose column
-    value is in the given list (equality / value-list filter of a table
-    mapping). Both are expressed as DataFrame operations so they land in the
-    scan as ``ReadSchema`` and ``PushedFilters``.
+    ``columns`` keeps only those columns; ``where`` keeps rows whose column
+    value is in the given list (``where_operator="eq"``) or not in it
+    (``"ne"``; SQL semantics, so NULLs are dropped) — the value-list filter of
+    a table mapping. Both are DataFrame operations, so they land in the scan
+    as ``ReadSchema`` and ``PushedFilters``.
     """
+    if where_operator not in ("eq", "ne"):
+        raise ValueError(f"where_operator must be 'eq' or 'ne', not {where_operator!r}")
     df = spark.read.parquet(table_path(spark, base, name))
     for column, values in (where or {}).items():
-        df = df.filter(F.col(column).isin(list(values)))
+        values = list(values)
+        if not values:  # an empty list means "no filter", as in the mapping
+            continue
+        match = F.col(column).isin(values)
+        df = df.filter(match if where_operator == "eq" else ~match)
     if columns:
         df = df.select(*columns)
     return df

@@ -32,6 +32,15 @@ def test_scan_filter_and_columns_are_pushed(spark):
     assert df.filter(~F.col("o_orderstatus").isin("F", "P")).count() == 0
 
 
+def test_scan_not_in_filter_and_empty_list(spark):
+    full = read_table(spark, SF_SMALL, "orders", columns=["o_orderstatus"])
+    ne = read_table(spark, SF_SMALL, "orders", columns=["o_orderstatus"], where={"o_orderstatus": ["F"]},
+                    where_operator="ne")
+    assert ne.filter("o_orderstatus = 'F'").count() == 0
+    assert ne.count() == full.filter("o_orderstatus <> 'F'").count()
+    assert read_table(spark, SF_SMALL, "orders", where={"o_orderstatus": []}).count() == full.count()
+
+
 def test_full_replace_and_landed_sources(spark):
     out = shared_dir(spark)
     raw = raw_sources(spark, SF_SMALL)
