@@ -131,7 +131,7 @@ def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
 def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     import argparse
 
-    from tallyhouse.session import build_session
+    from tallyhouse.session import build_session, size_shuffle_partitions
 
     ap = argparse.ArgumentParser(description="run the staging → audit → marts → cohort refresh")
     ap.add_argument("source")
@@ -140,6 +140,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     ap.add_argument("--resume", action="store_true", help="keep tables already committed in <out>")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
+    size_shuffle_partitions(spark, [args.source])
     res = refresh(spark, args.source, args.out, resume=args.resume)
     for name, path in res.written.items():
         print(f"{name}\t{path}")

@@ -69,3 +69,32 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         root = spark.sparkContext.getCheckpointDir() or root
     sub = name or f"run-{uuid.uuid4().hex[:12]}"
     return os.path.join(root.rstrip("/"), sub) if "://" not in root else f"{root.rstrip('/')}/{sub}"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return int(total)
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str],
+                            target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about input bytes / 128 MB
+    (never below the default parallelism) and return it.
+
+    This is the starting point for the widest shuffles (the dedup and the
+    per-key pre-aggregations read roughly the whole input); AQE then coalesces
+    the smaller shuffles toward ``advisoryPartitionSizeInBytes``.
+    """
+    wanted = -(-input_bytes(spark, paths) // target_bytes)
+    n = max(int(wanted), spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n

@@ -61,3 +61,15 @@ def test_csv_round_trip_keeps_strings_and_key(spark):
     assert back.columns == ["cohort_month", "cohort_size", "month_0_retention_pct"]
     assert all(t == "string" for _, t in back.dtypes)
     assert back.count() == cohort.count() == back.select("cohort_month").distinct().count()
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from tallyhouse.session import input_bytes, size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert input_bytes(spark, [f"{SF_SMALL}/lineitem.parquet"]) > 0
+        n = size_shuffle_partitions(spark, [SF_SMALL], target_bytes=64 * 1024)
+        assert n >= spark.sparkContext.defaultParallelism
+        assert n >= input_bytes(spark, [SF_SMALL]) // (64 * 1024)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
