@@ -33,6 +33,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if driver_memory:  # local mode: the executors live in the driver JVM
         builder = builder.config("spark.driver.memory", driver_memory)
+    # static: the whole refresh compiles a few hundred distinct stage classes;
+    # the default cache of 100 would evict and recompile them on every run
+    builder = builder.config("spark.sql.codegen.cache.maxEntries", "1000")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in REQUIRED_CONF.items():
