@@ -21,6 +21,7 @@ def spark():
              .config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.sql.codegen.cache.maxEntries", "1000")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     apply_conf(spark)
