@@ -3,9 +3,9 @@
 Every stage is written as a full-replace Parquet table and the next stage
 reads that table back, so lineage is cut at each layer and a lost executor
 only recomputes work since the last written table. The audit reads the
-source tables, not staging, and runs concurrently with staging (two Spark
-jobs from two driver threads); an audit failure is reported but does not
-stop the marts, a staging failure does.
+source tables, not staging, and runs concurrently with staging (separate
+Spark jobs submitted from a small driver thread pool); an audit failure is
+reported but does not stop the marts, a staging failure does.
 """
 
 from __future__ import annotations
