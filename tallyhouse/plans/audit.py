@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.exprs import STATUS_ALIAS_COMPLETED, blank, try_num
 from tallyhouse.operators.profile import duplicates, orphans, profile, to_long
 from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
+from tallyhouse.sources.tables import as_strings
 
 
 def orders_prep(orders: DataFrame) -> DataFrame:
     """Trimmed keys and typed measures of the source orders."""
     status = blank("status")
-    return orders.select(
+    return as_strings(orders, "raw_orders").select(
         blank("order_id").alias("order_id"),
         blank("user_id").alias("user_id"),
         blank("product_id").alias("product_id"),
@@ -34,7 +35,7 @@ def orders_prep(orders: DataFrame) -> DataFrame:
 
 
 def products_prep(products: DataFrame) -> DataFrame:
-    return products.select(
+    return as_strings(products, "raw_products").select(
         blank("product_id").alias("product_id"),
         blank("product_name").alias("product_name"),
         blank("category").alias("category"),
@@ -44,7 +45,7 @@ def products_prep(products: DataFrame) -> DataFrame:
 
 
 def users_prep(users: DataFrame) -> DataFrame:
-    return users.select(
+    return as_strings(users, "raw_users").select(
         blank("user_id").alias("user_id"),
         blank("country").alias("country"),
         blank("acquisition_channel").alias("acquisition_channel"),

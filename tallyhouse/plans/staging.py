@@ -26,7 +26,7 @@ from tallyhouse.functions.exprs import (
     try_num,
 )
 from tallyhouse.operators.dedup import keep_best, tie_breakers
-from tallyhouse.sources.tables import SOURCE_COLUMNS
+from tallyhouse.sources.tables import SOURCE_COLUMNS, as_strings
 
 ORDER_COLUMNS = SOURCE_COLUMNS["raw_orders"]
 PRODUCT_COLUMNS = SOURCE_COLUMNS["raw_products"]
@@ -47,7 +47,7 @@ def stg_orders(orders: DataFrame, with_loaded_at: bool = True) -> DataFrame:
     columns and the two sort keys cross the shuffle; every output expression
     is evaluated after the dedup, on the surviving rows.
     """
-    src = orders.select(*[F.col(c).cast("string") for c in ORDER_COLUMNS])
+    src = as_strings(orders, "raw_orders")
     keyed = src.select(
         *ORDER_COLUMNS,
         F.when(status_norm("status") == "completed", 0).otherwise(1).alias("__not_completed"),
@@ -79,7 +79,7 @@ def stg_orders(orders: DataFrame, with_loaded_at: bool = True) -> DataFrame:
 def stg_products(products: DataFrame, with_loaded_at: bool = True) -> DataFrame:
     """``stg_products``; per ``product_id`` the active row with the highest
     price wins."""
-    src = products.select(*[F.col(c).cast("string") for c in PRODUCT_COLUMNS])
+    src = as_strings(products, "raw_products")
     keyed = src.select(
         *PRODUCT_COLUMNS,
         F.when(parse_bool("is_active") == 1, 0).otherwise(1).alias("__inactive"),
@@ -107,7 +107,7 @@ def stg_products(products: DataFrame, with_loaded_at: bool = True) -> DataFrame:
 
 def stg_users(users: DataFrame, with_loaded_at: bool = True) -> DataFrame:
     """``stg_users``; per ``user_id`` the newest registration wins."""
-    src = users.select(*[F.col(c).cast("string") for c in USER_COLUMNS])
+    src = as_strings(users, "raw_users")
     keyed = src.select(*USER_COLUMNS, try_date("registered_at").alias("__registered"))
     best = keep_best(
         keyed, "user_id",

@@ -44,6 +44,16 @@ def table_path(spark: SparkSession, base: str, name: str) -> str:
     return single if path_exists(spark, single) else f"{base.rstrip('/')}/{name}"
 
 
+def as_strings(df: DataFrame, table: str) -> DataFrame:
+    """The source columns of ``table`` in order, each cast to STRING (sources
+    may arrive typed; every rule reads them as text). Missing columns raise."""
+    wanted = SOURCE_COLUMNS[table]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{table} is missing column(s) {missing}; has {df.columns}")
+    return df.select(*[F.col(c).cast("string").alias(c) for c in wanted])
+
+
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None,
                where: Mapping[str, Iterable[object]] | None = None,

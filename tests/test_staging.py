@@ -119,3 +119,23 @@ def test_fixture_counts_and_keys(spark):
     assert o.select("source_table").distinct().collect()[0][0] == "orders"
     assert dict(o.dtypes)["quantity"] == "decimal(38,0)" and dict(o.dtypes)["is_status_unknown"] == "int"
     assert o.filter(F.col("status").isNotNull() & ~F.col("status").isin("completed", "cancelled", "returned")).count() == 0
+
+
+def test_typed_sources_are_read_as_text(spark):
+    import pytest
+    from tallyhouse.plans.audit import issues_long
+    from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status
+    typed = spark.createDataFrame(
+        [("o1", "u1", "p1", dt.date(2024, 1, 5), 2, "completed", 10.5, 0.1),
+         ("o1", "u1", "p1", dt.date(2024, 1, 6), 0, "completed", 0.0, 1.5)],
+        "order_id string, user_id string, product_id string, order_date date, quantity int, "
+        "status string, revenue_czk double, discount_pct double")
+    got = stg_orders(typed, with_loaded_at=False).first()
+    assert (got.order_date, got.quantity, got.is_revenue_suspicious) == (dt.date(2024, 1, 6), Decimal(0), 1)
+    users = strings(spark, UCOLS, [("u1", "CZ", "email", "2020-01-01", "18-24")])
+    products = strings(spark, PCOLS, [("p1", "A", "toys", "10", "0.2", "1")])
+    issues = {r.issue_type: r.affected_rows for r in
+              issues_long(typed, products, users, ref_allowed_status(spark), ref_allowed_age_group(spark)).collect()}
+    assert issues["quantity_le_zero"] == 1 and issues["discount_out_of_range"] == 1
+    with pytest.raises(ValueError, match="missing column"):
+        stg_orders(typed.drop("status"))
