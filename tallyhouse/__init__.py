@@ -7,6 +7,6 @@ key becomes a partial ``WindowGroupLimit`` before the shuffle, and counts are
 pre-aggregated map-side before any join.
 """
 
-from tallyhouse.session import build_session, shared_dir  # noqa: F401
+from tallyhouse.session import build_session, shared_dir, size_shuffle_partitions  # noqa: F401
 
-__all__ = ["build_session", "shared_dir"]
+__all__ = ["build_session", "shared_dir", "size_shuffle_partitions"]

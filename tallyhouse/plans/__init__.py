@@ -10,8 +10,11 @@ from tallyhouse.plans.staging import stg_orders, stg_products, stg_users  # noqa
 from tallyhouse.plans.audit import data_quality_issues, issues_long  # noqa: F401
 from tallyhouse.plans.marts import (  # noqa: F401
     category_performance,
+    category_totals,
+    monthly_revenue,
     monthly_revenue_by_country,
+    user_metrics,
     user_segments,
 )
-from tallyhouse.plans.cohort import cohort_retention  # noqa: F401
+from tallyhouse.plans.cohort import cohort_activity_long, cohort_retention  # noqa: F401
 from tallyhouse.plans.job import refresh  # noqa: F401
