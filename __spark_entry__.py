@@ -19,7 +19,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from tallyhouse.oracle import oracle_queries  # noqa: E402
+from duckdb_oracle import oracle_queries  # noqa: E402
 from tallyhouse.operators.profile import duplicates, orphans  # noqa: E402
 from tallyhouse.operators.dedup import keep_best, tie_breakers  # noqa: E402
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
