@@ -18,13 +18,22 @@ def profile(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(pred).alias(name) for name, pred in checks.items()])
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """(key, __n): rows per non-NULL ``key``, combined map-side, so a key
+    holding a third of all rows ships one row per task.
+
+    ``duplicates`` and both sides of ``orphans`` are built on it; on the same
+    input the subtrees are identical, so Spark runs the scan and shuffle once
+    and reuses the exchange.
+    """
+    return df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+
+
 def duplicates(df: DataFrame, key: str, name: str = "dup_rows") -> DataFrame:
     """One row: all rows (not only the extras) whose non-NULL ``key`` occurs
-    more than once. Counts are combined map-side, so a hot key is one row per
-    task in the shuffle."""
-    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return (per_key.filter(F.col("__n") > 1)
-                   .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
+    more than once."""
+    return (key_counts(df, key).filter(F.col("__n") > 1)
+            .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
 
 
 def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None,
@@ -32,21 +41,16 @@ def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str | None =
     """One row: rows of ``left`` with a non-NULL ``key`` that has no match in
     ``right`` (``NOT EXISTS``).
 
-    ``left`` is first reduced to (key, row count) — map-side combined, so even
-    a key holding a third of all rows ships one row per task — and ``right``
-    to its distinct keys; only these two key sets meet in the join. The join
-    is written as left outer + "no match" filter: as a ``left_anti`` join the
-    optimizer would push it below the aggregate and shuffle every raw row.
+    Both sides are first reduced to per-key counts, so only the two key sets
+    meet in the join. It is written as left outer + "no match" (the right
+    count is NULL): as a ``left_anti`` join the optimizer would push it below
+    the aggregate and shuffle every raw row.
     """
     rk = right_key or key
-    left_keys = (left.filter(F.col(key).isNotNull())
-                     .groupBy(key).agg(F.count(F.lit(1)).alias("__n")))
-    right_keys = (right.filter(F.col(rk).isNotNull())
-                       .select(F.col(rk).alias(key)).distinct()
-                       .withColumn("__hit", F.lit(True)))
-    return (left_keys.join(right_keys, on=key, how="left")
-                     .filter(F.col("__hit").isNull())
-                     .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
+    right_keys = key_counts(right, rk).select(F.col(rk).alias(key), F.col("__n").alias("__right_n"))
+    return (key_counts(left, key).join(right_keys, on=key, how="left")
+            .filter(F.col("__right_n").isNull())
+            .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
 
 
 def to_long(wide: DataFrame, table: str, names: Mapping[str, str] | None = None) -> DataFrame:

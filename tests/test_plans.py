@@ -87,3 +87,12 @@ def test_marts_preaggregate_before_joining(spark, chain):
         p = plan(df)
         assert "partial_sum" in p or "partial_count" in p
         assert _join_inputs_are_aggregated(p), p
+
+
+def test_audit_reuses_dimension_key_counts(spark, chain):
+    raw = chain[0]
+    df = data_quality_issues(spark, raw["raw_orders"], raw["raw_products"], raw["raw_users"])
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    # products and users: one scan + shuffle serves both the duplicate count and the orphan check
+    assert executed.toString().count("ReusedExchange") >= 2
