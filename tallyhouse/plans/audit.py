@@ -2,8 +2,8 @@
 
 Shape: three single-pass profiles (one global aggregate each), three
 duplicate-key counts and two orphan counts (each pre-aggregated by key), all
-unpivoted to long rows, unioned, and joined to the constant-size catalog by
-broadcast. Every branch returns one row (or a handful), so the union and the
+unpivoted to long rows, unioned, and joined to the 26-row catalog (a literal
+table, broadcast by Spark's own size check). Every branch returns one row (or a handful), so the union and the
 catalog join are tiny whatever the input size.
 """
 
@@ -56,9 +56,9 @@ def users_prep(users: DataFrame) -> DataFrame:
 
 
 def _lookup(df: DataFrame, code_list: DataFrame, list_col: str, on: str, as_name: str) -> DataFrame:
-    """Left join to a code list (broadcast: code lists are small); ``as_name``
-    is NULL where the value is not in the list."""
-    ref = F.broadcast(code_list.select(F.col(list_col).alias(as_name)))
+    """Left join to a code list; ``as_name`` is NULL where the value is not in
+    the list. The literal code lists are broadcast by Spark's size check."""
+    ref = code_list.select(F.col(list_col).alias(as_name))
     return df.join(ref, F.col(as_name) == F.col(on), "left")
 
 
@@ -140,7 +140,7 @@ def data_quality_issues(spark: SparkSession, orders: DataFrame, products: DataFr
     ref_age_group = ref_age_group if ref_age_group is not None else ref_allowed_age_group(spark)
     out = (issues_long(orders, products, users, ref_status, ref_age_group)
            .filter(F.col("affected_rows") > 0)
-           .join(F.broadcast(catalog), on=["table_name", "issue_type"], how="left")
+           .join(catalog, on=["table_name", "issue_type"], how="left")
            .select("table_name", "issue_type", F.col("affected_rows").cast("bigint").alias("affected_rows"),
                    "description", "recommended_fix"))
     return out.orderBy("table_name", "issue_type") if ordered else out

@@ -1,13 +1,13 @@
 """Reference tables: allowed code lists and the issue catalog.
 
-They are constant-size literal tables, so joining them with ``broadcast`` is
-safe at any input scale.
+Built as SQL ``VALUES`` literal tables: the plan node carries its exact size,
+so Spark broadcasts them on its own size check (no hint needed, and a large
+user-supplied code list would simply not be broadcast).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tallyhouse.functions.exprs import ALLOWED_AGE_GROUPS, ALLOWED_STATUSES
 
@@ -94,24 +94,26 @@ ISSUE_CATALOG = (
      "Align with the code list; allowed values live in ref_allowed_age_group."),
 )
 
-CATALOG_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("issue_type", T.StringType(), False),
-    T.StructField("description", T.StringType(), True),
-    T.StructField("recommended_fix", T.StringType(), True),
-])
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def values_table(spark: SparkSession, rows, columns: tuple[str, ...]) -> DataFrame:
+    """A literal table ``SELECT * FROM VALUES (...), ... AS v(columns)``."""
+    body = ", ".join("(" + ", ".join(_sql_text(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS v({', '.join(columns)})")
 
 
 def ref_allowed_status(spark: SparkSession) -> DataFrame:
     """The allowed order statuses."""
-    return spark.createDataFrame([(s,) for s in ALLOWED_STATUSES], "status string")
+    return values_table(spark, [(s,) for s in ALLOWED_STATUSES], ("status",))
 
 
 def ref_allowed_age_group(spark: SparkSession) -> DataFrame:
     """The allowed age groups."""
-    return spark.createDataFrame([(a,) for a in ALLOWED_AGE_GROUPS], "age_group string")
+    return values_table(spark, [(a,) for a in ALLOWED_AGE_GROUPS], ("age_group",))
 
 
 def issue_catalog(spark: SparkSession) -> DataFrame:
     """(table_name, issue_type) → description, recommended_fix."""
-    return spark.createDataFrame(list(ISSUE_CATALOG), CATALOG_SCHEMA)
+    return values_table(spark, ISSUE_CATALOG, ("table_name", "issue_type", "description", "recommended_fix"))

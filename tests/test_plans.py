@@ -96,3 +96,18 @@ def test_audit_reuses_dimension_key_counts(spark, chain):
     executed.execute().count()
     # products and users: one scan + shuffle serves both the duplicate count and the orphan check
     assert executed.toString().count("ReusedExchange") >= 2
+
+
+def test_literal_reference_tables_broadcast_without_hints(spark):
+    """The code lists and the catalog are VALUES tables with exact sizes, so the
+    static plan already broadcasts them; no explicit hint is used."""
+    from tallyhouse.plans.audit import orders_prep, orders_profile
+    from tallyhouse.plans.reference import ref_allowed_status
+    big = spark.range(1000).selectExpr("CAST(id AS STRING) AS order_id", "'x' AS user_id", "'p' AS product_id",
+                                       "'2024-01-01' AS order_date", "'1' AS quantity", "'completed' AS status",
+                                       "'1' AS revenue_czk", "'0.1' AS discount_pct")
+    p = plan(orders_profile(orders_prep(big), ref_allowed_status(spark)))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    import inspect
+    import tallyhouse.plans.audit as audit_module
+    assert "broadcast(" not in inspect.getsource(audit_module)
