@@ -104,7 +104,8 @@ def test_literal_reference_tables_broadcast_without_hints(spark):
     from tallyhouse.plans.audit import orders_prep, orders_profile
     from tallyhouse.plans.reference import ref_allowed_status
     big = spark.range(1000).selectExpr("CAST(id AS STRING) AS order_id", "'x' AS user_id", "'p' AS product_id",
-                                       "'2024-01-01' AS order_date", "'1' AS quantity", "'completed' AS status",
+                                       "'2024-01-01' AS order_date", "'1' AS quantity",
+                                       "CASE WHEN id % 2 = 0 THEN 'completed' ELSE 'x' END AS status",
                                        "'1' AS revenue_czk", "'0.1' AS discount_pct")
     p = plan(orders_profile(orders_prep(big), ref_allowed_status(spark)))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
