@@ -57,3 +57,15 @@ def test_resume_keeps_committed_tables(spark, monkeypatch):
     again = R.refresh(spark, SF_SMALL, out, resume=True)
     assert again.written == first.written and not again.errors
     assert fs.getFileStatus(path).getModificationTime() == before
+
+
+def test_cli_runs_the_job(spark, capsys):
+    out = shared_dir(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        R.main([SF_SMALL, out, "--resume"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    printed = capsys.readouterr().out
+    assert "cohort_retention\t" in printed and "ERROR" not in printed
+    assert spark.read.parquet(f"{out}/analytics/cohort_retention").count() > 0
