@@ -23,7 +23,7 @@ sys.path.insert(0, HERE)
 
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
 from tallyhouse.plans.job import refresh  # noqa: E402
-from tallyhouse.session import build_session, shared_dir  # noqa: E402
+from tallyhouse.session import build_session, shared_dir, size_shuffle_partitions  # noqa: E402
 from tallyhouse.sources.sinks import write_table  # noqa: E402
 from tallyhouse.sources.tables import RAW_TABLES, raw_sources  # noqa: E402
 
@@ -36,9 +36,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
-                          driver_memory=os.environ.get("BENCH_MEMORY", "16g"))
+    spark = build_session(f"local[{cpus}]", driver_memory=os.environ.get("BENCH_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
+    partitions = size_shuffle_partitions(spark, [sf_dir])  # same sizing rule as the CLI
     scratch = shared_dir(spark, "bench")
 
     t0 = time.perf_counter()
@@ -96,7 +96,8 @@ def main() -> None:
     total = round(sum(v for k, v in timings.items() if k not in ("land_raw", "refresh")), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_dataset_median_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": sf, "cpus": cpus, "repeat": repeat}))
+                      "queries": timings, "sf": sf, "cpus": cpus, "repeat": repeat,
+                      "shuffle_partitions": partitions}))
 
 
 if __name__ == "__main__":
