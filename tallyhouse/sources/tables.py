@@ -57,18 +57,24 @@ def as_strings(df: DataFrame, table: str) -> DataFrame:
 def read_table(spark: SparkSession, base: str, name: str,
                columns: Sequence[str] | None = None,
                where: Mapping[str, Iterable[object]] | None = None,
-               where_operator: str = "eq") -> DataFrame:
+               where_operator: str = "eq", fmt: str = "parquet") -> DataFrame:
     """Whole-table scan of a mapped table.
 
     ``columns`` keeps only those columns; ``where`` keeps rows whose column
     value is in the given list (``where_operator="eq"``) or not in it
     (``"ne"``; SQL semantics, so NULLs are dropped) — the value-list filter of
     a table mapping. Both are DataFrame operations, so they land in the scan
-    as ``ReadSchema`` and ``PushedFilters``.
+    as ``ReadSchema`` and ``PushedFilters``. ``fmt="csv"`` reads a folder of
+    header CSV files (``<base>/<name>``) with every column as text.
     """
     if where_operator not in ("eq", "ne"):
         raise ValueError(f"where_operator must be 'eq' or 'ne', not {where_operator!r}")
-    df = spark.read.parquet(table_path(spark, base, name))
+    if fmt == "csv":
+        df = read_csv_typed(spark, f"{base.rstrip('/')}/{name}")
+    elif fmt == "parquet":
+        df = spark.read.parquet(table_path(spark, base, name))
+    else:
+        raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
     for column, values in (where or {}).items():
         values = list(values)
         if not values:  # an empty list means "no filter", as in the mapping
@@ -80,14 +86,15 @@ def read_table(spark: SparkSession, base: str, name: str,
     return df
 
 
-def read_csv_typed(spark: SparkSession, path: str, columns: Sequence[str],
+def read_csv_typed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                    header: bool = True) -> DataFrame:
-    """CSV scan that reads only ``columns`` and keeps every value as STRING
-    (no inference pass over the data)."""
+    """CSV scan that keeps every value as STRING (no inference pass over the
+    data: only the header line is read to name the columns) and reads only
+    ``columns`` when given."""
     probe = spark.read.option("header", header).option("inferSchema", False).csv(path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in probe.columns])
     df = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
-    return df.select(*columns)
+    return df.select(*columns) if columns else df
 
 
 def _view(spark: SparkSession, base: str, view: str) -> DataFrame:
@@ -111,7 +118,7 @@ def raw_users(spark: SparkSession, base: str) -> DataFrame:
     return _view(spark, base, "raw_users")
 
 
-def raw_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+def raw_sources(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """All three sources. A folder that already holds ``raw_*`` tables (for
     example a landing zone) is read directly; otherwise they are derived from
     the driver's TPC-H-like tables."""
@@ -120,7 +127,7 @@ def raw_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         landed = path_exists(spark, f"{base.rstrip('/')}/{view}") or \
             path_exists(spark, f"{base.rstrip('/')}/{view}.parquet")
         if landed:
-            out[view] = read_table(spark, base, view, columns=SOURCE_COLUMNS[view])
+            out[view] = read_table(spark, base, view, columns=SOURCE_COLUMNS[view], fmt=fmt)
         else:
             out[view] = _view(spark, base, view)
     return out
