@@ -53,7 +53,7 @@ def _path(out: str, layer: str, name: str) -> str:
 
 
 def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
-            run_audit: bool = True, resume: bool = False) -> RefreshResult:
+            run_audit: bool = True, resume: bool = False, source_format: str = "parquet") -> RefreshResult:
     """Run the whole chain; returns where each table was written.
 
     ``source`` is a folder (raw_* tables, or the driver's tables they are
@@ -64,7 +64,7 @@ def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
     (``_SUCCESS``) is kept as is, so re-running into the same ``out`` after a
     driver failure continues from the last finished tables.
     """
-    raw = raw_sources(spark, source) if isinstance(source, str) else source
+    raw = raw_sources(spark, source, fmt=source_format) if isinstance(source, str) else source
     result = RefreshResult(out=out)
 
     def write(name: str, layer: str, df: DataFrame) -> None:
@@ -138,10 +138,12 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     ap.add_argument("out")
     ap.add_argument("--master", default=None)
     ap.add_argument("--resume", action="store_true", help="keep tables already committed in <out>")
+    ap.add_argument("--format", default="parquet", choices=("parquet", "csv"),
+                    help="format of landed raw_* source tables")
     args = ap.parse_args(argv)
     spark = build_session(args.master)
     size_shuffle_partitions(spark, [args.source])
-    res = refresh(spark, args.source, args.out, resume=args.resume)
+    res = refresh(spark, args.source, args.out, resume=args.resume, source_format=args.format)
     for name, path in res.written.items():
         print(f"{name}\t{path}")
     for name, err in res.errors.items():
