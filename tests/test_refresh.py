@@ -69,3 +69,35 @@ def test_cli_runs_the_job(spark, capsys):
     printed = capsys.readouterr().out
     assert "cohort_retention\t" in printed and "ERROR" not in printed
     assert spark.read.parquet(f"{out}/analytics/cohort_retention").count() > 0
+
+
+EXPECTED_TYPES = {
+    "stg_orders": "order_id string, user_id string, product_id string, order_date date, quantity decimal(38,0), "
+                  "status string, revenue_czk decimal(18,2), discount_pct decimal(6,4), is_revenue_suspicious int, "
+                  "is_status_unknown int, is_quantity_invalid int, loaded_at timestamp, source_table string",
+    "stg_products": "product_id string, product_name string, category string, price_czk decimal(18,2), "
+                    "margin_pct decimal(6,4), is_active int, is_price_invalid int, is_margin_out_of_range int, "
+                    "is_category_missing int, loaded_at timestamp, source_table string",
+    "stg_users": "user_id string, country string, acquisition_channel string, registered_at date, age_group string, "
+                 "is_age_group_unknown int, is_country_unknown int, is_channel_unknown int, "
+                 "is_registered_at_invalid int, loaded_at timestamp, source_table string",
+    "data_quality_issues": "table_name string, issue_type string, affected_rows bigint, description string, "
+                           "recommended_fix string",
+    "monthly_revenue_by_country": "month date, country string, revenue_czk decimal(18,2), "
+                                  "prev_month_revenue_czk decimal(18,2), mom_growth_pct decimal(10,2)",
+    "category_performance": "category string, total_revenue_czk decimal(18,2), avg_margin_pct decimal(5,4), "
+                            "order_count bigint, avg_discount_pct decimal(5,4), revenue_rank bigint",
+    "user_segments": "user_id string, country string, age_group string, registered_at date, last_order_date date, "
+                     "order_count bigint, total_revenue_czk decimal(18,2), days_since_registered bigint, "
+                     "days_since_last_order bigint, segment string",
+    "cohort_retention": "cohort_month string, cohort_size bigint, month_0_users bigint, month_1_users bigint, "
+                        "month_2_users bigint, month_3_users bigint, month_0_retention_pct double, "
+                        "month_1_retention_pct double, month_2_retention_pct double, month_3_retention_pct double",
+}
+
+
+def test_published_schemas_match_the_contract(spark):
+    res = R.refresh(spark, SF_SMALL, shared_dir(spark))
+    for name, ddl in EXPECTED_TYPES.items():
+        got = ", ".join(f"{c} {t}" for c, t in res.table(spark, name).dtypes)
+        assert got == ddl, name
