@@ -53,6 +53,34 @@ def orphans(left: DataFrame, right: DataFrame, key: str, right_key: str | None =
             .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias(name)))
 
 
+def orphans_by_key(left: DataFrame, rights: Mapping[str, DataFrame],
+                   names: Mapping[str, str] | None = None) -> DataFrame:
+    """One row, one BIGINT column per foreign key of ``left``: rows whose
+    non-NULL key has no match in its table, all keys in one pass.
+
+    ``rights`` maps each key column of ``left`` to the table holding that key
+    under the same name. The key columns are unpivoted to (key name, value),
+    counted per pair map-side, and meet the union of the other tables'
+    per-key counts in a single left join — one scan and one shuffle of
+    ``left`` for every key, the same bytes as separate ``orphans`` calls.
+    """
+    keys = list(rights)
+    out_names = {k: (names or {}).get(k, k) for k in keys}
+    left_counts = (left.select(*[F.col(k).cast("string").alias(k) for k in keys])
+                       .unpivot(ids=[], values=keys, variableColumnName="__fk", valueColumnName="__key")
+                       .filter(F.col("__key").isNotNull())
+                       .groupBy("__fk", "__key").agg(F.count(F.lit(1)).alias("__n")))
+    right_counts = None
+    for k, right in rights.items():
+        part = key_counts(right, k).select(F.lit(k).alias("__fk"), F.col(k).cast("string").alias("__key"),
+                                           F.col("__n").alias("__right_n"))
+        right_counts = part if right_counts is None else right_counts.unionByName(part)
+    missing = (left_counts.join(right_counts, on=["__fk", "__key"], how="left")
+                          .filter(F.col("__right_n").isNull()))
+    return missing.agg(*[F.coalesce(F.sum(F.when(F.col("__fk") == k, F.col("__n"))), F.lit(0))
+                         .cast("bigint").alias(out_names[k]) for k in keys])
+
+
 def to_long(wide: DataFrame, table: str, names: Mapping[str, str] | None = None) -> DataFrame:
     """Unpivot a one-row profile into (table_name, issue_type, affected_rows).
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import STATUS_ALIAS_COMPLETED, blank, try_num
-from tallyhouse.operators.profile import duplicates, orphans, profile, to_long
+from tallyhouse.operators.profile import duplicates, orphans_by_key, profile, to_long
 from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
 from tallyhouse.sources.tables import as_strings
 
@@ -113,8 +113,9 @@ def issues_long(orders: DataFrame, products: DataFrame, users: DataFrame,
     parts = [
         to_long(orders_profile(o, ref_status), "orders"),
         to_long(duplicates(o, "order_id", "duplicate_order_id"), "orders"),
-        to_long(orphans(o, u, "user_id", name="fk_user_id_not_in_users"), "orders"),
-        to_long(orphans(o, p, "product_id", name="fk_product_id_not_in_products"), "orders"),
+        to_long(orphans_by_key(o, {"user_id": u, "product_id": p},
+                               {"user_id": "fk_user_id_not_in_users",
+                                "product_id": "fk_product_id_not_in_products"}), "orders"),
         to_long(products_profile(p), "products"),
         to_long(duplicates(p, "product_id", "duplicate_product_id"), "products"),
         to_long(users_profile(u, ref_age_group), "users"),
