@@ -1,7 +1,14 @@
 """Reusable DataFrame → DataFrame operators."""
 
 from tallyhouse.operators.dedup import keep_best  # noqa: F401
-from tallyhouse.operators.profile import duplicates, key_counts, orphans, profile, to_long  # noqa: F401
+from tallyhouse.operators.profile import (  # noqa: F401
+    duplicates,
+    key_counts,
+    orphans,
+    orphans_by_key,
+    profile,
+    to_long,
+)
 from tallyhouse.operators.series import mom_growth, rank_by  # noqa: F401
 from tallyhouse.operators.segments import SEGMENT_RULES, segment  # noqa: F401
 from tallyhouse.operators.cohort import cohort_activity, cohort_sizes, pivot_cohort  # noqa: F401
