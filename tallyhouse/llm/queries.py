@@ -83,7 +83,7 @@ _OP3 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []
                           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                          ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS set
+                          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS set
       FROM d),
 e AS (SELECT doc_id, len(set) AS n, unnest(set) AS x FROM s),
 links AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
@@ -97,8 +97,8 @@ _OP4 = """
 WITH RECURSIVE g AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
           WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT u AS node, u AS other FROM links UNION SELECT r.node, l.v FROM reach r JOIN links l ON r.other = l.u),
@@ -115,7 +115,7 @@ WITH t AS (
   UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) r(i)),
 w AS (SELECT *, role || chr(10) || text || chr(10) AS shown,
              length(role) + length(text) + 24
-             + len(regexp_extract_all(role, '<​*\\|im_(start|end)\\|>')) + len(regexp_extract_all(text, '<​*\\|im_(start|end)\\|>')) AS n
+             + len(regexp_extract_all(role, '<' || chr(8203) || '*\\|im_(start|end)\\|>')) + len(regexp_extract_all(text, '<' || chr(8203) || '*\\|im_(start|end)\\|>')) AS n
       FROM t),
 a AS (SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(shown, '' ORDER BY turn NULLS FIRST, role, text) AS shown,
              coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '') AS loss,
