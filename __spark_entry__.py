@@ -274,10 +274,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_monthly_revenue_by_country(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where that folder exists."""
+    try:
+        import corpus_pipeline
+        from tallyhouse.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "tallyhouse.llm", "tallyhouse.llm.queries"):
+            raise
+        return {}, {}
+    sql = ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracle_queries()
-    return {name: sql[name] for name in _QUERIES if name in sql}
+    return {name: sql[name] for name in _QUERIES if name in sql} | _training_data()[1]
