@@ -86,7 +86,8 @@ class Words:
     index of each row's first word, with the total at the end.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool, split: np.ndarray | None = None):
+        """``split``: bytes that begin a new piece inside a word, if any."""
         self.data = _LOWER[data] if lower else data
         n_rows = len(offsets) - 1
         is_word = _IS_WORD[data]
@@ -94,6 +95,9 @@ class Words:
         if len(data):
             begins[1:] &= ~is_word[:-1]
             ends[:-1] &= ~is_word[1:]
+            if split is not None:
+                begins |= split
+                ends[:-1] |= split[1:]
             inner = offsets[1:-1]
             inner = inner[(inner > 0) & (inner < len(data))]
             begins[inner] = is_word[inner]

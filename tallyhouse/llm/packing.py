@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,15 @@ END_ID = 1
 #: Dimensions of the projected document vectors, and bits kept of each.
 DIMENSIONS = 4
 BITS = 8
-#: Words whose ids a worker remembers; the memory starts anew beyond it.
-REMEMBERED = 400_000
+#: Pieces whose ids a worker remembers; the memory starts anew beyond it.
+REMEMBERED = 2_000_000
+#: Words that are encoded in one line.
+LINE = 500
+
+# 1: ASCII letters and digits, 2: ASCII punctuation apart from ' < | >
+_KIND = np.zeros(256, np.uint8)
+_KIND[[c for c in range(128) if chr(c).isalnum()]] = 1
+_KIND[[ord(c) for c in '!"#$%&()*+,-./:;=?@[\\]^_`{}~']] = 2
 
 
 
@@ -32,36 +40,91 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def _word_end(path: str) -> np.ndarray:
+    """Whether an id ends a word."""
+    vocabulary = _tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return out
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Words cut further where the tokenizer always cuts: between an ASCII letter
+    or digit and ASCII punctuation that no contraction or special token uses.
+    Letters are lower-cased as the tokenizer does, where no combining mark
+    follows and the slice holds no special token; fewer pieces are distinct."""
+    kind = _KIND[data]
+    split = np.zeros(len(data), bool)
+    split[1:] = (kind[1:] | kind[:-1]) == 3
+    if len(data) and not ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+        upper = (data >= 65) & (data <= 90)
+        upper[:-1] &= (data[1:] != 0xCC) & (data[1:] != 0xCD)
+        data = data + upper.astype(np.uint8) * np.uint8(32)
+    return Words(data, offsets, lower=False, split=split)
+
+
 class WordIds:
-    """Token ids of words. The tokenizer drops white space and never joins
-    across it, so a text's ids are its words' ids in order; each distinct word
-    is encoded once and remembered."""
+    """Token ids of pieces of text. The tokenizer drops white space and never
+    joins across it or the cuts of :func:`pieces`, so a text's ids are its
+    pieces' ids in order; each distinct piece is encoded once and remembered,
+    in arrays sorted by hash."""
 
     def __init__(self, path: str):
-        self.path, self.known = path, {}
+        self.path = path
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint16)
+
+    def _learn(self, words: Words, keys: np.ndarray, at: np.ndarray) -> None:
+        if len(self.keys) > REMEMBERED:
+            self._clear()
+        data = words.data.tobytes()
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(words.start[at].tolist(), words.end[at].tolist())]
+        # letters alone are one word of the tokenizer, whose last id says so:
+        # they go in by the line; the rest go one by one
+        plain = np.fromiter((t.lower().isalpha() and t.isalpha() for t in texts), bool, len(texts))
+        order = np.argsort(~plain, kind="stable")
+        keys, n = keys[order], int(plain.sum())
+        texts = [texts[i] for i in order.tolist()]
+        lined = [" ".join(texts[i:min(n, i + LINE)]) for i in range(0, n, LINE)]
+        flat, size = self._ids(lined)
+        ends = np.flatnonzero(_word_end(self.path)[flat]) + 1
+        if len(ends) != n:
+            raise ValueError("the tokenizer cuts words of letters")
+        flat_rest, size_rest = self._ids(texts[n:])
+        flat, size = np.concatenate((flat, flat_rest)), np.concatenate((np.diff(ends, prepend=0), size_rest))
+        keys = np.concatenate((self.keys, keys))
+        order = np.argsort(keys)
+        self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(size) - size))[order]
+        self.size, self.keys = np.concatenate((self.size, size))[order], keys[order]
+        self.flat = np.concatenate((self.flat, flat))
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        return np.fromiter(chain.from_iterable(got), np.uint16, int(size.sum())), size
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a slice in order, and ids per word."""
         if not len(words.hash):
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         keys, at, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        names = keys.tolist()
-        new = [i for i, k in enumerate(names) if k not in self.known]
-        if new:
-            data = words.data.tobytes()
-            texts = [data[words.start[i]:words.end[i]].decode("utf-8", "replace") for i in at[new].tolist()]
-            for i, got in zip(new, _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)):
-                self.known[names[i]] = np.array(got.ids, np.uint16)
-        ids = [self.known[k] for k in names]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids)
-        begin = np.cumsum(size) - size
-        per_word = size[inverse]
+        place = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        if len(self.keys):
+            new = self.keys[np.minimum(place, len(self.keys) - 1)] != keys
+        if new.any():
+            if len(self.keys) > REMEMBERED:
+                new[:] = True  # the memory starts anew
+            self._learn(words, keys[new], at[new])
+            place = np.searchsorted(self.keys, keys)
+        per_word = self.size[place][inverse]
         ends = np.cumsum(per_word)
-        total = int(ends[-1]) if len(ends) else 0
-        return flat[np.repeat(begin[inverse] - (ends - per_word), per_word) + np.arange(total)], per_word
+        from_ = np.repeat(self.begin[place][inverse] - (ends - per_word), per_word)
+        return self.flat[from_ + np.arange(int(ends[-1]))], per_word
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -119,7 +182,7 @@ def tokenised(docs: DataFrame, text: str, payload: list[str], tokenizer: str) ->
     def run(batches):
         memory = WordIds(tokenizer)
         for part in slices(batches, "text"):
-            words = Words(*text_buffer(part.column("text")), lower=False)
+            words = pieces(*text_buffer(part.column("text")))
             ids, per_word = memory.encode(words)
             ends = np.concatenate(([0], np.cumsum(per_word)))[words.first]
             each = [blob(np.append(ids[a:b], np.uint16(END_ID))) for a, b in zip(ends[:-1], ends[1:])]
