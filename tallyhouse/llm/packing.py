@@ -127,6 +127,12 @@ class WordIds:
         return self.flat[from_ + np.arange(int(ends[-1]))], per_word
 
 
+@lru_cache(maxsize=2)
+def _memory(path: str) -> WordIds:
+    """One memory per Python worker, which serves many tasks."""
+    return WordIds(path)
+
+
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     """Place of integer points (rows, below ``2**bits``) along the Hilbert curve.
 
@@ -180,7 +186,7 @@ def tokenised(docs: DataFrame, text: str, payload: list[str], tokenizer: str) ->
                          F.lit(b"").alias("ids")).schema
 
     def run(batches):
-        memory = WordIds(tokenizer)
+        memory = _memory(tokenizer)
         for part in slices(batches, "text"):
             words = pieces(*text_buffer(part.column("text")))
             ids, per_word = memory.encode(words)
