@@ -1,8 +1,10 @@
 """Language-model scores from a log-frequency Bloom filter of bigram counts.
 
-All texts become blocks of token numbers, stored once. Exact unigram counts
-travel between blocks and hash parts pre-aggregated per block, so a frequent
-word costs one entry per block. Bigram counts are summed per hash part, which
+All texts become blocks of token numbers, built anew in each of three passes (a
+stored copy would take as much disk as the texts) and named by their content,
+so that a block that came out otherwise the second time is an error, never a
+wrong count. Exact unigram counts travel between blocks and hash parts
+pre-aggregated per block, so a frequent word costs one entry per block. Bigram counts are summed per hash part, which
 writes one segment of the filter: a bigram of count c is entered at levels 1 to
 ``1 + floor(log2 c)``. The filter has a fixed greatest size and is broadcast; a
 count is read back by probing level after level until one is missing.
@@ -34,13 +36,15 @@ LOAD = 0.6
 _END = np.uint64(0x1B873593CC9E2D51)
 
 
-def blocks(docs: DataFrame, doc_id: str, text: str, held_out: Column, payload: list[str]) -> DataFrame:
+def blocks(docs: DataFrame, text: str, held_out: Column, payload: list[str]) -> DataFrame:
     """Token blocks: ``docs`` (array of payload structs), ``held`` (a byte per row),
     ``ends`` (int32 per row), ``tokens`` (numbers into ``words``), ``words``
-    (sorted distinct 64-bit hashes), ``seen`` (int32 training count of each)."""
+    (sorted distinct 64-bit hashes), ``seen`` (int32 training count of each), and
+    ``block``, a hash of words and counts."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("doc"), F.col(text).cast("string").alias("text"),
                        held_out.alias("held"))
-    schema = rows.select(F.array("doc").alias("docs"), *[F.lit(b"").alias(c) for c in ("held", "ends", "tokens", "words", "seen")]).schema
+    schema = rows.select(F.array("doc").alias("docs"), *[F.lit(b"").alias(c) for c in ("held", "ends", "tokens", "words", "seen")],
+                         F.lit(0).cast("long").alias("block")).schema
 
     def run(batches):
         for part in slices(batches, "text"):
@@ -58,9 +62,10 @@ def blocks(docs: DataFrame, doc_id: str, text: str, held_out: Column, payload: l
             small = np.uint16 if len(unique) <= 1 << 16 else np.uint32
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("doc")), *[pa.array([blob(x)], pa.binary()) for x in (
-                    held, ends.astype(np.int32), number.astype(small), unique, seen.astype(np.int32))]], schema.names)
+                    held, ends.astype(np.int32), number.astype(small), unique, seen.astype(np.int32))],
+                 pa.array([int(mix(unique + mix(seen.astype(np.uint64))).sum().view(np.int64))], pa.int64())], schema.names)
 
-    return rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, schema)
 
 
 def _numbers(tokens: bytes, words: bytes) -> np.ndarray:
@@ -89,7 +94,7 @@ def _split(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, found, np.append(first, len(order))
 
 
-def unigrams(stored_blocks: DataFrame, parts: int) -> DataFrame:
+def unigrams(table: DataFrame, parts: int) -> DataFrame:
     """Rows (block, part, counts): exact training counts of a block's words of the
     part, in hash order; and a row per part with ``total`` and ``distinct``."""
     def send(batches):
@@ -118,8 +123,8 @@ def unigrams(stored_blocks: DataFrame, parts: int) -> DataFrame:
                  pa.array([blob(c) for c in counts] + [None], pa.binary()), pa.array([None] * k + [int(total.sum())], pa.int64()),
                  pa.array([None] * k + [int((total > 0).sum())], pa.int64())], ["block", "part", "counts", "total", "distinct"])
 
-    spark = stored_blocks.sparkSession
-    sent = stored_blocks.select("block", "words", "seen").mapInArrow(send, "part int, block long, words binary, seen binary")
+    spark = table.sparkSession
+    sent = table.select("block", "words", "seen").mapInArrow(send, "part int, block long, words binary, seen binary")
     return (sent.repartition(partitions(spark), "part").sortWithinPartitions("part")
             .mapInArrow(count, "block long, part int, counts binary, total long, distinct long"))
 
@@ -142,7 +147,7 @@ def _places(short: np.ndarray, level: int, bits: int):
     return [((h + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32) for i in range(HASHES)]
 
 
-def segments(stored_blocks: DataFrame, parts: int, bits: int) -> DataFrame:
+def segments(table: DataFrame, parts: int, bits: int) -> DataFrame:
     """(part, segment): each part's share of the filter, ``bits`` bits long."""
     def send(batches):
         for batch in batches:
@@ -185,8 +190,8 @@ def segments(stored_blocks: DataFrame, parts: int, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([blob(np.packbits(segment, bitorder="little"))],
                                                                                    pa.binary())], ["part", "segment"])
 
-    spark = stored_blocks.sparkSession
-    sent = (stored_blocks.select("held", "ends", "tokens", "words")
+    spark = table.sparkSession
+    sent = (table.select("held", "ends", "tokens", "words")
             .mapInArrow(send, "part int, single binary, short binary, count binary"))
     return (sent.repartition(partitions(spark), "part").sortWithinPartitions("part").mapInArrow(fill, "part int, segment binary"))
 
@@ -214,7 +219,7 @@ class Filter:
         return np.where(level > 0, (1.5 * 2.0 ** (level - 1)).clip(1.0) - 0.5 * (level > 1), 0.0)
 
 
-def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", payload: list[str] | None = None,
+def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[str] | None = None,
           most_bits: int = MOST_BITS) -> DataFrame:
     """Score every text under a unigram base and the bigram model.
 
@@ -231,7 +236,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     payload = payload or docs.columns
     held = F.coalesce(held_out, F.lit(True))
-    table = stored(blocks(docs, doc_id, text, held, payload), "lm-blocks")
+    table = blocks(docs, text, held, payload)
     parts = 4 * partitions(spark)
     counted = stored(unigrams(table, parts), "lm-unigrams")
     sums = counted.agg(F.sum("total"), F.sum("distinct")).first()
@@ -246,7 +251,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     answers = (counted.where("block IS NOT NULL").groupBy("block")
                .agg(F.collect_list(F.struct("part", "counts")).alias("answers")))
-    joined = table.join(answers, "block").select("docs", "held", "ends", "tokens", "words", "answers")
+    joined = table.join(answers, "block", "left").select("docs", "held", "ends", "tokens", "words", "answers")
     empty = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("doc"))
     schema = empty.select("doc", F.lit(True).alias("held_out"), *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
                           *[F.lit(0.0).alias(c) for c in ("base_score", "score")]).schema
@@ -260,6 +265,8 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             for i, (held, ends, tokens, words, answers) in enumerate(cells):
                 number, words = _numbers(tokens, words), np.frombuffer(words, np.uint64)
                 ends = np.frombuffer(ends, np.int32)
+                if answers is None:
+                    raise ValueError("a block of texts came out otherwise when it was built again")
                 order, found, cut = _split(words, parts)
                 count = np.empty(len(words), np.int64)
                 place = {p: k for k, p in enumerate(found.tolist())}
