@@ -35,7 +35,11 @@ CHUNK = 1 << 14
 FREQUENT = 64
 #: Entries that a task holds before it hands them on.
 HELD = 1_500_000
-BLOCK = 256
+BLOCK = 1024
+#: Sets of one signature up to which all its pairs are candidates as they are.
+SMALL = 12
+#: Bits of the bitmap of ids that keeps texts out of a join.
+FILTER_BITS = 22
 
 
 def shingle_sets(words: Words, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +218,7 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
 
 
 def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
-    """(sig, id, n) of every signature that two sets or more have."""
+    """(sig, id, n, size) of every signature that ``size`` sets have, two or more."""
     kind = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4")])
 
     def run(batches):
@@ -229,13 +233,15 @@ def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
         same = entries["sig"][1:] == entries["sig"][:-1]
         live = np.concatenate(([False], same)) | np.concatenate((same, [False]))
         entries = entries[live]
+        run_of = np.cumsum(np.concatenate(([False], entries["sig"][1:] != entries["sig"][:-1])))
+        size = np.bincount(run_of)[run_of].astype(np.int32) if len(entries) else np.zeros(0, np.int32)
         for a in range(0, len(entries), 100_000):
             e = entries[a:a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(e["sig"].astype(np.int64)), pa.array(e["id"].copy()),
-                                              pa.array(e["n"].copy())], ["sig", "id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(e["sig"].astype(np.int64)), pa.array(e["id"].copy()), pa.array(e["n"].copy()),
+                                              pa.array(size[a:a + 100_000])], ["sig", "id", "n", "size"])
 
     return (index.where("part IS NOT NULL").select("part", "entries").repartition(partitions(index.sparkSession), "part")
-            .mapInArrow(run, "sig long, id long, n int"))
+            .mapInArrow(run, "sig long, id long, n int, size int"))
 
 
 def _similar(pairs: DataFrame, table: DataFrame, column: str, keep, name: str) -> DataFrame:
@@ -295,26 +301,61 @@ def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataF
                 [pa.array(ids[at]), pa.array(np.diff(bounds)[at].astype(np.int32)),
                  pa.array([blob(hashes[bounds[i]:bounds[i + 1]]) for i in at], pa.binary())], ["id", "n", "hashes"])
 
-    sets = stored(docs.join(wanted, "doc_id").select("want", "text").mapInArrow(run, "id long, n int, hashes binary")
+    wanted = stored(wanted, "jaccard-wanted")
+    sets = stored(_perhaps_in(docs, wanted).join(wanted, "doc_id").select("want", "text").mapInArrow(run, "id long, n int, hashes binary")
                   .dropDuplicates(["id"]), "jaccard-sets")
     return _similar(pairs, sets, "hashes", _link, "jaccard-links")
 
 
-def _open_pairs(live: DataFrame, groups: DataFrame) -> DataFrame:
+def _perhaps_in(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose hashed id is in a bitmap of those of ``wanted``, so
+    that the join after it need not shuffle the other texts. The bitmap has a
+    fixed size (at most 2**FILTER_BITS / 64 rows), so it can be broadcast."""
+    def cell(c):
+        return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("cell") % 64).cast("int"))
+    bitmap = (wanted.select(cell("doc_id").alias("cell")).groupBy(F.floor(F.col("cell") / 64).alias("word"))
+              .agg(F.bit_or(bit).alias("bits")))
+    return (docs.withColumn("cell", cell("doc_id")).withColumn("word", F.floor(F.col("cell") / 64))
+            .join(F.broadcast(bitmap), "word").where(F.col("bits").bitwiseAND(bit) != 0).select(*docs.columns))
+
+
+def _bits_apart(x: np.ndarray, m: int, many: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a bitmap leaves open a link with each of many of its length."""
+    both = np.bitwise_count(many & x).sum(axis=1, dtype=np.int64)
+    most = np.minimum(m - int(np.bitwise_count(x).sum()) + both, n - np.bitwise_count(many).sum(axis=1, dtype=np.int64) + both)
+    return DEN * most >= NUM * (m + n - most)
+
+
+def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFrame:
     """Distinct pairs that share a signature, fit in size and lie in different
-    groups so far. Signatures whose sets are all in one group drop out; large
-    ones are dealt into blocks, so that no task holds a whole one."""
-    spark = live.sparkSession
+    groups so far.
+
+    Signatures whose sets are all in one group drop out. Those of up to SMALL
+    sets give their pairs as they are. Sets of larger ones bring their bitmaps,
+    are dealt into blocks, and only pairs that the bitmaps leave open go out: no
+    task holds a whole signature, and no pairs of a whole group are made rows.
+    """
     entries = (live.join(groups.withColumnRenamed("node", "id"), "id", "left")
                .select("sig", "id", "n", F.coalesce("component", "id").alias("group")))
     entries = stored(entries, "jaccard-entries")
     mixed = stored(entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"))
                    .where("lo <> hi").select("sig", "size"), "jaccard-mixed")
+    small = entries.join(mixed.where(F.col("size") <= SMALL), "sig").withColumn("sketch", F.lit(None).cast("binary"))
+    sketches = index.where("id IS NOT NULL").select("id", "sketch").dropDuplicates(["id"])
+    large = entries.join(mixed.where(F.col("size") > SMALL), "sig").join(sketches, "id")
+    return _cell_pairs(small).union(_cell_pairs(large)).distinct()
+
+
+def _cell_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one signature, block by block, from (sig, id, n, group, size, sketch)."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cells = (entries.join(mixed, "sig").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    cells = (entries.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("sig", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "id", "n", "group"))
-    cells = cells.repartition(partitions(spark), "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "n")
+             .select("sig", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "id", "n", "group",
+                     "sketch"))
+    cells = cells.repartition(partitions(entries.sparkSession), "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "n")
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -325,15 +366,18 @@ def _open_pairs(live: DataFrame, groups: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
 
         total = 0
-        for rows in _cell_runs(batches):
+        for rows, maps in _cell_runs(batches):
             block, ids, n, group = rows[:, 3], rows[:, 4], rows[:, 5], rows[:, 6]
             same = rows[0, 1] == rows[0, 2]
+            by_size = _stacked(maps)
             for i in range(len(rows) - 1):  # sorted by size: partners follow and are at most 4/3 as large
                 end = int(np.searchsorted(n, DEN * n[i] // NUM, "right"))
                 j = np.arange(i + 1, end)
                 j = j[group[j] != group[i]]
                 if not same:
                     j = j[block[j] != block[i]]
+                if by_size is not None and len(j):
+                    j = _open_partners(i, j, n, by_size)
                 if len(j):
                     held.append(np.stack((np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])), axis=1))
                     total += len(j)
@@ -343,25 +387,56 @@ def _open_pairs(live: DataFrame, groups: DataFrame) -> DataFrame:
         if held:
             yield give()
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return cells.mapInArrow(run, "a long, b long")
+
+
+def _stacked(maps: list) -> tuple | None:
+    """Bitmaps of equal length as matrices: length of each row, its place, matrices."""
+    if maps[0] is None:
+        return None
+    length = np.fromiter(map(len, maps), np.int64, len(maps))
+    place, stack = np.zeros(len(maps), np.int64), {}
+    for size in np.unique(length).tolist():
+        at = np.flatnonzero(length == size)
+        place[at] = np.arange(len(at))
+        stack[size] = np.frombuffer(b"".join(maps[i] for i in at.tolist()), np.uint8).reshape(len(at), size)
+    return length, place, stack
+
+
+def _open_partners(i: int, j: np.ndarray, n: np.ndarray, by_size: tuple) -> np.ndarray:
+    length, place, stack = by_size
+    out = []
+    for size in np.unique(length[j]).tolist():
+        at = j[length[j] == size]
+        x, many = stack[int(length[i])][place[i]], stack[size][place[at]]
+        while len(x) < many.shape[1]:
+            half = many.shape[1] // 2
+            many = many[:, :half] | many[:, half:]
+        while len(x) > many.shape[1]:
+            x = x[:len(x) // 2] | x[len(x) // 2:]
+        out.append(at[_bits_apart(x, int(n[i]), many, n[at])])
+    return np.concatenate(out)
 
 
 def _cell_runs(batches):
-    key, parts = None, []
+    """Rows and bitmaps of each run of equal (sig, lo, hi); at most two blocks long."""
+    key, parts, maps = None, [], []
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns], axis=1)
+        rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns[:-1]], axis=1)
+        sketches = batch.columns[-1].to_pylist()
         cut = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(rows)]):
             here = tuple(rows[a, :3].tolist())
             if parts and here != key:
-                yield np.concatenate(parts)
-                parts = []
+                yield np.concatenate(parts), maps
+                parts, maps = [], []
             key = here
             parts.append(rows[a:b])
+            maps = maps + sketches[a:b] if maps else sketches[a:b]
     if parts:
-        yield np.concatenate(parts)
+        yield np.concatenate(parts), maps
 
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -373,8 +448,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     A-Z is lower-cased; a text with fewer than five words is one shingle; null,
     empty and wordless texts, and rows without id, link with nothing. Equal sets
     are one node from the start, so groups of copies cost one comparison. Two
-    passes of candidates: every set with the smallest id of each of its
-    signatures, then the pairs that those links have left in different groups;
+    passes of candidates: every set with the set that its signatures point to
+    most, then the pairs that those links have left in different groups;
     no candidate is dropped unless a bound proves it apart. Repeated rows are
     copies; an empty table gives no rows.
     """
@@ -386,13 +461,17 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     usable = docs.where("doc_id IS NOT NULL")
     index = stored(indexed(usable, rank, frequent, parts), "jaccard-index")
     live = stored(shared_signatures(index, parts), "jaccard-live")
-    pivots = stored(live.groupBy("sig").agg(F.min("id").alias("a")), "jaccard-pivots")
+    # an original shares all its signatures with its copies, which differ from
+    # one another: per signature, the set whose signatures are most shared
+    weight = live.groupBy("id").agg(F.sum("size").alias("weight"))
+    pivots = stored(live.join(stored(weight, "jaccard-weights"), "id").groupBy("sig")
+                    .agg(F.max(F.struct("weight", "id")).alias("best")).select("sig", F.col("best.id").alias("a")), "jaccard-pivots")
     stars = live.join(pivots, "sig").where("id <> a").groupBy("id", "a").agg(F.count("*").alias("shared"))
     # the pivot that a set shares most signatures with; the second pass sees to the rest
     stars = stars.groupBy("id").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", F.col("id").alias("b"))
     links = verified(stars, index, usable, counted)
     groups = stored(components(links.withColumnRenamed("a", "u").withColumnRenamed("b", "v")), "jaccard-groups")
-    more = verified(stored(_open_pairs(live, groups), "jaccard-open"), index, usable, counted)
+    more = verified(stored(_open_pairs(live, groups, index), "jaccard-open"), index, usable, counted)
     links = links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     groups = stored(components(links).withColumnRenamed("node", "id"), "jaccard-groups")
 
