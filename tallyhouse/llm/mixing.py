@@ -21,7 +21,7 @@ UNIT = 1 << UNIT_BITS
 SALTS = 64
 TOLERANCE = 1e-9
 #: Rounds of mending what rounding left of a target.
-MENDS = 3
+MENDS = 4
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -102,7 +102,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     Rates are rounded by systematic sampling along each source in order of
     size: the copies of all documents up to a size are their summed rates,
     rounded. What a source then misses (less than its largest document) is
-    mended by moving copies of the largest size that fits, a few times. Sums
+    mended by moving copies of the size that fits best, a few times. Sums
     are exact integers over (source, size) groups; the copies of a group are
     spread evenly over its rows, numbered in salted parts, so no window holds
     more than the distinct sizes of a source or a salted part of one size.
@@ -149,14 +149,17 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
 
 def mended(by_size: DataFrame, most: int, rounds: int = MENDS) -> DataFrame:
-    """Move copies of the largest size that fits into what a source still misses
-    (or has too much). One row per source and size; ``m`` is its copies."""
+    """Move copies of the size that leaves least of what a source still misses (or
+    has too much). One row per source and size; ``m`` is its copies."""
     for _ in range(rounds):
         by_size = stored(by_size, "mix-copies")
         gap = by_size.groupBy("key").agg((F.round(F.first("target")).cast("long") - F.sum(F.col("m") * F.col("size"))).alias("gap"))
         room = F.when(F.col("gap") > 0, most * F.col("n") - F.col("m")).otherwise(F.col("m"))
-        fits = (by_size.join(gap, "key").where((F.col("size") > 0) & (F.col("size") <= F.abs("gap"))).withColumn("room", room)
-                .where("room > 0").withColumn("move", F.signum("gap").cast("long") * F.least("room", F.expr("abs(gap) div size"))))
-        best = fits.groupBy("key").agg(F.max_by(F.struct("size", "move"), "size").alias("b")).select("key", "b.size", "b.move")
+        fits = (by_size.join(gap, "key").where((F.col("size") > 0) & (F.col("size") < 2 * F.abs("gap"))).withColumn("room", room)
+                .where("room > 0").withColumn("k", F.least("room", F.greatest(F.lit(1), F.expr("abs(gap) div size"))))
+                .withColumn("left", F.abs(F.abs("gap") - F.col("k") * F.col("size")))
+                .withColumn("move", F.signum("gap").cast("long") * F.col("k")))
+        best = (fits.groupBy("key").agg(F.min_by(F.struct("size", "move"), F.struct("left", "size")).alias("b"))
+                .select("key", "b.size", "b.move"))
         by_size = (by_size.join(best, ["key", "size"], "left").withColumn("m", F.col("m") + F.coalesce("move", F.lit(0))).drop("move"))
     return by_size
