@@ -26,9 +26,11 @@ FALSE_WORDS = ("0", "false", "f", "no", "n", "ne")
 INITCAP_DELIMITERS = " \t\n\r\f\v!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
 # ---------------------------------------------------------------------------
 
-# A date string must look like yyyy-m-d (optionally followed by a time part)
-# before it is cast: Spark alone would also accept '2024' and '2024-01'.
-DATE_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"
+# A date string must be yyyy-m-d, alone or with a well-formed time of day and
+# zone, before it is cast: Spark alone would also accept '2024' and '2024-01',
+# and ignores whatever follows the day.
+DATE_SHAPE = (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+              r"([ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,9})?)?( ?(Z|UTC|[+-][0-9]{2}:?[0-9]{2}))?)?$")
 
 
 def _col(c: Column | str) -> Column:
@@ -55,7 +57,8 @@ def try_num(c: Column | str, precision: int = 38, scale: int = 0) -> Column:
 
 
 def try_date(c: Column | str) -> Column:
-    """Lenient-but-shaped date parse: NULL unless the text is ``yyyy-m-d[...]``."""
+    """Lenient-but-shaped date parse: NULL unless the text is ``yyyy-m-d`` with
+    nothing but a time of day after it."""
     text = blank(c)
     return F.when(text.rlike(DATE_SHAPE), text.try_cast("date"))
 
@@ -68,8 +71,7 @@ def flag(pred: Column) -> Column:
 def status_norm(c: Column | str) -> Column:
     """Order status → completed / cancelled / returned, alias mapped, else NULL."""
     s = F.lower(F.trim(_col(c)))
-    return (F.when(_col(c).isNull(), F.lit(None).cast("string"))
-            .when(s == STATUS_ALIAS_COMPLETED, F.lit("completed"))
+    return (F.when(s == STATUS_ALIAS_COMPLETED, F.lit("completed"))
             .when(s.isin(*ALLOWED_STATUSES), s))
 
 

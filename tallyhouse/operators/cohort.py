@@ -14,9 +14,9 @@ COHORT_OFFSETS = (0, 1, 2, 3)
 
 def cohort_sizes(users: DataFrame, user: str = "user_id", registered: str = "registered_at") -> DataFrame:
     """(cohort_month DATE, cohort_size): distinct users per registration month;
-    users without a registration month are left out."""
+    users without a registration month, and blank ids, are left out."""
     return (users.select(F.col(user), month_of(registered).alias("cohort_month"))
-                 .filter(F.col("cohort_month").isNotNull())
+                 .filter(F.col("cohort_month").isNotNull() & (F.trim(F.col(user).cast("string")) != ""))
                  .groupBy("cohort_month")
                  .agg(F.count_distinct(F.col(user)).alias("cohort_size")))
 
@@ -27,18 +27,19 @@ def cohort_activity(users: DataFrame, events: DataFrame, offsets: Sequence[int]
     """Long form (cohort_month DATE, offset INT, users BIGINT): distinct users
     of a cohort active ``offset`` whole calendar months after registering.
 
-    ``users`` must hold one row per user (as ``user_segments`` does). Events
-    are first reduced to distinct (user, month) pairs — map-side combined, so
+    Blank ids are nobody, and users are reduced to distinct (user, month)
+    pairs first, so a user listed twice counts once. Events are first reduced to distinct (user, month) pairs — map-side combined, so
     a user with a third of all orders ships one row per task and month — and
     only then joined to the users; after that join each row is one distinct
     (cohort, offset, user), so a plain count is the distinct-user count.
     """
-    active = (events.filter(F.col(user).isNotNull() & F.col(event_date).isNotNull())
+    real = F.col(user).isNotNull() & (F.trim(F.col(user).cast("string")) != "")
+    active = (events.filter(real & F.col(event_date).isNotNull())
                     .select(F.col(user), month_of(event_date).alias("event_month"))
                     .distinct())
-    cohorts = (users.filter(F.col(user).isNotNull())
+    cohorts = (users.filter(real)
                     .select(F.col(user), month_of(registered).alias("cohort_month"))
-                    .filter(F.col("cohort_month").isNotNull()))
+                    .filter(F.col("cohort_month").isNotNull()).distinct())
     offset = (month_index("event_month") - month_index("cohort_month")).cast("int")
     return (active.join(cohorts, on=user, how="inner")
                   .select("cohort_month", offset.alias("offset"))

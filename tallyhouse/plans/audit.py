@@ -86,8 +86,8 @@ def products_profile(p: DataFrame) -> DataFrame:
     return profile(p, {
         "null_in_key_product_id": F.col("product_id").isNull(),
         "price_le_zero": F.col("price_n").isNull() | (F.col("price_n") <= 0),
-        "missing_product_name": F.col("product_name").isNull() | (F.trim("product_name") == ""),
-        "missing_category": F.col("category").isNull() | (F.trim("category") == ""),
+        "missing_product_name": F.col("product_name").isNull(),
+        "missing_category": F.col("category").isNull(),
         "margin_out_of_range": F.col("margin_n").isNotNull()
                                & ((F.col("margin_n") < 0) | (F.col("margin_n") > 1)),
     })
@@ -97,9 +97,8 @@ def users_profile(u: DataFrame, ref_age_group: DataFrame) -> DataFrame:
     u = _lookup(u, ref_age_group, "age_group", "age_trimmed", "age_group_in_catalog")
     return profile(u, {
         "null_in_key_user_id": F.col("user_id").isNull(),
-        "missing_country": F.col("country").isNull() | (F.trim("country") == ""),
-        "missing_acquisition_channel": F.col("acquisition_channel").isNull()
-                                       | (F.trim("acquisition_channel") == ""),
+        "missing_country": F.col("country").isNull(),
+        "missing_acquisition_channel": F.col("acquisition_channel").isNull(),
         "missing_registered_at": F.col("registered_at").isNull(),
         "missing_age_group": F.col("age_group").isNull(),
         "invalid_age_group_format": F.col("age_group").isNotNull() & F.col("age_group_in_catalog").isNull(),

@@ -10,7 +10,9 @@ reported but does not stop the marts, a staging failure does.
 
 from __future__ import annotations
 
+import hashlib
 import logging
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -52,6 +54,45 @@ def _path(out: str, layer: str, name: str) -> str:
     return f"{out.rstrip('/')}/{layer}/{name}"
 
 
+class Generation:
+    """The record of one run in its output folder: a digest of the input files
+    and the names of the finished tables."""
+
+    def __init__(self, spark: SparkSession, out: str, raw: dict[str, DataFrame], resume: bool):
+        jvm, self._lock, self.kept = spark.sparkContext._jvm, threading.Lock(), set()
+        self._path = jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/_generation")
+        self._fs = self._path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files = []
+        for name in sorted(raw):
+            for file in sorted(raw[name].inputFiles()):
+                status = self._fs_of(jvm, spark, file)
+                files.append(f"{name} {file} {status.getLen()} {status.getModificationTime()}")
+        self._inputs = hashlib.sha256("\n".join(files).encode()).hexdigest()
+        if resume and self._fs.exists(self._path):
+            stream = self._fs.open(self._path)
+            lines = bytes(stream.readAllBytes()).decode().split("\n")
+            stream.close()
+            if files and lines[0] == self._inputs:
+                self.kept = set(lines[1:])
+        self._names = sorted(self.kept)
+        self._save()
+
+    @staticmethod
+    def _fs_of(jvm, spark, file):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(file))
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+
+    def _save(self) -> None:
+        stream = self._fs.create(self._path, True)
+        stream.write(bytearray("\n".join([self._inputs, *self._names]).encode()))
+        stream.close()
+
+    def finished(self, name: str) -> None:
+        with self._lock:
+            self._names.append(name)
+            self._save()
+
+
 def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
             run_audit: bool = True, resume: bool = False, source_format: str = "parquet") -> RefreshResult:
     """Run the whole chain; returns where each table was written.
@@ -60,20 +101,24 @@ def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
     derived from) or a dict of the three raw DataFrames. ``out`` must be a
     shared folder on a cluster (e.g. under ``spark.checkpoint.dir``).
 
-    With ``resume=True`` a table whose folder already holds a committed write
-    (``_SUCCESS``) is kept as is, so re-running into the same ``out`` after a
-    driver failure continues from the last finished tables.
+    ``<out>/_generation`` names the inputs of the run that owns the folder (a
+    digest of their files) and the tables it has finished. A run starts by
+    emptying it. With ``resume=True`` a run over the same inputs continues: it
+    keeps the tables listed there, and only those; over other inputs, or where
+    nothing is listed, it starts anew. Tables of two runs are never taken for one.
     """
     raw = raw_sources(spark, source, fmt=source_format) if isinstance(source, str) else source
     result = RefreshResult(out=out)
+    generation = Generation(spark, out, raw, resume)
 
     def write(name: str, layer: str, df: DataFrame) -> None:
         path = _path(out, layer, name)
-        if resume and path_exists(spark, f"{path}/_SUCCESS"):
+        if name in generation.kept and path_exists(spark, f"{path}/_SUCCESS"):
             log.info("resume: keeping committed %s", path)
             result.written[name] = path
             return
         result.written[name] = write_table(df, path)
+        generation.finished(name)
 
     def run_audit_phase() -> None:
         refs = {"ref_allowed_status": ref_allowed_status(spark),
@@ -118,13 +163,12 @@ def refresh(spark: SparkSession, source: str | dict[str, DataFrame], out: str,
                         category_performance(orders, products, ordered=True).coalesce(1)),
             pool.submit(write, "user_segments", "analytics", user_segments(users, orders)),
         ]
-        mart_jobs[2].result()
+        for job in mart_jobs:
+            job.result()  # the cohort is published only if every mart was
 
         # phase 3: cohort from the written user_segments and staged orders
         cohort = cohort_retention(result.table(spark, "user_segments"), orders, ordered=True).coalesce(1)
-        cohort_job = pool.submit(write, "cohort_retention", "analytics", cohort)
-        for job in (*mart_jobs, cohort_job):
-            job.result()
+        write("cohort_retention", "analytics", cohort)
     return result
 
 

@@ -70,7 +70,7 @@ ISSUE_CATALOG = (
      "Fill it from the catalogue, or file it under 'Uncategorized'."),
     ("products", "margin_out_of_range",
      "margin_pct is outside 0-1 (the data uses a fraction scale).",
-     "Agree an upper bound with the business (e.g. 0.9); the real maximum is about 0.44."),
+     "Correct the source; staging keeps the row and sets is_margin_out_of_range."),
     ("users", "null_in_key_user_id",
      "user_id is missing, so the user cannot be identified.",
      "Fill it from the source or drop the row."),

@@ -87,16 +87,27 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
+def partition_bytes(total: int, least: int = 128 * 1024 * 1024, most: int = 1024 * 1024 * 1024) -> int:
+    """Bytes per map and per reduce task for ``total`` bytes of input: 128 MB up to
+    1 TB, then growing with the square root (maps x reducers grows in proportion
+    to the input, not to its square), 1 GB at most."""
+    return int(min(most, max(least, least * (total / (1 << 40)) ** 0.5)))
+
+
 def size_shuffle_partitions(spark: SparkSession, paths: list[str],
-                            target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Set ``spark.sql.shuffle.partitions`` to about input bytes / 128 MB
-    (never below the default parallelism) and return it.
+                            target_bytes: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` to about input bytes over
+    :func:`partition_bytes` (never below the default parallelism), scan splits
+    to the same size, and return it.
 
     This is the starting point for the widest shuffles (the dedup and the
     per-key pre-aggregations read roughly the whole input); AQE then coalesces
     the smaller shuffles toward ``advisoryPartitionSizeInBytes``.
     """
-    wanted = -(-input_bytes(spark, paths) // target_bytes)
+    total = input_bytes(spark, paths)
+    target_bytes = target_bytes or partition_bytes(total)
+    wanted = -(-total // target_bytes)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     n = max(int(wanted), spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))

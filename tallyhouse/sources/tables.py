@@ -4,7 +4,6 @@ raw_* source views."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,9 +30,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # no JVM gateway (e.g. a Spark Connect client): local paths only
-        local = path[len("file:"):] if path.startswith("file:") else path
-        return "://" not in local and os.path.exists(local)
+    except Exception as exc:
+        raise RuntimeError(f"cannot look for {path}: this session has no access to the Hadoop file systems") from exc
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(conf).exists(hpath))
 
@@ -89,11 +87,18 @@ def read_table(spark: SparkSession, base: str, name: str,
 def read_csv_typed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                    header: bool = True) -> DataFrame:
     """CSV scan that keeps every value as STRING (no inference pass over the
-    data: only the header line is read to name the columns) and reads only
-    ``columns`` when given."""
-    probe = spark.read.option("header", header).option("inferSchema", False).csv(path)
+    data: only the header line is read to name the columns) and returns only
+    ``columns`` when given.
+
+    Quoted line breaks belong to their value. A row with more or fewer values
+    than the header, and a file whose header names other columns or another
+    order, fail the read: nothing is dropped or bound by position. Whole rows
+    are parsed even for a few columns, as pruning would skip those checks.
+    """
+    probe = spark.read.option("multiLine", True).option("escape", '"').option("header", header).option("inferSchema", False).csv(path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in probe.columns])
-    df = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").option("multiLine", True)
+    df = df.option("enforceSchema", False).option("columnPruning", False).option("escape", '"').csv(path)
     return df.select(*columns) if columns else df
 
 
@@ -120,14 +125,14 @@ def raw_users(spark: SparkSession, base: str) -> DataFrame:
 
 def raw_sources(spark: SparkSession, base: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """All three sources. A folder that already holds ``raw_*`` tables (for
-    example a landing zone) is read directly; otherwise they are derived from
-    the driver's TPC-H-like tables."""
-    out = {}
-    for view in RAW_TABLES:
-        landed = path_exists(spark, f"{base.rstrip('/')}/{view}") or \
-            path_exists(spark, f"{base.rstrip('/')}/{view}.parquet")
-        if landed:
-            out[view] = read_table(spark, base, view, columns=SOURCE_COLUMNS[view], fmt=fmt)
-        else:
-            out[view] = _view(spark, base, view)
-    return out
+    example a landing zone) must hold all three, and is read directly; a folder
+    of the driver's TPC-H-like tables, with none of them, gives the fixture
+    views. The two are never mixed."""
+    landed = [view for view in RAW_TABLES if path_exists(spark, f"{base.rstrip('/')}/{view}")
+              or path_exists(spark, f"{base.rstrip('/')}/{view}.parquet")]
+    if not landed and path_exists(spark, table_path(spark, base, "lineitem")):
+        return {view: _view(spark, base, view) for view in RAW_TABLES}
+    missing = [view for view in RAW_TABLES if view not in landed]
+    if missing:
+        raise FileNotFoundError(f"{base} has no {', '.join(missing)}")
+    return {view: read_table(spark, base, view, columns=SOURCE_COLUMNS[view], fmt=fmt) for view in RAW_TABLES}
