@@ -26,10 +26,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Those of the training-data folder are tested there."""
+    assert set(E._QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = df.collect()
