@@ -20,6 +20,8 @@ EXCHANGED = 60
 #: Least probability of a pseudo-label.
 CONFIDENT = 0.95
 THRESHOLD = 0.5
+#: Labelled documents of either class that calibration needs of its own.
+LEAST_CHECKED = 8
 
 
 @dataclass
@@ -72,7 +74,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     y = np.array([y_of.get(i, -1) for i in rows.ids], float)
     labelled, held = y >= 0, ft.is_fold(rows.ids)
     train, check = labelled & ~held, labelled & held
-    if len(set(y[train])) < 2 or len(set(y[check])) < 2:
+    # too few labels of a class to keep some back: calibrate on those of the fit
+    if len(set(y[train])) < 2 or min((y[check] == k).sum() for k in (0, 1)) < LEAST_CHECKED:
         train, check = labelled, labelled
     if len(set(y[train])) < 2:
         return neutral
