@@ -11,8 +11,9 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -93,14 +94,28 @@ def q_cohort_retention(spark, sf_dir):
     return cohort.cohort_retention(marts.user_segments(s["stg_users"], s["stg_orders"]), s["stg_orders"])
 
 
+# The money column of each table that has one.
+_MONEY = {"stg_orders": "revenue_czk", "monthly_revenue_by_country": "revenue_czk",
+          "category_performance": "total_revenue_czk", "user_segments": "total_revenue_czk"}
+
+
 def q_refresh(spark, sf_dir):
-    """The whole refresh written to a shared folder; the published
-    monthly mart is read back."""
+    """The whole refresh written to a shared folder, each of the 11 tables read
+    back as (table_name, n_rows, n_values, money): its rows, its values that are not
+    NULL (without ``loaded_at``) and the sum of its money column."""
     apply_conf(spark)
     res = refresh(spark, sf_dir, shared_dir(spark))
     if res.errors:
         raise RuntimeError(f"refresh reported errors: {res.errors}")
-    return res.table(spark, "monthly_revenue_by_country")
+    out = None
+    for name in sorted(res.written):
+        table = res.table(spark, name).drop("loaded_at")
+        money = F.sum(_MONEY[name]) if name in _MONEY else F.lit(None)
+        filled = reduce(Column.__add__, [F.count(c) for c in table.columns])
+        part = table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                         filled.alias("n_values"), money.cast("decimal(28,2)").alias("money"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ------------------------------------------------------------ components
@@ -114,12 +129,6 @@ def q_dedup_orders(spark, sf_dir):
     return keep_best(o, "order_id", order).select(*cols)
 
 
-def _audit_prep(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
-    return (audit.orders_prep(raw["raw_orders"]), audit.products_prep(raw["raw_products"]),
-            audit.users_prep(raw["raw_users"]))
-
-
 def q_issues_long(spark, sf_dir):
     raw = _raw(spark, sf_dir)
     return audit.issues_long(raw["raw_orders"], raw["raw_products"], raw["raw_users"],
@@ -127,33 +136,38 @@ def q_issues_long(spark, sf_dir):
 
 
 def q_orders_profile(spark, sf_dir):
-    return audit.orders_profile(_audit_prep(spark, sf_dir)[0], ref_allowed_status(spark))
+    return audit.order_findings(_raw(spark, sf_dir)["raw_orders"], ref_allowed_status(spark))
 
 
 def q_products_profile(spark, sf_dir):
-    return audit.products_profile(_audit_prep(spark, sf_dir)[1])
+    return audit.product_findings(_raw(spark, sf_dir)["raw_products"])
 
 
 def q_users_profile(spark, sf_dir):
-    return audit.users_profile(_audit_prep(spark, sf_dir)[2], ref_allowed_age_group(spark))
+    return audit.user_findings(_raw(spark, sf_dir)["raw_users"], ref_allowed_age_group(spark))
+
+
+def _source_keys(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return {table: audit.source_keys(raw[f"raw_{table}"], table) for table in audit.KEYS}
 
 
 def q_duplicate_keys(spark, sf_dir):
-    o, p, u = _audit_prep(spark, sf_dir)
-    parts = [duplicates(o, "order_id").select(F.lit("orders").alias("table_name"), "dup_rows"),
-             duplicates(p, "product_id").select(F.lit("products").alias("table_name"), "dup_rows"),
-             duplicates(u, "user_id").select(F.lit("users").alias("table_name"), "dup_rows")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = None
+    for table, keys in _source_keys(spark, sf_dir).items():
+        part = duplicates(keys, audit.KEYS[table][0]).select(F.lit(table).alias("table_name"), "dup_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_orphan_users(spark, sf_dir):
-    o, _, u = _audit_prep(spark, sf_dir)
-    return orphans(o, u, "user_id")
+    keys = _source_keys(spark, sf_dir)
+    return orphans(keys["orders"], keys["users"], "user_id")
 
 
 def q_orphan_products(spark, sf_dir):
-    o, p, _ = _audit_prep(spark, sf_dir)
-    return orphans(o, p, "product_id")
+    keys = _source_keys(spark, sf_dir)
+    return orphans(keys["orders"], keys["products"], "product_id")
 
 
 def q_status_normalized(spark, sf_dir):

@@ -4,9 +4,10 @@ from tallyhouse.operators.dedup import keep_best  # noqa: F401
 from tallyhouse.operators.profile import (  # noqa: F401
     duplicates,
     key_counts,
+    key_report,
     orphans,
-    orphans_by_key,
     profile,
+    profile_with_code,
     to_long,
 )
 from tallyhouse.operators.series import mom_growth, rank_by  # noqa: F401

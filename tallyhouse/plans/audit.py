@@ -1,129 +1,96 @@
 """Data-quality audit (N7) over the *source* tables.
 
-Shape: three single-pass profiles (one global aggregate each), three
-duplicate-key counts and two orphan counts (each pre-aggregated by key), all
-unpivoted to long rows, unioned, and joined to the 26-row catalog (a literal
-table, broadcast by Spark's own size check). Every branch returns one row (or a handful), so the union and the
-catalog join are tiny whatever the input size.
+Every source table gives one row of counts (``*_findings`` for the rules on
+single rows, ``key_report`` for keys), unpivoted to long rows, unioned, and
+joined to the 26-row catalog. Orders are scanned twice: once for the row
+rules, counted per status value, and once for the three keys. The names of the
+findings are fixed values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.exprs import STATUS_ALIAS_COMPLETED, blank, try_num
-from tallyhouse.operators.profile import duplicates, orphans_by_key, profile, to_long
+from tallyhouse.functions.exprs import STATUS_ALIAS_COMPLETED, blank, status_norm, try_num
+from tallyhouse.operators.profile import duplicates, key_report, profile, profile_with_code, to_long
 from tallyhouse.plans.reference import issue_catalog, ref_allowed_age_group, ref_allowed_status
 from tallyhouse.sources.tables import as_strings
 
+# Key columns of each source table, its own key first.
+KEYS = {"orders": ("order_id", "user_id", "product_id"), "products": ("product_id",), "users": ("user_id",)}
+
+
+def source_keys(source: DataFrame, table: str) -> DataFrame:
+    """The key columns of a source table, trimmed, blank as NULL."""
+    return as_strings(source, f"raw_{table}").select(*[blank(k).alias(k) for k in KEYS[table]])
+
+
+def _blanks(names: dict[str, str]) -> dict[str, Column]:
+    """finding → "this column is NULL or only spaces"."""
+    return {name: blank(column).isNull() for name, column in names.items()}
+
+
+def _outside_fraction(column: str) -> Column:
+    return ~try_num(column, 10, 4).between(0, 1)
+
+
+def order_findings(orders: DataFrame, statuses: DataFrame) -> DataFrame:
+    """One row of counts over the source orders. Numbers that cannot be read
+    break no numeric rule."""
+    written = blank("status")
+    should_be = F.coalesce(status_norm("status"), F.lower(written))
+    checks = _blanks({f"null_in_key_{k}": k for k in KEYS["orders"]}
+                     | {"null_order_date": "order_date", "null_status": "status"})
+    checks |= {
+        "status_inconsistency": written != should_be,
+        "completed_zero_or_null_revenue": (should_be == "completed")
+                                          & (F.coalesce(try_num("revenue_czk", 18, 2), F.lit(0)) == 0),
+        "quantity_le_zero": try_num("quantity") <= 0,
+        "discount_out_of_range": _outside_fraction("discount_pct"),
+    }
+    lower = F.lower(written)
+    return profile_with_code(as_strings(orders, "raw_orders"), checks,
+                             code=F.when(lower != STATUS_ALIAS_COMPLETED, lower),
+                             allowed=statuses, unlisted="invalid_status")
+
+
+def product_findings(products: DataFrame) -> DataFrame:
+    """One row of counts over the source products; an unreadable price counts as none."""
+    checks = _blanks({"null_in_key_product_id": "product_id", "missing_product_name": "product_name",
+                      "missing_category": "category"})
+    checks |= {"price_le_zero": F.coalesce(try_num("price_czk", 18, 2), F.lit(0)) <= 0,
+               "margin_out_of_range": _outside_fraction("margin_pct")}
+    return profile(as_strings(products, "raw_products"), checks)
+
 
-def orders_prep(orders: DataFrame) -> DataFrame:
-    """Trimmed keys and typed measures of the source orders."""
-    status = blank("status")
-    return as_strings(orders, "raw_orders").select(
-        blank("order_id").alias("order_id"),
-        blank("user_id").alias("user_id"),
-        blank("product_id").alias("product_id"),
-        blank("order_date").alias("order_date"),
-        status.alias("status"),
-        F.lower(status).alias("status_norm"),
-        try_num("quantity").alias("quantity_n"),
-        try_num("revenue_czk", 18, 2).alias("revenue_n"),
-        try_num("discount_pct", 10, 4).alias("discount_n"),
-    )
-
-
-def products_prep(products: DataFrame) -> DataFrame:
-    return as_strings(products, "raw_products").select(
-        blank("product_id").alias("product_id"),
-        blank("product_name").alias("product_name"),
-        blank("category").alias("category"),
-        try_num("price_czk", 18, 2).alias("price_n"),
-        try_num("margin_pct", 10, 4).alias("margin_n"),
-    )
-
-
-def users_prep(users: DataFrame) -> DataFrame:
-    return as_strings(users, "raw_users").select(
-        blank("user_id").alias("user_id"),
-        blank("country").alias("country"),
-        blank("acquisition_channel").alias("acquisition_channel"),
-        blank("registered_at").alias("registered_at"),
-        blank("age_group").alias("age_group"),
-        F.trim("age_group").alias("age_trimmed"),
-    )
-
-
-def _lookup(df: DataFrame, code_list: DataFrame, list_col: str, on: str, as_name: str) -> DataFrame:
-    """Left join to a code list; ``as_name`` is NULL where the value is not in
-    the list. The literal code lists are broadcast by Spark's size check."""
-    ref = code_list.select(F.col(list_col).alias(as_name))
-    return df.join(ref, F.col(as_name) == F.col(on), "left")
-
-
-def orders_profile(o: DataFrame, ref_status: DataFrame) -> DataFrame:
-    o = _lookup(o, ref_status, "status", "status_norm", "status_in_catalog")
-    status, norm = F.col("status"), F.col("status_norm")
-    in_catalog = F.col("status_in_catalog").isNotNull()
-    return profile(o, {
-        "null_in_key_order_id": F.col("order_id").isNull(),
-        "null_in_key_user_id": F.col("user_id").isNull(),
-        "null_in_key_product_id": F.col("product_id").isNull(),
-        "null_order_date": F.col("order_date").isNull(),
-        "null_status": status.isNull(),
-        "invalid_status": status.isNotNull() & ~in_catalog & (norm != STATUS_ALIAS_COMPLETED),
-        "status_inconsistency": (status.isNotNull() & (status != norm)) | (norm == STATUS_ALIAS_COMPLETED),
-        "completed_zero_or_null_revenue": norm.isin("completed", STATUS_ALIAS_COMPLETED)
-                                          & (F.col("revenue_n").isNull() | (F.col("revenue_n") == 0)),
-        "quantity_le_zero": F.col("quantity_n").isNotNull() & (F.col("quantity_n") <= 0),
-        "discount_out_of_range": F.col("discount_n").isNotNull()
-                                 & ((F.col("discount_n") < 0) | (F.col("discount_n") > 1)),
-    })
-
-
-def products_profile(p: DataFrame) -> DataFrame:
-    return profile(p, {
-        "null_in_key_product_id": F.col("product_id").isNull(),
-        "price_le_zero": F.col("price_n").isNull() | (F.col("price_n") <= 0),
-        "missing_product_name": F.col("product_name").isNull(),
-        "missing_category": F.col("category").isNull(),
-        "margin_out_of_range": F.col("margin_n").isNotNull()
-                               & ((F.col("margin_n") < 0) | (F.col("margin_n") > 1)),
-    })
-
-
-def users_profile(u: DataFrame, ref_age_group: DataFrame) -> DataFrame:
-    u = _lookup(u, ref_age_group, "age_group", "age_trimmed", "age_group_in_catalog")
-    return profile(u, {
-        "null_in_key_user_id": F.col("user_id").isNull(),
-        "missing_country": F.col("country").isNull(),
-        "missing_acquisition_channel": F.col("acquisition_channel").isNull(),
-        "missing_registered_at": F.col("registered_at").isNull(),
-        "missing_age_group": F.col("age_group").isNull(),
-        "invalid_age_group_format": F.col("age_group").isNotNull() & F.col("age_group_in_catalog").isNull(),
-    })
+def user_findings(users: DataFrame, age_groups: DataFrame) -> DataFrame:
+    """One row of counts over the source users."""
+    checks = _blanks({"null_in_key_user_id": "user_id"}
+                     | {f"missing_{c}": c for c in ("country", "acquisition_channel", "registered_at", "age_group")})
+    return profile_with_code(as_strings(users, "raw_users"), checks, code=blank("age_group"),
+                             allowed=age_groups, unlisted="invalid_age_group_format")
 
 
 def issues_long(orders: DataFrame, products: DataFrame, users: DataFrame,
                 ref_status: DataFrame, ref_age_group: DataFrame) -> DataFrame:
     """All 26 checks as (table_name, issue_type, affected_rows), zeros included."""
-    o, p, u = orders_prep(orders), products_prep(products), users_prep(users)
-    parts = [
-        to_long(orders_profile(o, ref_status), "orders"),
-        to_long(duplicates(o, "order_id", "duplicate_order_id"), "orders"),
-        to_long(orphans_by_key(o, {"user_id": u, "product_id": p},
-                               {"user_id": "fk_user_id_not_in_users",
-                                "product_id": "fk_product_id_not_in_products"}), "orders"),
-        to_long(products_profile(p), "products"),
-        to_long(duplicates(p, "product_id", "duplicate_product_id"), "products"),
-        to_long(users_profile(u, ref_age_group), "users"),
-        to_long(duplicates(u, "user_id", "duplicate_user_id"), "users"),
+    user_keys, product_keys = source_keys(users, "users"), source_keys(products, "products")
+    order_keys = key_report(source_keys(orders, "orders"),
+                            foreign={"user_id": (user_keys, "fk_user_id_not_in_users"),
+                                     "product_id": (product_keys, "fk_product_id_not_in_products")},
+                            unique={"order_id": "duplicate_order_id"})
+    found = [
+        ("orders", order_findings(orders, ref_status)),
+        ("orders", order_keys),
+        ("products", product_findings(products)),
+        ("products", duplicates(product_keys, "product_id", "duplicate_product_id")),
+        ("users", user_findings(users, ref_age_group)),
+        ("users", duplicates(user_keys, "user_id", "duplicate_user_id")),
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, [to_long(wide, table) for table, wide in found])
 
 
 def data_quality_issues(spark: SparkSession, orders: DataFrame, products: DataFrame,

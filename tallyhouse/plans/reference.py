@@ -11,89 +11,90 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.functions.exprs import ALLOWED_AGE_GROUPS, ALLOWED_STATUSES
 
-# The 26 (table_name, issue_type) keys of the audit, each with
-# a description and a recommended fix.
+# The 26 (table_name, issue_type) keys are fixed values. A description says what
+# audit.py counts, a fix what staging and the marts do with such rows.
 ISSUE_CATALOG = (
     ("orders", "null_in_key_order_id",
-     "order_id is missing, so the order cannot be identified.",
-     "Recover the id from the source system or drop the row at load time."),
+     "order_id is NULL or only spaces.",
+     "Staging keeps one such row in all; give every order an id before loading."),
     ("orders", "null_in_key_user_id",
-     "user_id is missing, so the order has no customer.",
-     "Fill it from the source, or map the order to a guest user."),
+     "user_id is NULL or only spaces.",
+     "Staging keeps the row and the marts count it under no user; load the buyer's id."),
     ("orders", "null_in_key_product_id",
-     "product_id is missing, so the order has no product.",
-     "Fill it from the source, otherwise keep the row out of product reports."),
+     "product_id is NULL or only spaces.",
+     "Staging keeps the row and no category receives it; load the product's id."),
     ("orders", "null_order_date",
-     "order_date is missing, so the order has no date.",
-     "Take the date from the transaction log or the creation timestamp."),
+     "order_date is NULL or only spaces.",
+     "Staging leaves the date NULL, which no monthly figure includes; load the day of the order."),
     ("orders", "duplicate_order_id",
-     "order_id occurs more than once; the key is not unique.",
-     "Deduplicate (keep the completed, newest row per order_id) or fix the source."),
+     "The trimmed order_id stands in two or more rows; all of them are counted.",
+     "Staging keeps one row per id: a completed one first, then the latest date. Send each order once."),
     ("orders", "null_status",
-     "status is missing, so the order stage is unknown.",
-     "Set a default status or correct it in the source."),
+     "status is NULL or only spaces.",
+     "Staging leaves the status NULL, so no revenue counts; load a status."),
     ("orders", "invalid_status",
-     "status is outside the allowed list (completed / cancelled / returned) and is no known alias.",
-     "Align the source with the code list; allowed values live in ref_allowed_status."),
+     "status, trimmed and in lower case, is neither in ref_allowed_status nor an alias of completed.",
+     "Staging sets it to NULL and raises is_status_unknown; use a listed status or extend ref_allowed_status."),
     ("orders", "status_inconsistency",
-     "status is written inconsistently: different letter case, or a known alias such as 'kompletní' for 'completed'.",
-     "Standardise the source on lower-case English codes; until then map LOWER(TRIM(status)) and known aliases in staging."),
+     "status has capitals or is an alias of completed.",
+     "Staging maps it to the listed spelling; send that spelling."),
     ("orders", "completed_zero_or_null_revenue",
-     "The order is completed but revenue_czk is 0 or missing.",
-     "Check the source; recompute as quantity * price * (1 - discount_pct) if needed."),
+     "A completed order whose revenue_czk is zero or cannot be read as a number.",
+     "Revenue rounding to zero or left blank raises is_revenue_suspicious and the marts leave the order out; send the amount paid."),
     ("orders", "quantity_le_zero",
-     "quantity is 0 or negative, which has no business meaning.",
-     "Fix the source; record returns through the status, not a negative quantity."),
+     "quantity is a number of zero or less.",
+     "Staging keeps it and raises is_quantity_invalid; send a positive number of pieces."),
     ("orders", "discount_out_of_range",
-     "discount_pct is outside 0-1 (the data uses a fraction scale).",
-     "If the source sends percent, divide by 100 there; otherwise keep the 0-1 range."),
+     "discount_pct is a number below 0 or above 1.",
+     "Staging keeps it; send the discount as a share of 1."),
     ("orders", "fk_user_id_not_in_users",
-     "orders.user_id does not exist in users.",
-     "Add the missing users, or keep the orders through a LEFT JOIN with a flag."),
+     "user_id matches no user_id of users.",
+     "Revenue of the order goes to country UNKNOWN; load the user."),
     ("orders", "fk_product_id_not_in_products",
-     "orders.product_id does not exist in products.",
-     "Add the product, or add an 'unknown product' row."),
+     "product_id matches no product_id of products.",
+     "No category receives the order; load the product."),
     ("products", "null_in_key_product_id",
-     "product_id is missing, so the product cannot be identified.",
-     "Fill it from the source or drop the row."),
+     "product_id is NULL or only spaces.",
+     "Staging keeps one such row in all; give every product an id before loading."),
     ("products", "duplicate_product_id",
-     "product_id occurs more than once; the key is not unique.",
-     "Deduplicate, preferring active rows and then the highest price."),
+     "The trimmed product_id stands in two or more rows; all of them are counted.",
+     "Staging keeps one row per id: an active one first, then the highest price. Send each product once."),
     ("products", "price_le_zero",
-     "price_czk is 0, negative or missing.",
-     "Fix the source; give free goods their own flag."),
+     "price_czk is zero, negative or cannot be read as a number.",
+     "Staging raises is_price_invalid where the whole-number price is missing or not positive; send a positive price."),
     ("products", "missing_product_name",
-     "product_name is missing or empty.",
-     "Fill it from the product catalogue."),
+     "product_name is NULL or only spaces.",
+     "Staging keeps the row without a name; load one."),
     ("products", "missing_category",
-     "The product has no category.",
-     "Fill it from the catalogue, or file it under 'Uncategorized'."),
+     "category is NULL or only spaces.",
+     "Staging raises is_category_missing; load a category so that its sales are grouped."),
     ("products", "margin_out_of_range",
-     "margin_pct is outside 0-1 (the data uses a fraction scale).",
-     "Correct the source; staging keeps the row and sets is_margin_out_of_range."),
+     "margin_pct is a number below 0 or above 1.",
+     "Staging keeps it and raises is_margin_out_of_range; send the margin as a share of 1."),
     ("users", "null_in_key_user_id",
-     "user_id is missing, so the user cannot be identified.",
-     "Fill it from the source or drop the row."),
+     "user_id is NULL or only spaces.",
+     "Staging keeps one such row in all; give every user an id before loading."),
     ("users", "duplicate_user_id",
-     "user_id occurs more than once; the key is not unique.",
-     "Deduplicate, keeping the newest registered_at."),
+     "The trimmed user_id stands in two or more rows; all of them are counted.",
+     "Staging keeps one row per id, the one registered last. Send each user once."),
     ("users", "missing_country",
-     "country is missing, so the user cannot be segmented by country.",
-     "Fill it, or file the user under 'Unknown'."),
+     "country is NULL or only spaces.",
+     "Staging raises is_country_unknown and leaves the country NULL; load a listed country."),
     ("users", "missing_acquisition_channel",
-     "acquisition_channel is missing, so acquisition cannot be measured.",
-     "Fill it from marketing data, otherwise use 'Unknown'."),
+     "acquisition_channel is NULL or only spaces.",
+     "Staging raises is_channel_unknown where the channel is NULL or unlisted; load a listed channel."),
     ("users", "missing_registered_at",
-     "registered_at is missing, so customer tenure cannot be computed.",
-     "Fill it from the event log or the CRM."),
+     "registered_at is NULL or only spaces.",
+     "Staging raises is_registered_at_invalid and no cohort holds the user; load the day of registration."),
     ("users", "missing_age_group",
-     "age_group is missing, so age segmentation is not possible.",
-     "Fill it from the sign-up form, otherwise mark it 'Unknown'."),
+     "age_group is NULL or only spaces.",
+     "Staging writes unknown and raises is_age_group_unknown; load a listed age group."),
     ("users", "invalid_age_group_format",
-     "age_group is outside the code list (18-24, 25-34, 35-44, 45-54, 55+).",
-     "Align with the code list; allowed values live in ref_allowed_age_group."),
+     "age_group, trimmed, is not in ref_allowed_age_group.",
+     "Staging writes unknown and raises is_age_group_unknown; use a listed group or extend ref_allowed_age_group."),
 )
 
+
 def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -86,6 +86,19 @@ def test_edited_code_list_changes_validity(spark):
     assert out.filter(F.col("issue_type") == "invalid_status").count() == 0
 
 
+def test_empty_sources_give_26_zeros(spark):
+    o, p, u = (df.limit(0) for df in sources(spark))
+    rows = issues_long(o, p, u, ref_allowed_status(spark), ref_allowed_age_group(spark)).collect()
+    assert len(rows) == 26 and all(r.affected_rows == 0 for r in rows)
+
+
+def test_repeated_code_list_rows_count_once(spark):
+    o, p, u = sources(spark)
+    twice = ref_allowed_status(spark).unionAll(ref_allowed_status(spark))
+    got = issues_long(o, p, u, twice, ref_allowed_age_group(spark)).collect()
+    assert {(r.table_name, r.issue_type): r.affected_rows for r in got} == EXPECTED
+
+
 def test_operators(spark):
     df = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), (None,), (None,)], "k string")
     assert duplicates(df, "k").first()[0] == 3

@@ -1,5 +1,6 @@
 """Physical-plan assertions (SURVEY §5 (5)): the shapes the design relies on."""
 
+import re
 import pytest
 
 from conftest import SF_SMALL
@@ -98,16 +99,29 @@ def test_audit_reuses_dimension_key_counts(spark, chain):
     assert executed.toString().count("ReusedExchange") >= 2
 
 
+def test_audit_scans_orders_twice(spark):
+    from tallyhouse.plans.audit import issues_long
+    from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status
+    from tallyhouse.session import shared_dir
+    from tallyhouse.sources.sinks import write_table
+    raw, out = raw_sources(spark, SF_SMALL), shared_dir(spark)
+    landed = {k: spark.read.parquet(write_table(df, f"{out}/{k}")) for k, df in raw.items()}
+    p = plan(issues_long(landed["raw_orders"], landed["raw_products"], landed["raw_users"],
+                         ref_allowed_status(spark), ref_allowed_age_group(spark)))
+    scans = re.findall(r"FileScan parquet \[[^\]]*order_id#", p)
+    assert len(scans) == 2, scans
+
+
 def test_literal_reference_tables_broadcast_without_hints(spark):
     """The code lists and the catalog are VALUES tables with exact sizes, so the
     static plan already broadcasts them; no explicit hint is used."""
-    from tallyhouse.plans.audit import orders_prep, orders_profile
+    from tallyhouse.plans.audit import order_findings
     from tallyhouse.plans.reference import ref_allowed_status
     big = spark.range(1000).selectExpr("CAST(id AS STRING) AS order_id", "'x' AS user_id", "'p' AS product_id",
                                        "'2024-01-01' AS order_date", "'1' AS quantity",
                                        "CASE WHEN id % 2 = 0 THEN 'completed' ELSE 'x' END AS status",
                                        "'1' AS revenue_czk", "'0.1' AS discount_pct")
-    p = plan(orders_profile(orders_prep(big), ref_allowed_status(spark)))
+    p = plan(order_findings(big, ref_allowed_status(spark)))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
     import inspect
     import tallyhouse.plans.audit as audit_module
