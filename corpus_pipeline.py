@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import cotraining, language, mixing, ngram_join, packing
-from tallyhouse.llm.common import stored
+from tallyhouse.llm.common import bounded_batches, stored
 from tallyhouse.llm.queries import TOKENIZER
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
+    bounded_batches(spark)
     model = cotraining.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return cotraining.classify(docs, model).where("kept").select("doc.*")
 
@@ -24,6 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a language that the labelled rows teach; null
     texts and texts without a letter go."""
+    bounded_batches(spark)
     got = language.identify(docs, language.fit(docs))
     return got.where(F.col("lang_pred") != language.UNKNOWN).select("doc.*")
 
@@ -31,6 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group, once. Rows
     without id, and texts without words, are no duplicates of anything."""
+    bounded_batches(spark)
     groups = ngram_join.jaccard_join(docs).where("doc_id IS NOT NULL")
     gone = stored(groups.where("component_id < doc_id").select("doc_id").distinct(), "pipeline-gone")
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -48,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
+    bounded_batches(spark)
     got = packing.ids_crc32(packing.pack(docs, TOKENIZER, payload=["doc_id"]))
     return got.select("doc.doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -16,6 +16,9 @@ from tallyhouse.session import shared_dir
 #: Text handled at once inside a task; bounds numpy's temporaries.
 CHUNK_BYTES = 2 << 20
 
+#: Rows and bytes of an Arrow batch between Spark and Python.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -143,5 +146,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes for the session's Python stages: a batch
+    of the default 10,000 long texts is held by the JVM and by Python at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
