@@ -48,13 +48,14 @@ def test_duplicates_and_orphans_match_counting(spark, rows, other):
 
 @SETTINGS
 @given(rows=st.lists(st.tuples(KEYS, KEYS), max_size=30), ua=st.lists(KEYS, max_size=8), pa=st.lists(KEYS, max_size=8))
-def test_orphans_by_key_matches_single_key_counting(spark, rows, ua, pa):
-    from tallyhouse.operators.profile import orphans_by_key
+def test_key_report_matches_single_key_counting(spark, rows, ua, pa):
+    from tallyhouse.operators.profile import key_report
     left = spark.createDataFrame(rows, "u string, p string")
     users = spark.createDataFrame([(k,) for k in ua], "u string")
     products = spark.createDataFrame([(k,) for k in pa], "p string")
-    got = orphans_by_key(left, {"u": users, "p": products}, {"u": "fk_u", "p": "fk_p"}).first().asDict()
+    got = key_report(left, {"u": (users, "fk_u"), "p": (products, "fk_p")}, {"u": "twice_u"}).first().asDict()
     present_u = {k for k in ua if k is not None}
     present_p = {k for k in pa if k is not None}
     assert got == {"fk_u": sum(1 for u, _ in rows if u is not None and u not in present_u),
-                   "fk_p": sum(1 for _, p in rows if p is not None and p not in present_p)}
+                   "fk_p": sum(1 for _, p in rows if p is not None and p not in present_p),
+                   "twice_u": sum(1 for u, _ in rows if u is not None and [r[0] for r in rows].count(u) > 1)}
