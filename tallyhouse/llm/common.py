@@ -9,7 +9,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.session import shared_dir
 
@@ -17,7 +18,7 @@ from tallyhouse.session import shared_dir
 CHUNK_BYTES = 2 << 20
 
 #: Rows and bytes of an Arrow batch between Spark and Python.
-BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 2 << 20
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -146,6 +147,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_text(docs: DataFrame, text: str, payload: list[str] | None, *more: Column) -> tuple[DataFrame, int | None]:
+    """Rows ``doc`` (struct of the payload columns, all by default), ``text`` and
+    ``more``. A text that is a string of the payload is not sent twice: its place
+    in the struct comes back, for :func:`texts_of`."""
+    names = list(payload or docs.columns)
+    at = names.index(text) if text in names and docs.schema[text].dataType.simpleString() == "string" else None
+    own = [] if at is not None else [F.col(text).cast("string").alias("text")]
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), *own, *more), at
+
+
+def texts_of(batches, at: int | None):
+    """The batches of :func:`with_text`, each with its column ``text``."""
+    for batch in batches:
+        yield batch if at is None else batch.append_column("text", pc.struct_field(batch.column("doc"), [at]))
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows and bytes for the session's Python stages: a batch
     of the default 10,000 long texts is held by the JVM and by Python at once."""

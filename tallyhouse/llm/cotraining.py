@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import features as ft
-from .common import Words, slices, text_buffer
+from .common import Words, slices, text_buffer, texts_of, with_text
 
 #: Unlabelled documents offered for pseudo-labels, about.
 POOL = 1000
@@ -127,14 +127,13 @@ def classify(docs: DataFrame, model: Model, text: str = "text", categories=("sou
     numbers = [c for c in numbers if c in docs.columns]
     names = [*categories, *numbers]
     cats, nums = [f"c{i}" for i in range(len(categories))], [f"c{i}" for i in range(len(categories), len(names))]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload or docs.columns]).alias("doc"),
-                       F.col(text).cast("string").alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    rows, place = with_text(docs, text, payload, *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
     schema = rows.select("doc", *[F.lit(0.0).alias(c) for c in ("text_score", "meta_score", "score")], F.lit(True).alias("kept")).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         model = shared.value
-        for part in slices(batches, "text"):
+        for part in slices(texts_of(batches, place), "text", ft.PASS_BYTES):
             data, offsets = text_buffer(part.column("text"))
             margin = ft.linear(ft.families(Words(data, offsets, lower=False), offsets), model.text) + model.text_bias
             a, b, p = model.combine(margin, model.meta_margin(metadata(part, data, offsets)))

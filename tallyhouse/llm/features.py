@@ -18,6 +18,8 @@ FAMILIES = 3  # words, 3 bytes, 4 bytes
 WIDTH = FAMILIES << BITS
 #: Shares are multiplied by this, so that weights stay of the order of one.
 SCALE = 50.0
+#: Text of one pass; its features take some hundred bytes a byte.
+PASS_BYTES = 1 << 19
 #: Labelled documents per class that a model is fitted on at most.
 PER_CLASS = 1000
 #: Layout features of a text, see :func:`layout`.
@@ -147,7 +149,7 @@ def sample_features(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, cat
     cats, nums = [f"c{i}" for i in range(len(categories))], [f"c{i}" for i in range(len(categories), len(names))]
 
     def run(batches):
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", PASS_BYTES):
             data, offsets = text_buffer(part.column("text"))
             got = sparse(families(Words(data, offsets, lower=False), offsets))
             meta = metadata(part, data, offsets, cats, nums)

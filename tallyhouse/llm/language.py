@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, texts_of, with_text
 
 UNKNOWN = "und"
 #: Documents of each language that training text is taken from, about.
@@ -21,8 +21,9 @@ TRAIN_CHARS = 24_000
 ALPHABET = 64
 #: Texts are parsed in windows of so many symbols; a phrase ends with its window.
 WINDOW = 512
-#: Text of one pass through the tables.
-PASS_BYTES = 4 << 20
+#: Text of one pass through the tables; a longer one goes through in spans of so
+#: many code points, and a phrase ends with its span.
+PASS_BYTES = 1 << 20
 
 
 def automaton(text: np.ndarray, size: int) -> np.ndarray:
@@ -121,6 +122,9 @@ def phrases(texts: list[str], model: Model, table: np.ndarray) -> tuple[np.ndarr
 
     All windows of all texts go through the table in step, one symbol at a time.
     """
+    if len(texts) == 1 and len(texts[0]) > PASS_BYTES:
+        spans = [phrases([texts[0][a:a + PASS_BYTES]], model, table) for a in range(0, len(texts[0]), PASS_BYTES)]
+        return tuple(sum(x) for x in zip(*spans))
     s, owner, letters = symbols(texts, table)
     n_lang, n_texts = len(model.languages), len(texts)
     count = np.zeros((n_texts, n_lang), np.int64)
@@ -210,8 +214,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", payload: list[st
     without a letter are ``und`` with score 0, as is all text if nothing was
     learned. Repeated rows are scored each.
     """
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload or docs.columns]).alias("doc"),
-                       F.col(text).cast("string").alias("text"))
+    rows, place = with_text(docs, text, payload)
     schema = rows.select("doc", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -219,7 +222,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", payload: list[st
         model = shared.value
         table = symbol_table(model.symbol)
         names = np.array([*model.languages, UNKNOWN], object)
-        for part in slices(batches, "text", PASS_BYTES):
+        for part in slices(texts_of(batches, place), "text", PASS_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
             count, _, letters = phrases(texts, model, table)
             best = np.full(len(texts), len(model.languages))

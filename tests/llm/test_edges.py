@@ -125,6 +125,15 @@ def test_language(spark, docs):
     assert {r[0] for r in language.identify(docs, language.fit(docs.limit(0))).select("lang_pred").collect()} == {"und"}
 
 
+def test_long_text_goes_through_in_spans(spark, monkeypatch):
+    model = language.Model(["a"], {"x": 2}, *language.parse_table([language.automaton(np.array([2, 2, 0]), 4)], 4), np.ones(1), 4)
+    table = language.symbol_table(model.symbol)
+    monkeypatch.setattr(language, "PASS_BYTES", 100)
+    whole, _, letters = language.phrases(["xx " * 99], model, table)
+    spans = sum(language.phrases([("xx " * 99)[a:a + 100]], model, table)[0] for a in (0, 100, 200))
+    assert whole.tolist() == spans.tolist() and letters.tolist() == [198]
+
+
 def test_cross_parsing_counts_phrases():
     train, text = "abracadabra", "cadabrabrazz"
     model = language.Model(["l"], {c: i + 2 for i, c in enumerate("abcdr")}, *[None] * 3, 8)
