@@ -20,6 +20,9 @@ CHUNK_BYTES = 2 << 20
 #: Rows and bytes of an Arrow batch between Spark and Python.
 BATCH_ROWS, BATCH_BYTES = 2000, 2 << 20
 
+#: Rows that the Parquet reader decodes at once, and bytes of a row group that is written.
+READER_ROWS, GROUP_BYTES = 512, 32 << 20
+
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -143,7 +146,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     the lineage, survives lost executors, and is computed once."""
     spark: SparkSession = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -164,8 +167,9 @@ def texts_of(batches, at: int | None):
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows and bytes for the session's Python stages: a batch
-    of the default 10,000 long texts is held by the JVM and by Python at once."""
+    """Arrow batches and Parquet reads of few rows and bytes for the session's Python
+    stages: 10,000 long texts would be held by reader, JVM and Python at once."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

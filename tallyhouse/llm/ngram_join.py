@@ -36,6 +36,8 @@ FREQUENT = 64
 #: Entries that a task holds before it hands them on.
 HELD = 1_500_000
 BLOCK = 1024
+#: Text of one pass; its words and hashes take some fifty bytes a byte.
+PASS_BYTES = 1 << 19
 #: Sets of one signature up to which all its pairs are candidates as they are.
 SMALL = 12
 #: Bits of the bitmap of ids that keeps texts out of a join.
@@ -81,7 +83,7 @@ def sizes_and_counters(docs: DataFrame) -> DataFrame:
     the hashed counters of its shingles in compressed chunks (chunk, counters)."""
     def run(batches):
         counters = np.zeros(1 << COUNTER_BITS, np.uint32)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", PASS_BYTES):
             hashes, bounds = shingle_sets(batch_words(part, "text", lower=True))
             counters += np.bincount((hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counters)).astype(np.uint32)
             none = pa.nulls(part.num_rows, pa.int32())
@@ -187,7 +189,7 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
             return pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary()), pa.nulls(k, pa.int64()),
                                                pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["part", "entries", "id", "n", "sketch"])
 
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", PASS_BYTES):
             hashes, bounds = shingle_sets(batch_words(piece, "text", lower=True))
             ids, order = set_ids(hashes, bounds).tolist(), rank[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
             new_ids, new_n, new_sketch = [], [], []
