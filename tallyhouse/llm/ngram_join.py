@@ -334,7 +334,8 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFra
     """Distinct pairs that share a signature, fit in size and lie in different
     groups so far.
 
-    Signatures whose sets are all in one group drop out. Those of up to SMALL
+    Signatures whose sets are all in one group drop out, and of those with the
+    same sets (told by two 64-bit hashes) one stays. Those of up to SMALL
     sets give their pairs as they are. Sets of larger ones bring their bitmaps,
     are dealt into blocks, and only pairs that the bitmaps leave open go out: no
     task holds a whole signature, and no pairs of a whole group are made rows.
@@ -342,8 +343,10 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFra
     entries = (live.join(groups.withColumnRenamed("node", "id"), "id", "left")
                .select("sig", "id", "n", F.coalesce("component", "id").alias("group")))
     entries = stored(entries, "jaccard-entries")
-    mixed = stored(entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"))
-                   .where("lo <> hi").select("sig", "size"), "jaccard-mixed")
+    members = [F.bit_xor(F.xxhash64("id", F.lit(salt))).alias(name) for salt, name in ((1, "x"), (2, "y"))]
+    mixed = (entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"), *members)
+             .where("lo <> hi").groupBy("size", "x", "y").agg(F.min("sig").alias("sig")))
+    mixed = stored(mixed.select("sig", "size"), "jaccard-mixed")
     small = entries.join(mixed.where(F.col("size") <= SMALL), "sig").withColumn("sketch", F.lit(None).cast("binary"))
     sketches = index.where("id IS NOT NULL").select("id", "sketch").dropDuplicates(["id"])
     large = entries.join(mixed.where(F.col("size") > SMALL), "sig").join(sketches, "id")
