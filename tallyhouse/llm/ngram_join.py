@@ -220,7 +220,12 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
 
 
 def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
-    """(sig, id, n, size) of every signature that ``size`` sets have, two or more."""
+    """(sig, id, n, size, times) of every signature that ``size`` sets have, two or more.
+
+    A near copy shares many signatures with the same few sets, so signatures with
+    equal lists of sets become one, ``sig`` being a hash of the list and ``times``
+    their number. Lists whose hashes collide are compared together: no pair is lost.
+    """
     kind = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4")])
 
     def run(batches):
@@ -235,15 +240,25 @@ def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
         same = entries["sig"][1:] == entries["sig"][:-1]
         live = np.concatenate(([False], same)) | np.concatenate((same, [False]))
         entries = entries[live]
-        run_of = np.cumsum(np.concatenate(([False], entries["sig"][1:] != entries["sig"][:-1])))
-        size = np.bincount(run_of)[run_of].astype(np.int32) if len(entries) else np.zeros(0, np.int32)
+        if not len(entries):
+            return
+        first = np.concatenate(([True], entries["sig"][1:] != entries["sig"][:-1]))
+        run_of = np.cumsum(first) - 1
+        lists = np.add.reduceat(mix(entries["id"].astype(np.uint64)), np.flatnonzero(first))[run_of]
+        size = np.bincount(run_of)[run_of]
+        order = np.lexsort((entries["id"], lists))
+        entries, lists, size = entries[order], lists[order], size[order]
+        first = np.flatnonzero(np.concatenate(([True], (lists[1:] != lists[:-1]) | (entries["id"][1:] != entries["id"][:-1]))))
+        times = np.diff(np.append(first, len(entries)))
+        entries, lists, size = entries[first], lists[first].view(np.int64), size[first].astype(np.int32)
         for a in range(0, len(entries), 100_000):
             e = entries[a:a + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(e["sig"].astype(np.int64)), pa.array(e["id"].copy()), pa.array(e["n"].copy()),
-                                              pa.array(size[a:a + 100_000])], ["sig", "id", "n", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(lists[a:a + 100_000]), pa.array(e["id"].copy()), pa.array(e["n"].copy()),
+                                              pa.array(size[a:a + 100_000]), pa.array(times[a:a + 100_000])], ["sig", "id", "n", "size", "times"])
 
     return (index.where("part IS NOT NULL").select("part", "entries").repartition(partitions(index.sparkSession), "part")
-            .mapInArrow(run, "sig long, id long, n int, size int"))
+            .mapInArrow(run, "sig long, id long, n int, size int, times long").groupBy("sig", "id")
+            .agg(F.min("n").alias("n"), F.max("size").alias("size"), F.sum("times").alias("times")))
 
 
 def _similar(pairs: DataFrame, table: DataFrame, column: str, keep, name: str) -> DataFrame:
@@ -334,8 +349,7 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFra
     """Distinct pairs that share a signature, fit in size and lie in different
     groups so far.
 
-    Signatures whose sets are all in one group drop out, and of those with the
-    same sets (told by two 64-bit hashes) one stays. Those of up to SMALL
+    Signatures whose sets are all in one group drop out. Those of up to SMALL
     sets give their pairs as they are. Sets of larger ones bring their bitmaps,
     are dealt into blocks, and only pairs that the bitmaps leave open go out: no
     task holds a whole signature, and no pairs of a whole group are made rows.
@@ -343,10 +357,8 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFra
     entries = (live.join(groups.withColumnRenamed("node", "id"), "id", "left")
                .select("sig", "id", "n", F.coalesce("component", "id").alias("group")))
     entries = stored(entries, "jaccard-entries")
-    members = [F.bit_xor(F.xxhash64("id", F.lit(salt))).alias(name) for salt, name in ((1, "x"), (2, "y"))]
-    mixed = (entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"), *members)
-             .where("lo <> hi").groupBy("size", "x", "y").agg(F.min("sig").alias("sig")))
-    mixed = stored(mixed.select("sig", "size"), "jaccard-mixed")
+    mixed = stored(entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"))
+                   .where("lo <> hi").select("sig", "size"), "jaccard-mixed")
     small = entries.join(mixed.where(F.col("size") <= SMALL), "sig").withColumn("sketch", F.lit(None).cast("binary"))
     sketches = index.where("id IS NOT NULL").select("id", "sketch").dropDuplicates(["id"])
     large = entries.join(mixed.where(F.col("size") > SMALL), "sig").join(sketches, "id")
@@ -468,10 +480,10 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     live = stored(shared_signatures(index, parts), "jaccard-live")
     # an original shares all its signatures with its copies, which differ from
     # one another: per signature, the set whose signatures are most shared
-    weight = live.groupBy("id").agg(F.sum("size").alias("weight"))
+    weight = live.groupBy("id").agg(F.sum(F.col("size") * F.col("times")).alias("weight"))
     pivots = stored(live.join(stored(weight, "jaccard-weights"), "id").groupBy("sig")
                     .agg(F.max(F.struct("weight", "id")).alias("best")).select("sig", F.col("best.id").alias("a")), "jaccard-pivots")
-    stars = live.join(pivots, "sig").where("id <> a").groupBy("id", "a").agg(F.count("*").alias("shared"))
+    stars = live.join(pivots, "sig").where("id <> a").groupBy("id", "a").agg(F.sum("times").alias("shared"))
     # the pivot that a set shares most signatures with; the second pass sees to the rest
     stars = stars.groupBy("id").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", F.col("id").alias("b"))
     links = verified(stars, index, usable, counted)
