@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from .common import partitions
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""", re.DOTALL)
+_DIGITS = re.compile(r"\d+")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 
 # fixed values: elements of HTML by role
@@ -32,6 +34,11 @@ _MARKS = re.compile(
     r"|related|newsletter|subscribe|signup|login|popup|modal|widgets?|pagination|pager|copyright|toolbar|search"
     r"|contentinfo|complementary|form)$")
 
+#: Pages of other content that a page is compared with on either side.
+NEAR = 3
+#: Characters of its own that tell a page from a near copy.
+LEAST_OWN = 60
+
 
 @dataclass
 class Line:
@@ -166,28 +173,107 @@ def shared(a: list[str], b: list[str]) -> list[bool]:
     return keep
 
 
+def _body(page: list[Line]) -> list[bool]:
+    """The lines that can be main text: the article of a page that marks one, else
+    all that is not furniture."""
+    marked = any(x.article and not x.furniture for x in page)
+    return [not x.furniture and (x.article or not marked) for x in page]
+
+
 def main_text(page: list[Line], neighbours: list[list[Line]]) -> str:
     """Text of a page after differencing.
 
-    Lines shared with a neighbour are deleted, by longest common subsequence.
-    Two guards keep articles whole: lines that the page marks as article are
-    kept even if a neighbour has them (copies of an article, licence lines), and
-    a neighbour that shares most of the text is a copy and is not used. What
-    differencing leaves of furniture (adverts differ from page to page), or
-    outside the article of a page that marks one, is removed after it.
+    Lines shared with neighbours are deleted, by longest common subsequence. One
+    neighbour is enough for a line outside an article if it shares at most 60 %
+    of the body; a line that the page marks as article, or that only neighbours
+    with more in common share, goes if two neighbours and over half of them have
+    it, so that a passage or a licence in two pages stays. A neighbour that
+    differs by less than ``LEAST_OWN`` characters on both sides is a near copy
+    and has no say. What differencing leaves of furniture (adverts differ from
+    page to page), or outside the article of a page that marks one, is removed
+    after it.
     """
-    texts = [x.text for x in page]
-    gone = [False] * len(page)
-    size = sum(len(x.text) for x in page if not x.furniture)
-    for other in neighbours:
+    texts, body = [x.text for x in page], _body(page)
+    size = sum(len(t) for t, k in zip(texts, body) if k)
+    votes, alone, used = [0] * len(page), [False] * len(page), 0
+    for other in neighbours if size else []:
         same = shared(texts, [x.text for x in other])
-        if size and 10 * sum(len(x.text) for x, s in zip(page, same) if s and not x.furniture) > 6 * size:
+        common = sum(len(t) for t, s, k in zip(texts, same, body) if s and k)
+        theirs = sum(len(x.text) for x, k in zip(other, _body(other)) if k)
+        close = 10 * common > 6 * size
+        if close and size - common < LEAST_OWN and theirs - common < LEAST_OWN:
             continue
-        gone = [g or (s and not x.article) for g, s, x in zip(gone, same, page)]
-    left = [x for x, g in zip(page, gone) if not g and not x.furniture]
-    if any(x.article for x in left):
-        left = [x for x in left if x.article]
-    return "\n\n".join(x.text for x in left)
+        used += 1
+        votes = [v + s for v, s in zip(votes, same)]
+        if not close:
+            alone = [a or s for a, s in zip(alone, same)]
+    gone = [(a and not x.article) or (v > 1 and 2 * v > used) for x, a, v in zip(page, alone, votes)]
+    return "\n\n".join(t for t, k, g in zip(texts, body, gone) if k and not g)
+
+
+def content(page: list[Line]) -> int:
+    """Hash of the body, short lines without digits: equal for copies of an article,
+    whatever their menus, adverts, dates and counters."""
+    body = "\n".join(_DIGITS.sub("", x.text) if len(x.text) < LEAST_OWN else x.text for x, k in zip(page, _body(page)) if k)
+    return int.from_bytes(hashlib.blake2b(body.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def nearest(kinds: list[int], near: int) -> list[list[int]]:
+    """For each place the ``near`` places after it that are the first of another
+    content than its own and each other's."""
+    out: list[list[int]] = []
+    ahead: dict[int, int] = {}  # content: next place, the nearest last
+    for i in range(len(kinds) - 1, -1, -1):
+        out.append([p for k, p in reversed(ahead.items()) if k != kinds[i]][:near])
+        ahead.pop(kinds[i], None)
+        ahead[kinds[i]] = i
+        if len(ahead) > near + 1:
+            del ahead[next(iter(ahead))]
+    return out[::-1]
+
+
+class Differencer:
+    """Takes the pages of a host in order and gives each back with its text once
+    ``near`` pages of other content are known after it, or the host is done."""
+
+    def __init__(self, near: int = NEAR):
+        self.near = near
+        self.before: dict[int, list[Line]] = {}  # content: its last page, the latest last
+        self.held: list[tuple] = []  # pages waiting: number, content, lines, doc
+        self.last: dict[int, int] = {}  # content: last number, the latest last
+        self.number = 0
+
+    def add(self, page: list[Line], doc, kind: int) -> list[tuple]:
+        """``doc`` None: a page that is only a neighbour. Returns (doc, text)."""
+        self.held.append((self.number, kind, page, doc))
+        self.last.pop(kind, None)
+        self.last[kind] = self.number
+        self.number += 1
+        if len(self.last) > self.near + 1:
+            del self.last[next(iter(self.last))]
+        if len(self.held) < 64 or len(self.last) <= self.near:
+            return []
+        return self._settle(next(iter(self.last.values())))
+
+    def end(self) -> list[tuple]:
+        return self._settle(self.number)
+
+    def _settle(self, until: int) -> list[tuple]:
+        done = sum(h[0] < until for h in self.held)
+        if not done:
+            return []
+        out, after = [], nearest([h[1] for h in self.held], self.near)
+        for (_, kind, page, doc), places in zip(self.held[:done], after):
+            if doc is not None:
+                ahead = [self.held[p][2] for p in places]
+                behind = [x for k, x in reversed(self.before.items()) if k != kind][:self.near]
+                out.append((doc, main_text(page, behind + ahead)))
+            self.before.pop(kind, None)
+            self.before[kind] = page
+            if len(self.before) > self.near + 1:
+                del self.before[next(iter(self.before))]
+        del self.held[:done]
+        return out
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id",
@@ -196,10 +282,11 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
     default) and ``text``.
 
     Pages are range-sorted by host, URL path and id; each is compared with the
-    page before and after it if they are of the same host. A hot host is split
-    over many ranges, and a task holds three pages. The first and last page of a
-    range have one neighbour, a lone page none. A null or empty html gives an
-    empty text; a null url is a host of its own; repeated rows each give a row.
+    ``NEAR`` pages before and after it that are of the same host and of other
+    content than its own and each other's, however many copies lie between. A
+    hot host is split over many ranges; copies wait in a task for the pages
+    after them. A null or empty html gives an empty text; a null url is a host
+    of its own; repeated rows each give a row.
     """
     place = F.coalesce(F.col(url).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(place, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
@@ -215,34 +302,26 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
         from pyspark.sql.pandas.types import to_arrow_type
 
         kind = to_arrow_type(schema["doc"].dataType)
-        before, now = (None, []), None  # (host, lines) and (host, lines, doc)
-        docs, texts = [], []
+        now, differ, out = None, Differencer(), []
 
         def give():
-            out = pa.RecordBatch.from_arrays([pa.array(docs, kind), pa.array(texts, pa.string())], ["doc", "text"])
-            docs.clear()
-            texts.clear()
-            return out
-
-        def settle(after_host, after_lines):
-            near = [x for h, x in (before, (after_host, after_lines)) if h == now[0]]
-            docs.append(now[2])
-            texts.append(main_text(now[1], near))
+            got = pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], kind), pa.array([t for _, t in out], pa.string())], schema.names)
+            out.clear()
+            return got
 
         for batch in batches:
             at = batch.schema.get_field_index("doc")
             kind = batch.schema.field(at).type
             for h, d, x in zip(batch.column("host").to_pylist(), batch.column(at).to_pylist(), batch.column("html").to_pylist()):
+                if h != now:
+                    out += differ.end()
+                    now, differ = h, Differencer()
                 found = lines(x)
-                if now is not None:
-                    settle(h, found)
-                    before = now[:2]
-                now = (h, found, d)
-                if len(docs) >= 1000:
+                out += differ.add(found, d, content(found))
+                if len(out) >= 1000:
                     yield give()
-        if now is not None:
-            settle(None, [])
-        if docs:
+        out += differ.end()
+        if out:
             yield give()
 
     return rows.mapInArrow(run, schema)

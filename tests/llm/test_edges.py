@@ -218,3 +218,24 @@ def test_slices_never_cut_a_text():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 10, None, "b" * 50, "", "c"])], ["text"])
     got = [p.column("text").to_pylist() for p in slices([batch], "text", 20)]
     assert got == [["a" * 10, None], ["b" * 50], ["", "c"]] or [x for p in got for x in p] == batch.column("text").to_pylist()
+
+
+def _site(n, body, url="http://h/{:03d}"):
+    page = "<html><body>{}<footer>f{}</footer></body></html>"
+    return [(i, url.format(i), page.format(body(i), i)) for i in range(n)]
+
+
+def _words(i, n=30):
+    return " ".join(f"w{i}x{j}" for j in range(n))
+
+
+def test_pages_lose_shared_lines_of_the_article_too():
+    """No class or element tells the share bar and the notice from the article."""
+    rows = _site(9, lambda i: f"<article><div>Tell your friends</div><p>{_words(i)}</p>{'<p>Quoted by two</p>' * (i in (2, 7))}"
+                              "<div>All rights kept</div></article>")
+    found = [pages.lines(r[2]) for r in rows]
+    near = [[found[j] for j in range(max(0, i - 3), min(9, i + 4)) if j != i] for i in range(9)]
+    for i in range(9):
+        assert pages.main_text(found[i], near[i]) == _words(i) + ("\n\nQuoted by two" if i in (2, 7) else "")
+    assert pages.main_text(found[0], [found[0], found[0]]) == "\n\n".join(x.text for x in found[0] if not x.furniture)
+    assert "Tell your friends" in pages.main_text(found[0], [found[1]])
