@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import html as entities
 import re
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .common import partitions
 
@@ -276,6 +278,50 @@ class Differencer:
         return out
 
 
+def _order(host: str, path: str, tie: str | None) -> tuple:
+    return host, path, tie is not None, tie or ""
+
+
+def _bounds(keys: DataFrame, parts: int) -> list[tuple]:
+    """First keys of the ranges but the first, from about 64 pages a range, picked by
+    a hash of the key; a repeated key counts as often as it occurs."""
+    limit = int(64 * parts / max(keys.count(), 64 * parts) * (1 << 30))
+    picked = (keys.where(F.pmod(F.xxhash64(*keys.columns), F.lit(1 << 30)) < limit)
+              .groupBy(*keys.columns).agg(F.count("*").alias("n")).collect())
+    found = sorted((_order(r["host"], r["path"], r["tie"]), r["n"]) for r in picked)
+    total, done, out = sum(n for _, n in found), 0, []
+    for key, n in found:
+        if done * parts >= (len(out) + 1) * total and len(out) < parts - 1:
+            out.append(key)
+        done += n
+    return out
+
+
+def _edges(keyed: DataFrame, bounds: list[tuple], near: int) -> dict[tuple, list[int]]:
+    """(host, path, tie, content) of the pages that ranges need of others, with those
+    ranges: on either side of a bound the nearest ``near + 1`` contents of its host."""
+    each = (keyed.groupBy("range", "host", "content")
+            .agg(F.min(F.struct("path", "tie")).alias("first"), F.max(F.struct("path", "tie")).alias("last")))
+    found: dict[tuple, list] = {}
+    for end, order in (("first", F.asc), ("last", F.desc)):
+        rank = F.row_number().over(Window.partitionBy("range", "host").orderBy(order(end), order("content")))
+        for r in each.select("range", "host", "content", f"{end}.*", rank.alias("rank")).where(F.col("rank") <= near + 1).orderBy("rank").collect():
+            found.setdefault((end, r["range"], r["host"]), []).append((r["content"], r["path"], r["tie"]))
+    needed: dict[tuple, list[int]] = {}
+    for k, (host, *_) in enumerate(bounds):
+        for end, at, step, target in (("last", k, -1, k + 1), ("first", k + 1, 1, k)):
+            if (end, target, host) not in found:
+                continue
+            seen: set[int] = set()
+            while len(seen) <= near and (end, at, host) in found:
+                for kind, path, tie in found[end, at, host]:
+                    if kind not in seen and len(seen) <= near:
+                        seen.add(kind)
+                        needed.setdefault((host, path, tie, kind), []).append(target)
+                at += step
+    return needed
+
+
 def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str = "page_id",
             payload: list[str] | None = None) -> DataFrame:
     """Main text of every page: ``doc`` (struct of the payload columns, all by
@@ -284,9 +330,10 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
     Pages are range-sorted by host, URL path and id; each is compared with the
     ``NEAR`` pages before and after it that are of the same host and of other
     content than its own and each other's, however many copies lie between. A
-    hot host is split over many ranges; copies wait in a task for the pages
-    after them. A null or empty html gives an empty text; a null url is a host
-    of its own; repeated rows each give a row.
+    hot host is split over many ranges; a range gets from the others the pages
+    that its first and last need, so the text does not depend on the ranges.
+    Copies wait in a task for the pages after them. A null or empty html gives
+    an empty text; a null url is a host of its own; repeated rows each give a row.
     """
     place = F.coalesce(F.col(url).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(place, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
@@ -294,8 +341,40 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
     rows = pages.select(host.alias("host"), path.alias("path"), F.col(page_id).cast("string").alias("tie"),
                         F.struct(*[F.col(f"`{c}`") for c in payload or pages.columns]).alias("doc"),
                         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
-    rows = (rows.repartitionByRange(partitions(pages.sparkSession), "host", "path", "tie")
-            .sortWithinPartitions("host", "path", "tie"))
+    parts = partitions(pages.sparkSession)
+    bounds = _bounds(rows.select("host", "path", "tie"), parts)
+    named = StructType([StructField("range", IntegerType()), StructField("host", StringType()), StructField("path", StringType()),
+                        StructField("tie", StringType()), StructField("content", LongType())])
+    whole = StructType([*named, StructField("page", StringType()), StructField("doc", rows.schema["doc"].dataType)])
+
+    def parse(needed: dict[tuple, list[int]] | None):
+        """Pages with their range and lines, and those ``needed`` by other ranges again,
+        without doc; None: only the names."""
+        def run(batches):
+            for batch in batches:
+                cells, source = [], []
+                for i, (h, p, t, x) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("host", "path", "tie", "html")])):
+                    found = lines(x)
+                    kind = content(found)
+                    packed = "" if needed is None else "\n".join(f"{2 * y.furniture + y.article}{y.text}" for y in found)
+                    own = bisect.bisect_right(bounds, _order(h, p, t))
+                    for target in (own, *(needed or {}).get((h, p, t, kind), ())):
+                        cells.append((target, h, p, t, kind, packed))
+                        source.append(i if target == own else None)
+                if not cells:
+                    continue
+                out = [pa.array(c, k) for c, k in zip(zip(*cells), (pa.int32(), *[pa.string()] * 3, pa.int64(), pa.string()))]
+                if needed is None:
+                    yield pa.RecordBatch.from_arrays(out[:5], named.names)
+                else:
+                    yield pa.RecordBatch.from_arrays([*out, batch.column("doc").take(pa.array(source, pa.int64()))], whole.names)
+
+        return run
+
+    split = rows.where(F.col("host").isin(sorted({b[0] for b in bounds}))).select("host", "path", "tie", "html")
+    needed = _edges(split.mapInArrow(parse(None), named), bounds, NEAR) if bounds else {}
+    dealt = (rows.mapInArrow(parse(needed), whole).repartitionById(parts, F.col("range"))
+             .sortWithinPartitions("host", "path", "tie", "content").select("host", "content", "page", "doc"))
     schema = rows.select("doc", F.lit("").alias("text")).schema
 
     def run(batches):
@@ -310,18 +389,17 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
             return got
 
         for batch in batches:
-            at = batch.schema.get_field_index("doc")
-            kind = batch.schema.field(at).type
-            for h, d, x in zip(batch.column("host").to_pylist(), batch.column(at).to_pylist(), batch.column("html").to_pylist()):
+            kind = batch.schema.field("doc").type
+            for h, k, x, d in zip(*[batch.column(c).to_pylist() for c in ("host", "content", "page", "doc")]):
                 if h != now:
                     out += differ.end()
                     now, differ = h, Differencer()
-                found = lines(x)
-                out += differ.add(found, d, content(found))
+                page = [Line(y[1:], y[0] in "23", y[0] in "13") for y in x.split("\n")] if x else []
+                out += differ.add(page, d, k)
                 if len(out) >= 1000:
                     yield give()
         out += differ.end()
         if out:
             yield give()
 
-    return rows.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)

@@ -239,3 +239,18 @@ def test_pages_lose_shared_lines_of_the_article_too():
         assert pages.main_text(found[i], near[i]) == _words(i) + ("\n\nQuoted by two" if i in (2, 7) else "")
     assert pages.main_text(found[0], [found[0], found[0]]) == "\n\n".join(x.text for x in found[0] if not x.furniture)
     assert "Tell your friends" in pages.main_text(found[0], [found[1]])
+
+
+def test_pages_pass_copies_and_range_edges(spark):
+    """Short articles in a large template without marks, a long group of copies, and
+    any number of ranges."""
+    rows = _site(40, lambda i: f"<div>{_words('t', 60)}</div><div>{_words(i if not 10 <= i < 25 else 10, 15)}</div><div>{_words('u', 60)}</div>")
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 7, 23):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = {r["doc"]["page_id"]: r["text"] for r in pages.extract(table).collect()}
+            assert got == {i: _words(i if not 10 <= i < 25 else 10, 15) for i in range(40)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
