@@ -4,16 +4,15 @@ All texts become blocks of token numbers, built anew in each of three passes (a
 stored copy would take as much disk as the texts) and named by their content,
 so that a block that came out otherwise the second time is an error, never a
 wrong count. Exact unigram counts travel between blocks and hash parts
-pre-aggregated per block, so a frequent word costs one entry per block. Bigram counts are summed per hash part, which
-writes one segment of the filter: a bigram of count c is entered at levels 1 to
-``1 + floor(log2 c)``. The filter has a fixed greatest size and is broadcast; a
-count is read back by probing level after level until one is missing.
+pre-aggregated per block, so a frequent word costs one entry per block. Bigrams travel the same way: each block sends its
+distinct ones to their hash part, which builds one segment of the filter, where a
+bigram of count c is entered at levels 1 to ``1 + floor(log2 c)``, and sends back
+the level of each, found by probing level after level until one is missing. The
+filter grows with the training tokens and is never in one place.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,13 +24,10 @@ from .common import Words, blob, mix, partitions, slices, stored, text_buffer
 ADDED = 0.1
 #: Weight of the bigram estimate against the unigram.
 BIGRAM_WEIGHT = 0.5
-#: Bits per training token, and most bits of the filter (64 MB).
+#: Bits per training token.
 BITS_PER_TOKEN = 6
-MOST_BITS = 1 << 29
 HASHES = 3
-#: Share of a segment's bits that may be set. A segment leaves out its rarest
-#: bigrams, a whole count at a time, where all would not fit; their probability
-#: backs off to the unigram.
+#: Share of a segment's bits that may be set; a segment that needs more is longer.
 LOAD = 0.6
 _END = np.uint64(0x1B873593CC9E2D51)
 
@@ -40,7 +36,7 @@ def blocks(docs: DataFrame, text: str, held_out: Column, payload: list[str]) ->
     """Token blocks: ``docs`` (array of payload structs), ``held`` (a byte per row),
     ``ends`` (int32 per row), ``tokens`` (numbers into ``words``), ``words``
     (sorted distinct 64-bit hashes), ``seen`` (int32 training count of each), and
-    ``block``, a hash of words and counts."""
+    ``block``, a hash of words, counts and bigrams."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("doc"), F.col(text).cast("string").alias("text"),
                        held_out.alias("held"))
     schema = rows.select(F.array("doc").alias("docs"), *[F.lit(b"").alias(c) for c in ("held", "ends", "tokens", "words", "seen")],
@@ -60,10 +56,11 @@ def blocks(docs: DataFrame, text: str, held_out: Column, payload: list[str]) ->
             unique, number = np.unique(token, return_inverse=True)
             seen = np.bincount(number[~np.repeat(held, count + 1)], minlength=len(unique))
             small = np.uint16 if len(unique) <= 1 << 16 else np.uint32
+            name = mix(np.concatenate((unique + mix(seen.astype(np.uint64)), _pairs(number, unique, ends)))).sum()
             yield pa.RecordBatch.from_arrays(
                 [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), part.column("doc")), *[pa.array([blob(x)], pa.binary()) for x in (
                     held, ends.astype(np.int32), number.astype(small), unique, seen.astype(np.int32))],
-                 pa.array([int(mix(unique + mix(seen.astype(np.uint64))).sum().view(np.int64))], pa.int64())], schema.names)
+                 pa.array([int(name.view(np.int64))], pa.int64())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -94,6 +91,20 @@ def _split(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, found, np.append(first, len(order))
 
 
+def _gathered(hashes: np.ndarray, parts: int, answers: list, name: str, kind) -> np.ndarray:
+    """What the parts answered for each of a block's hashes."""
+    order, found, cut = _split(hashes, parts)
+    out = np.empty(len(hashes), kind)
+    place = {p: k for k, p in enumerate(found.tolist())}
+    got = [a for a in answers if a[name] is not None]
+    if {a["part"] for a in got} != set(place):
+        raise ValueError("a block of texts came out otherwise when it was built again")
+    for a in got:
+        k = place[a["part"]]
+        out[order[cut[k]:cut[k + 1]]] = np.frombuffer(a[name], kind)
+    return out
+
+
 def unigrams(table: DataFrame, parts: int) -> DataFrame:
     """Rows (block, part, counts): exact training counts of a block's words of the
     part, in hash order; and a row per part with ``total`` and ``distinct``."""
@@ -147,80 +158,90 @@ def _places(short: np.ndarray, level: int, bits: int):
     return [((h + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32) for i in range(HASHES)]
 
 
-def segments(table: DataFrame, parts: int, bits: int) -> DataFrame:
-    """(part, segment): each part's share of the filter, ``bits`` bits long."""
+def levels(table: DataFrame, parts: int, bits: int) -> DataFrame:
+    """Rows (block, part, levels): the filter's level of each of a block's distinct
+    bigrams of the part, a byte each in order of :func:`_split`. A part's segment
+    has ``bits`` bits, or more where its bigrams need them."""
     def send(batches):
         for batch in batches:
-            for held, ends, tokens, words in zip(*[c.to_pylist() for c in batch.columns]):
+            for block, held, ends, tokens, words in zip(*[c.to_pylist() for c in batch.columns]):
                 number, words = _numbers(tokens, words), np.frombuffer(words, np.uint64)
                 ends, held = np.frombuffer(ends, np.int32), np.frombuffer(held, bool)
-                pairs = _pairs(number, words, ends)[~np.repeat(held, np.diff(ends, prepend=0))]
-                if not len(pairs):
-                    continue
-                unique, count = np.unique(pairs, return_counts=True)
+                unique, again = np.unique(_pairs(number, words, ends), return_inverse=True)
+                count = np.bincount(again[~np.repeat(held, np.diff(ends, prepend=0))], minlength=len(unique))
                 order, found, cut = _split(unique, parts)
                 short, count = (unique[order] >> np.uint64(32)).astype(np.uint32), count[order]
                 # most bigrams of a block are single: they go without a count
                 once = [count[a:b] == 1 for a, b in zip(cut, cut[1:])]
                 pieces = [(short[a:b], count[a:b]) for a, b in zip(cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.astype(np.int32)), pa.array([blob(s[o]) for (s, _), o in zip(pieces, once)], pa.binary()),
+                    [pa.array(found.astype(np.int32)), pa.array(np.full(len(found), block)),
+                     pa.array([blob(s[o]) for (s, _), o in zip(pieces, once)], pa.binary()),
                      pa.array([blob(s[~o]) for (s, _), o in zip(pieces, once)], pa.binary()),
-                     pa.array([blob(c[~o].astype(np.uint32)) for (_, c), o in zip(pieces, once)], pa.binary())],
-                    ["part", "single", "short", "count"])
+                     pa.array([blob(c[~o].astype(np.uint32)) for (_, c), o in zip(pieces, once)], pa.binary()),
+                     pa.array([blob(np.packbits(o)) for o in once], pa.binary())],
+                    ["part", "block", "single", "short", "count", "once"])
 
-    def fill(batches):
+    def answer(batches):
         for part, rows in _by_part(batches):
-            single = np.frombuffer(b"".join(r[0] for r in rows), np.uint32)
-            short = np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
-            count = np.frombuffer(b"".join(r[2] for r in rows), np.uint32)
+            single = np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
+            short = np.frombuffer(b"".join(r[2] for r in rows), np.uint32)
+            count = np.frombuffer(b"".join(r[3] for r in rows), np.uint32)
             unique, number = np.unique(np.concatenate((single, short)), return_inverse=True)
             total = np.bincount(number, np.concatenate((np.ones(len(single)), count)), len(unique)).astype(np.int64)
-            level = np.floor(np.log2(total)).astype(np.int64) + 1
-            room = -np.log1p(-LOAD) * bits / HASHES
-            least = 1
-            while level[total >= least].sum() > room and least <= total.max():
-                least += 1
-            kept = total >= least
-            unique, level = unique[kept], level[kept]
-            segment = np.zeros(bits, bool)
-            for j in range(1, int(level.max(initial=0)) + 1):
-                for place in _places(unique[level >= j], j, bits):
-                    segment[place.astype(np.int64)] = True
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([blob(np.packbits(segment, bitorder="little"))],
-                                                                                   pa.binary())], ["part", "segment"])
+            segment = Segment(unique[total > 0], total[total > 0], bits)
+            level = segment.levels(unique)[number]
+            at, more, backs = 0, len(single), []
+            for _, s, m, _, packed in rows:
+                s, m = len(s) // 4, len(m) // 4
+                once = np.unpackbits(np.frombuffer(packed, np.uint8), count=s + m).astype(bool)
+                back = np.empty(s + m, np.uint8)
+                back[once], back[~once] = level[at:at + s], level[more:more + m]
+                at, more = at + s, more + m
+                backs.append(blob(back))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([part] * len(rows), pa.int32()),
+                                              pa.array(backs, pa.binary())], ["block", "part", "levels"])
 
     spark = table.sparkSession
-    sent = (table.select("held", "ends", "tokens", "words")
-            .mapInArrow(send, "part int, single binary, short binary, count binary"))
-    return (sent.repartition(partitions(spark), "part").sortWithinPartitions("part").mapInArrow(fill, "part int, segment binary"))
-
-
-@dataclass
-class Filter:
-    data: np.ndarray  # parts x bits / 8
-    bits: int
-
-    def counts(self, pairs: np.ndarray) -> np.ndarray:
-        """Estimated counts: probes go up the levels until one is missing; the
-        estimate is the middle of the last level's range."""
-        part = (pairs % np.uint64(len(self.data))).astype(np.int64) * (self.bits // 8)
-        short, flat = (pairs >> np.uint64(32)).astype(np.uint32), self.data.reshape(-1)
-        level = np.zeros(len(pairs), np.int64)
-        alive = np.arange(len(pairs))
+    sent = (table.select("block", "held", "ends", "tokens", "words")
+            .mapInArrow(send, "part int, block long, single binary, short binary, count binary, once binary"))
+    return (sent.repartition(partitions(spark), "part").sortWithinPartitions("part")
+            .mapInArrow(answer, "block long, part int, levels binary"))
+
+
+class Segment:
+    """A hash part's share of the filter."""
+
+    def __init__(self, short: np.ndarray, count: np.ndarray, bits: int):
+        level = np.floor(np.log2(count)).astype(np.int64) + 1
+        self.bits = max(bits, int(np.ceil(HASHES * level.sum() / -np.log1p(-LOAD))))
+        self.data = np.zeros(self.bits, bool)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            for place in _places(short[level >= j], j, self.bits):
+                self.data[place.astype(np.int64)] = True
+
+    def levels(self, short: np.ndarray) -> np.ndarray:
+        """Probes go up the levels until one is missing."""
+        level = np.zeros(len(short), np.uint8)
+        alive = np.arange(len(short))
         for j in range(1, 64):
-            base, found = part[alive], np.ones(len(alive), bool)
+            found = np.ones(len(alive), bool)
             for place in _places(short[alive], j, self.bits):
-                found &= (flat[base + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                found &= self.data[place.astype(np.int64)]
             alive = alive[found]
             if not len(alive):
                 break
             level[alive] = j
-        return np.where(level > 0, (1.5 * 2.0 ** (level - 1)).clip(1.0) - 0.5 * (level > 1), 0.0)
+        return level
+
+
+def counts(level: np.ndarray) -> np.ndarray:
+    """Estimated counts: the middle of the level's range."""
+    level = level.astype(np.int64)
+    return np.where(level > 0, (1.5 * 2.0 ** (level - 1)).clip(1.0) - 0.5 * (level > 1), 0.0)
 
 
-def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[str] | None = None,
-          most_bits: int = MOST_BITS) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[str] | None = None) -> DataFrame:
     """Score every text under a unigram base and the bigram model.
 
     Trains on the rows where ``held_out`` is false (null counts as true). Returns
@@ -241,16 +262,11 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[s
     counted = stored(unigrams(table, parts), "lm-unigrams")
     sums = counted.agg(F.sum("total"), F.sum("distinct")).first()
     total, distinct = int(sums[0] or 0), int(sums[1] or 0)
-    whole = min(most_bits, 1 << max(20, (BITS_PER_TOKEN * total).bit_length()))
+    whole = 1 << max(20, (BITS_PER_TOKEN * total).bit_length())
     bits = max(64, whole // parts // 8 * 8)
-    data = np.zeros((parts, bits // 8), np.uint8)
-    got = segments(table, parts, bits).toArrow()
-    for part, segment in zip(got.column("part").to_pylist(), got.column("segment")):
-        data[part] = np.frombuffer(segment.as_buffer(), np.uint8)
-    shared = spark.sparkContext.broadcast(Filter(data, bits))
-
-    answers = (counted.where("block IS NOT NULL").groupBy("block")
-               .agg(F.collect_list(F.struct("part", "counts")).alias("answers")))
+    back = (counted.where("block IS NOT NULL").select("block", "part", "counts", F.lit(None).cast("binary").alias("levels"))
+            .unionByName(levels(table, parts, bits).select("block", "part", F.lit(None).cast("binary").alias("counts"), "levels")))
+    answers = back.groupBy("block").agg(F.collect_list(F.struct("part", "counts", "levels")).alias("answers"))
     joined = table.join(answers, "block", "left").select("docs", "held", "ends", "tokens", "words", "answers")
     empty = docs.select(F.struct(*[F.col(f"`{c}`") for c in payload]).alias("doc"))
     schema = empty.select("doc", F.lit(True).alias("held_out"), *[F.lit(0).cast("long").alias(c) for c in ("n_tokens", "n_known", "train_tokens")],
@@ -258,7 +274,6 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[s
     floor = total + ADDED * (distinct + 1)
 
     def run(batches):
-        model = shared.value
         for batch in batches:
             column = batch.column(0)
             cells = zip(*[batch.column(i).to_pylist() for i in range(1, 6)])
@@ -267,16 +282,11 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", payload: list[s
                 ends = np.frombuffer(ends, np.int32)
                 if answers is None:
                     raise ValueError("a block of texts came out otherwise when it was built again")
-                order, found, cut = _split(words, parts)
-                count = np.empty(len(words), np.int64)
-                place = {p: k for k, p in enumerate(found.tolist())}
-                for a in answers:
-                    k = place[a["part"]]
-                    count[order[cut[k]:cut[k + 1]]] = np.frombuffer(a["counts"], np.int64)
+                unique, again = np.unique(_pairs(number, words, ends), return_inverse=True)
+                count = _gathered(words, parts, answers, "counts", np.int64)
                 p = (count + ADDED) / floor
                 own = p[number]
-                unique, again = np.unique(_pairs(number, words, ends), return_inverse=True)
-                both = model.counts(unique)[again]
+                both = counts(_gathered(unique, parts, answers, "levels", np.uint8))[again]
                 c = count[number]
                 before = np.empty_like(c)
                 before[1:] = c[:-1]

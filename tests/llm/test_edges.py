@@ -254,3 +254,21 @@ def test_pages_pass_copies_and_range_edges(spark):
             assert got == {i: _words(i if not 10 <= i < 25 else 10, 15) for i in range(40)}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_filter_keeps_every_bigram_at_any_size(spark):
+    """Two blocks of the same words in another order, far more bigrams than ``bits``."""
+    words = [f"v{i}" for i in range(3000)]
+    texts = [" ".join(words), " ".join(words[::-1]), " ".join(words[:50] * 9)]
+    for text in texts:
+        docs = spark.createDataFrame([(1, text), (2, "only held out")], "doc_id long, text string")
+        table = lm.blocks(docs, "text", F.col("doc_id") == 2, ["doc_id"]).cache()
+        got = lm.levels(table, 3, 64).collect()
+        level = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in got])
+        tokens = ["", *text.split(), ""]
+        known = len(set(zip(tokens, tokens[1:])))
+        assert known <= (level > 0).sum() <= known + 4 and len(level) == known + 4
+        assert lm.counts(level).sum() >= len(tokens) / 2
+    both = lm.blocks(spark.createDataFrame([(1, texts[0])], "i long, text string"), "text", F.lit(False), ["i"]).union(
+        lm.blocks(spark.createDataFrame([(1, texts[1])], "i long, text string"), "text", F.lit(False), ["i"]))
+    assert both.select("block").distinct().count() == 2
