@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, texts_of, with_text
@@ -15,8 +15,9 @@ from .common import slices, texts_of, with_text
 UNKNOWN = "und"
 #: Documents of each language that training text is taken from, about.
 PER_LANGUAGE = 200
-#: Letters of training text per language at most.
+#: Code points of training text per language at most, taken in spans of so many.
 TRAIN_CHARS = 24_000
+SPAN = 60
 #: Symbols: word gap, any letter outside the alphabet, and the alphabet.
 ALPHABET = 64
 #: Texts are parsed in windows of so many symbols; a phrase ends with its window.
@@ -157,20 +158,26 @@ def phrases(texts: list[str], model: Model, table: np.ndarray) -> tuple[np.ndarr
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE,
         train_chars: int = TRAIN_CHARS, alphabet: int = ALPHABET) -> Model:
     """Automata of a bounded sample: about ``per_language`` documents of each
-    language by a hash of the id, and at most ``train_chars`` symbols of them
-    (documented bounds); rows with null text, language or id are left out. The
-    tables hold at most 2 * train_chars * (alphabet + 1) cells per language."""
+    language by a hash of the id, and at most about ``train_chars`` code points of
+    them, from the whole length of each (documented bounds); rows with null text,
+    language or id are left out. The tables hold at most 2 * train_chars *
+    (alphabet + 1) cells per language."""
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
     sizes = {r[0]: r[1] for r in usable.groupBy(F.col(lang).cast("string")).count().collect()}
     spread = 1 << 30
     place = F.pmod(F.xxhash64(F.col(doc_id), F.lit("language")), F.lit(spread))
-    limit = F.lit(0)
+    limit, name_of = F.lit(0), F.col(lang).cast("string")
     for name, n in sorted(sizes.items()):
-        limit = F.when(F.col(lang).cast("string") == name, min(spread, int(spread * per_language / n))).otherwise(limit)
-    # no text gives more than what its language needs at most
-    got = (usable.where(place < limit)
-           .select(F.col(lang).cast("string").alias("l"), F.col(doc_id).cast("string").alias("i"),
-                   F.left(F.col(text), F.lit(train_chars)).alias("t")).collect()) if sizes else []
+        limit = F.when(name_of == name, min(spread, int(spread * per_language / n))).otherwise(limit)
+    picked = usable.where(place < limit).select(name_of.alias("l"), F.col(doc_id).cast("string").alias("i"),
+                                                F.col(text).cast("string").alias("t"), F.length(F.col(text)).alias("n"))
+    lengths: dict[str, list[int]] = {}
+    for r in (picked.select("l", "n").collect() if sizes else []):
+        lengths.setdefault(r["l"], []).append(r["n"])
+    share = F.lit(0)
+    for name, n in sorted(lengths.items()):
+        share = F.when(F.col("l") == name, even_share(n, train_chars)).otherwise(share)
+    got = picked.select("l", "i", spans(F.col("t"), F.col("n"), share, F.col("i")).alias("t")).collect() if lengths else []
     texts: dict[str, list[str]] = {}
     for r in sorted(got, key=lambda r: (r["l"], r["i"], r["t"])):
         texts.setdefault(r["l"], []).append(r["t"])
@@ -186,22 +193,38 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     table = symbol_table(letters)
     steps, cost, learned = [], [], []
     for name in names:
-        s, _, n = symbols(_interleaved(texts[name], train_chars), table)
+        s, _, n = symbols([" ".join(texts[name])], table)
         if n.sum() == 0:
             continue
         learned.append(name)
-        steps.append(automaton(s[:train_chars], alphabet))
-        cost.append(np.log2(min(len(s), train_chars) + 1))
+        steps.append(automaton(s, alphabet))
+        cost.append(np.log2(len(s) + 1))
     if not steps:
         return Model([], letters, np.zeros(1, np.int32), np.zeros(0, np.int32), np.zeros(0), alphabet)
     cells, roots = parse_table(steps, alphabet)
     return Model(learned, letters, cells, roots, np.array(cost), alphabet)
 
 
-def _interleaved(texts: list[str], total: int) -> list[str]:
-    """An even share of every text rather than a few long ones."""
-    share = max(200, total // max(1, len(texts)))
-    return [t[:share] for t in texts] + [t[share:] for t in texts]
+def even_share(lengths: list[int], total: int) -> int:
+    """Code points that each text may give, so that all together give ``total`` and
+    what short ones lack comes from the longer."""
+    left, share = total, 0
+    for k, n in enumerate(sorted(lengths)):
+        share = left // (len(lengths) - k)
+        if n > share:
+            return max(1, share)
+        left -= n
+    return max([1, *lengths])
+
+
+def spans(text: Column, size: Column, share: Column, key: Column) -> Column:
+    """``share`` code points of a text in spans of ``SPAN``, one at a hashed place of
+    each of equal stretches of the whole text; a shorter text whole."""
+    many = F.greatest(F.lit(1), F.floor(share / SPAN)).cast("int")
+    wide = F.least(F.lit(SPAN), share).cast("int")
+    at = lambda i: (F.floor((i + F.pmod(F.xxhash64(key, i), F.lit(1 << 20)) / (1 << 20)) * (size - wide) / many) + 1).cast("int")
+    return F.when(size <= share, text).otherwise(
+        F.array_join(F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.substring(text, at(i), wide)), " "))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", payload: list[str] | None = None) -> DataFrame:

@@ -272,3 +272,17 @@ def test_filter_keeps_every_bigram_at_any_size(spark):
     both = lm.blocks(spark.createDataFrame([(1, texts[0])], "i long, text string"), "text", F.lit(False), ["i"]).union(
         lm.blocks(spark.createDataFrame([(1, texts[1])], "i long, text string"), "text", F.lit(False), ["i"]))
     assert both.select("block").distinct().count() == 2
+
+
+def test_language_learns_the_whole_text(spark):
+    """Every document opens with the same long notice in another language."""
+    pick = random.Random(9)
+    notice = " ".join(f"the {w} of this house" for w in ("owner", "keeper", "reader", "writer") * 4)
+    word = {"en": ["the", "house", "reader", "keeper", "of", "this"], "xx": ["ombra", "dolce", "verrai", "quiete", "solo"],
+            "yy": ["gruz", "plamt", "skov", "drenk", "vistl"]}
+    rows = [(f"{k}{i}", k, notice + " " + " ".join(pick.choices(word[k], k=300))) for k in word for i in range(150)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id string, lang string, text string"))
+    texts = [" ".join(pick.choices(word[k], k=40)) for k in word]
+    got = language.phrases(texts, model, language.symbol_table(model.symbol))[0] * model.cost
+    assert [model.languages[i] for i in got.argmin(1)] == list(word)
+    assert got[1, 2] > 5 * got[1, 1] and got[2, 1] > 5 * got[2, 2]
