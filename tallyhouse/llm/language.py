@@ -18,7 +18,8 @@ PER_LANGUAGE = 200
 #: Code points of training text per language at most, taken in spans of so many.
 TRAIN_CHARS = 24_000
 SPAN = 60
-#: Symbols: word gap, any letter outside the alphabet, and the alphabet.
+#: Symbols: word gap, any letter not seen in training, and the alphabet; letters
+#: beyond it take three symbols, so none is lost.
 ALPHABET = 64
 #: Texts are parsed in windows of so many symbols; a phrase ends with its window.
 WINDOW = 512
@@ -82,7 +83,7 @@ def parse_table(steps: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndar
 @dataclass
 class Model:
     languages: list[str]
-    symbol: dict[str, int]  # letters of the alphabet, lower case
+    symbol: dict[str, int]  # codes of the letters, lower case
     table: np.ndarray
     roots: np.ndarray
     cost: np.ndarray  # bits of a phrase per language
@@ -93,11 +94,11 @@ _CLASSES: dict[int, np.ndarray] = {}
 
 
 def symbol_table(letters: dict[str, int]) -> np.ndarray:
-    """Symbol of every code point: 0 no letter, 1 other letter, else the alphabet's.
-    Marks that combine with letters count as letters."""
+    """Code of every code point: 0 no letter, 1 a letter that no training text has,
+    else that of :func:`codes`. Marks that combine with letters count as letters."""
     if 0 not in _CLASSES:
         _CLASSES[0] = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)], np.uint8)
-    table = _CLASSES[0].copy()
+    table = _CLASSES[0].astype(np.int32)
     for letter, s in letters.items():
         for x in {letter, letter.upper(), letter.title()}:
             if len(x) == 1:
@@ -105,6 +106,20 @@ def symbol_table(letters: dict[str, int]) -> np.ndarray:
     return table
 
 
+def codes(letters: list[str], size: int) -> dict[str, int]:
+    """Codes of all letters, the most frequent first: a symbol each while there are
+    any, then three symbols (a lead that is no letter, and two digits) in a byte each."""
+    base, leads = size - 2, 0
+    while len(letters) > base - leads + leads * base * base:
+        leads += 1
+    short = base - leads
+    out = {c: i + 2 for i, c in enumerate(sorted(letters[:short]))}
+    for i, c in enumerate(letters[short:]):
+        lead, rest = divmod(i, base * base)
+        out[c] = size - 1 - lead | (rest // base + 2) << 8 | (rest % base + 2) << 16
+    return out
+
+
 def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols of all texts with runs of non-letters as one gap, their owners, and
     the number of letters of each text."""
@@ -115,7 +130,12 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != 0) | (s[:-1] != 0) | (owner[1:] != owner[:-1])
     letters = np.bincount(owner[s > 0], minlength=len(texts))
-    return s[keep], owner[keep], letters
+    s, owner = s[keep], owner[keep]
+    if (s > 255).any():
+        times = np.where(s > 255, 3, 1)
+        nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        s, owner = np.repeat(s, times) >> 8 * nth & 255, np.repeat(owner, times)
+    return s, owner, letters
 
 
 def phrases(texts: list[str], model: Model, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +181,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
     language by a hash of the id, and at most about ``train_chars`` code points of
     them, from the whole length of each (documented bounds); rows with null text,
     language or id are left out. The tables hold at most 2 * train_chars *
-    (alphabet + 1) cells per language."""
+    (alphabet + 1) cells per language, thrice that where all letters are rare."""
     usable = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull())
     sizes = {r[0]: r[1] for r in usable.groupBy(F.col(lang).cast("string")).count().collect()}
     spread = 1 << 30
@@ -188,8 +208,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
         for c in "".join(texts[name]).lower():
             if every[ord(c)]:
                 seen[c] = seen.get(c, 0) + 1
-    common = sorted(seen, key=lambda c: (-seen[c], c))[:alphabet - 2]
-    letters = {c: i + 2 for i, c in enumerate(sorted(common))}
+    letters = codes(sorted(seen, key=lambda c: (-seen[c], c)), alphabet)
     table = symbol_table(letters)
     steps, cost, learned = [], [], []
     for name in names:

@@ -286,3 +286,15 @@ def test_language_learns_the_whole_text(spark):
     got = language.phrases(texts, model, language.symbol_table(model.symbol))[0] * model.cost
     assert [model.languages[i] for i in got.argmin(1)] == list(word)
     assert got[1, 2] > 5 * got[1, 1] and got[2, 1] > 5 * got[2, 2]
+
+
+def test_language_tells_letters_beyond_the_alphabet(spark):
+    pick = random.Random(4)
+    sets = {"ab": [chr(0x61 + i) for i in range(26)] + [chr(0x430 + i) for i in range(32)] + [chr(0x3b1 + i) for i in range(16)],
+            "zb": [chr(0x4e00 + i) for i in range(300)], "zc": [chr(0x5e00 + i) for i in range(300)]}
+    text = lambda k, n: "".join(pick.choices(sets[k], k=n))
+    rows = [(f"{k}{i}", k, text(k, 2000 if k == "ab" else 400)) for k in sets for i in range(12)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id string, lang string, text string"))
+    got = language.phrases([text(k, 200) for k in sets], model, language.symbol_table(model.symbol))[0] * model.cost
+    assert [model.languages[i] for i in got.argmin(1)] == list(sets)
+    assert got[1, 2] > 1.1 * got[1, 1] and got[2, 1] > 1.1 * got[2, 2]
