@@ -1,14 +1,11 @@
-import os
 import sys
 import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from testkit import ROOT
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
@@ -29,8 +26,3 @@ def spark():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-test-"))
     yield spark
 
-
-def strings(spark, columns, rows):
-    """All-STRING DataFrame (the shape of the raw source tables)."""
-    schema = ", ".join(f"{c} string" for c in columns)
-    return spark.createDataFrame(rows, schema)

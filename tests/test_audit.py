@@ -3,7 +3,7 @@ reusable profile / duplicates / orphans operators."""
 
 from pyspark.sql import functions as F
 
-from conftest import strings
+from testkit import strings
 from tallyhouse.operators.profile import duplicates, orphans, profile, to_long
 from tallyhouse.plans.audit import data_quality_issues, issues_long
 from tallyhouse.plans.reference import ISSUE_CATALOG, ref_allowed_age_group, ref_allowed_status

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import strings
+from testkit import strings
 from tallyhouse.functions import exprs as X
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testkit import SF_SMALL
 from tallyhouse.plans.cohort import cohort_retention
 from tallyhouse.plans.marts import category_performance, monthly_revenue_by_country, user_segments
 from tallyhouse.plans.staging import stg_orders, stg_products, stg_users

@@ -7,7 +7,7 @@ import sys
 import duckdb
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from testkit import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 import compare_oracle as C  # noqa: E402

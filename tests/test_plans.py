@@ -3,7 +3,7 @@
 import re
 import pytest
 
-from conftest import SF_SMALL
+from testkit import SF_SMALL
 from tallyhouse.plans.audit import data_quality_issues
 from tallyhouse.plans.cohort import cohort_retention
 from tallyhouse.plans.marts import category_performance, monthly_revenue_by_country, user_segments

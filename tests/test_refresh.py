@@ -3,7 +3,7 @@ reported while marts still run; a staging failure stops the job."""
 
 import pytest
 
-from conftest import SF_SMALL
+from testkit import SF_SMALL
 from tallyhouse.plans import job as R
 from tallyhouse.session import shared_dir
 

@@ -11,7 +11,7 @@ from tallyhouse.plans import job
 from tallyhouse.session import partition_bytes, shared_dir
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources, read_csv_typed
 
-from conftest import strings
+from testkit import strings
 
 
 def test_text_after_a_date_is_no_date(spark):

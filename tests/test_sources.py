@@ -3,7 +3,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testkit import SF_SMALL
 from tallyhouse.plans.cohort import cohort_retention
 from tallyhouse.plans.marts import user_segments
 from tallyhouse.plans.staging import stg_orders, stg_users

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, strings
+from testkit import SF_SMALL, strings
 from tallyhouse.plans.staging import stg_orders, stg_products, stg_users
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources
 
