@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat, cotraining, embeddings, language, lm, mixing, ngram_join, packing, pages, quality_rules
+from . import chat, cotraining, embeddings, fim, language, lm, mixing, ngram_join, packing, pages, quality_rules
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -73,8 +73,13 @@ def op10_lm(spark, sf_dir):
     return got.select("doc.doc_id", "*").drop("doc")
 
 
+def op13_fim(spark, sf_dir):
+    got = fim.fill_in_middle(_table(spark, sf_dir, "documents"), payload=["doc_id"])
+    return fim.digests(got).select("doc.doc_id", "*").drop("doc")
+
+
 QUERIES = {f.__name__: f for f in (op1_extract, op2_pack, op3_jaccard, op4_embeddings, op5_language, op6_chat, op7_mix,
-                                   op8_rules, op9_cotraining, op10_lm)}
+                                   op8_rules, op9_cotraining, op10_lm, op13_fim)}
 
 # DuckDB versions of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -125,4 +130,21 @@ SELECT conv_id::BIGINT AS conv_id, n_turns, sha256(shown) AS turns_sha256, lengt
        sha256(loss) AS loss_sha256, formatted_chars FROM a
 """
 
-ORACLES = {"op3_jaccard": _OP3, "op4_embeddings": _OP4, "op6_chat": _OP6}
+_OP13 = r"""
+WITH a AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS s,
+                  regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+h AS (SELECT *, len(w)::BIGINT AS n, ('0x' || s[1:8])::BIGINT % (len(w) + 1) AS x, ('0x' || s[9:16])::BIGINT % (len(w) + 1) AS y,
+             ('0x' || s[17:24])::BIGINT % 100 AS u, ('0x' || s[25:32])::BIGINT % 100 AS v FROM a),
+p AS (SELECT *, array_to_string(w[1:least(x, y)], '') AS pre, array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS mid,
+             array_to_string(w[greatest(x, y) + 1:], '') AS post,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR u >= 90 THEN 'plain'
+                  WHEN v < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || post || '<M>' || mid
+                        ELSE '<S>' || post || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE pre || mid || post END) AS restored_sha256
+FROM p
+"""
+
+ORACLES = {"op3_jaccard": _OP3, "op4_embeddings": _OP4, "op6_chat": _OP6, "op13_fim": _OP13}
