@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import chat, cotraining, embeddings, fim, language, lm, mixing, ngram_join, packing, pages, quality_rules
+from . import chat, cotraining, embeddings, fim, language, lm, mixing, ngram_join, packing, pages, quality_rules, secret_scan, whitening
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -73,13 +73,24 @@ def op10_lm(spark, sf_dir):
     return got.select("doc.doc_id", "*").drop("doc")
 
 
+def op11_whitening(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows), payload=["vec_id"]).select("doc.vec_id", "*").drop("doc", "deviation_text")
+
+
+def op12_secrets(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.frequent_words(docs), payload=["doc_id"])
+    return secret_scan.digests(found).select("doc.doc_id", "*").drop("doc")
+
+
 def op13_fim(spark, sf_dir):
     got = fim.fill_in_middle(_table(spark, sf_dir, "documents"), payload=["doc_id"])
     return fim.digests(got).select("doc.doc_id", "*").drop("doc")
 
 
 QUERIES = {f.__name__: f for f in (op1_extract, op2_pack, op3_jaccard, op4_embeddings, op5_language, op6_chat, op7_mix,
-                                   op8_rules, op9_cotraining, op10_lm, op13_fim)}
+                                   op8_rules, op9_cotraining, op10_lm, op11_whitening, op12_secrets, op13_fim)}
 
 # DuckDB versions of the queries that SQL can express.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
