@@ -23,22 +23,21 @@ if _HERE not in sys.path:
 
 from duckdb_oracle import oracle_queries  # noqa: E402
 from tallyhouse.operators.profile import duplicates, orphans  # noqa: E402
-from tallyhouse.operators.dedup import keep_best, tie_breakers  # noqa: E402
+from tallyhouse.operators.dedup import keep_best  # noqa: E402
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
-from tallyhouse.plans.job import refresh  # noqa: E402
+from tallyhouse.plans.job import STAGING, published_run, refresh  # noqa: E402
 from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status  # noqa: E402
 from tallyhouse.session import apply_conf, shared_dir  # noqa: E402
 from tallyhouse.functions.exprs import (  # noqa: E402
-    ALLOWED_STATUSES,
-    STATUS_ALIAS_COMPLETED,
-    flag,
     parse_bool,
     status_norm,
     try_date,
 )
 from tallyhouse.operators.cohort import cohort_sizes  # noqa: E402
-from tallyhouse.operators.series import mom_growth, rank_by  # noqa: E402
-from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources  # noqa: E402
+from tallyhouse.operators.ranges import rank_by, row_numbers  # noqa: E402
+from tallyhouse.operators.series import mom_growth  # noqa: E402
+from tallyhouse.sources.sinks import csv_files, write_table  # noqa: E402
+from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources, read_csv_typed, read_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -119,14 +118,81 @@ def q_refresh(spark, sf_dir):
     return out
 
 
+def q_run_stamp(spark, sf_dir):
+    """The refresh published and read back through its publication: per staged table
+    its rows, the rows with a stamp, and whether that stamp is the one of the run."""
+    apply_conf(spark)
+    out = shared_dir(spark)
+    res = refresh(spark, sf_dir, out, run_audit=False)
+    assert published_run(spark, out).run == res.run
+    parts = [read_table(spark, out, name).agg(
+        F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count("loaded_at").alias("n_stamped"),
+        F.countDistinct("loaded_at").alias("n_stamps"), F.count_if(F.col("loaded_at") == F.lit(res.loaded_at)).alias("n_of_run"))
+        for name in STAGING]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ------------------------------------------------------------ stored order
+def q_monthly_revenue_ordered(spark, sf_dir):
+    """O1: the mart with the position of every row in its stored order."""
+    return row_numbers(q_monthly_revenue_by_country(spark, sf_dir), marts.mart_order("monthly_revenue_by_country"))
+
+
+def q_category_performance_ordered(spark, sf_dir):
+    return row_numbers(q_category_performance(spark, sf_dir), marts.mart_order("category_performance"))
+
+
+def q_user_segments_ordered(spark, sf_dir):
+    return row_numbers(q_user_segments(spark, sf_dir), marts.mart_order("user_segments"))
+
+
+def q_cohort_retention_ordered(spark, sf_dir):
+    """O2."""
+    return row_numbers(q_cohort_retention(spark, sf_dir), [F.col("cohort_month").asc_nulls_first()])
+
+
+def q_issues_ordered(spark, sf_dir):
+    issues = q_data_quality_issues(spark, sf_dir).select("table_name", "issue_type", "affected_rows")
+    return row_numbers(issues, [F.col("table_name").asc(), F.col("issue_type").asc()])
+
+
+# ------------------------------------------------------- sources and sinks
+def q_scan_eq(spark, sf_dir):
+    """A mapped table with a value list and a column list, both left to the scan."""
+    return read_table(spark, sf_dir, "orders", columns=["o_orderkey", "o_custkey", "o_orderstatus"],
+                      where={"o_orderstatus": ["F", "P"], "o_orderpriority": ["1-URGENT", "2-HIGH"]})
+
+
+def q_scan_ne(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders", columns=["o_orderkey", "o_custkey", "o_orderstatus"],
+                      where={"o_orderstatus": ["F", "P"]}, where_operator="ne")
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """The raw orders written as CSV by two producers, one with another column order
+    and a column more, and read back by name."""
+    orders, base = _raw(spark, sf_dir)["raw_orders"], f"{shared_dir(spark)}/landed"
+    columns = SOURCE_COLUMNS["raw_orders"]
+    completed = status_norm("status").eqNullSafe("completed")
+    csv_files(orders.where(completed), f"{base}/one")
+    csv_files(orders.where(~completed).select(*reversed(columns), F.lit('two, "quoted"\nlines').alias("note")), f"{base}/two")
+    return read_csv_typed(spark, base, columns)
+
+
+def q_replaced_products(spark, sf_dir):
+    """A table replaced whole under its declared key, read through its publication."""
+    raw, out = _raw(spark, sf_dir)["raw_products"], shared_dir(spark)
+    write_table(raw, f"{out}/products")
+    write_table(staging.stg_products(raw, with_loaded_at=False), f"{out}/products", key="product_id")
+    return read_table(spark, out, "products")
+
+
 # ------------------------------------------------------------ components
 def q_dedup_orders(spark, sf_dir):
     """keep_best on the raw orders: the raw row kept per order_id."""
     o = _raw(spark, sf_dir)["raw_orders"]
     cols = SOURCE_COLUMNS["raw_orders"]
-    order = [F.when(status_norm("status") == "completed", 0).otherwise(1).asc(),
-             try_date("order_date").desc_nulls_last(),
-             *tie_breakers(cols, exclude=["order_id"])]
+    order = staging.order_preference(try_date("order_date"))
     return keep_best(o, "order_id", order).select(*cols)
 
 
@@ -174,11 +240,9 @@ def q_orphan_products(spark, sf_dir):
 def q_status_normalized(spark, sf_dir):
     """status_norm + is_status_unknown truth table over every raw status value."""
     o = _raw(spark, sf_dir)["raw_orders"]
-    raw_l = F.lower(F.trim("status"))
     return (o.groupBy(F.col("status").alias("raw_status"),
                       status_norm("status").alias("status"),
-                      flag(F.col("status").isNotNull()
-                           & ~raw_l.isin(*ALLOWED_STATUSES, STATUS_ALIAS_COMPLETED)).alias("is_status_unknown"))
+                      staging.status_unknown().alias("is_status_unknown"))
              .agg(F.count(F.lit(1)).alias("rows")))
 
 
@@ -263,6 +327,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_segments": q_user_segments,
     "cohort_retention": q_cohort_retention,
     "refresh": q_refresh,
+    "run_stamp": q_run_stamp,
+    "monthly_revenue_ordered": q_monthly_revenue_ordered,
+    "category_performance_ordered": q_category_performance_ordered,
+    "user_segments_ordered": q_user_segments_ordered,
+    "cohort_retention_ordered": q_cohort_retention_ordered,
+    "issues_ordered": q_issues_ordered,
+    "scan_eq": q_scan_eq,
+    "scan_ne": q_scan_ne,
+    "csv_round_trip": q_csv_round_trip,
+    "replaced_products": q_replaced_products,
     "dedup_orders": q_dedup_orders,
     "issues_long": q_issues_long,
     "orders_profile": q_orders_profile,

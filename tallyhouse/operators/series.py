@@ -33,14 +33,3 @@ def mom_growth(df: DataFrame, part: str, month: str, value: str,
     extra = [prev_month.alias(prev_month_name)] if prev_month_name else []
     return lagged.select(F.col(month), F.col(part), cur.alias(value), prev.alias(prev_name), *extra,
                          growth.cast("decimal(10,2)").alias(pct_name))
-
-
-def rank_by(df: DataFrame, measure: str, name: str = "rank") -> DataFrame:
-    """``RANK() OVER (ORDER BY measure DESC)`` with NULLs first (the source
-    dialect's default for DESC).
-
-    The window has no partition, so it runs in one task: only apply it to an
-    aggregated result (one row per group), never to a fact table.
-    """
-    w = Window.orderBy(F.col(measure).desc_nulls_first())
-    return df.withColumn(name, F.rank().over(w).cast("bigint"))

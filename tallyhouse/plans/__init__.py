@@ -17,4 +17,4 @@ from tallyhouse.plans.marts import (  # noqa: F401
     user_segments,
 )
 from tallyhouse.plans.cohort import cohort_activity_long, cohort_retention  # noqa: F401
-from tallyhouse.plans.job import refresh  # noqa: F401
+from tallyhouse.plans.job import published_run, refresh  # noqa: F401

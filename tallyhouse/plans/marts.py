@@ -13,8 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import month_of
+from tallyhouse.operators.ranges import rank_by
 from tallyhouse.operators.segments import segment
-from tallyhouse.operators.series import mom_growth, rank_by
+from tallyhouse.operators.series import mom_growth
+
+def mart_order(name: str) -> list[Column]:
+    """The order in which a mart is stored, ended by its key so that it is total."""
+    country, month = F.col("country").asc_nulls_first(), F.col("month").asc_nulls_first()
+    rank, category = F.col("revenue_rank").asc_nulls_first(), F.col("category").asc_nulls_first()
+    segments = [F.col("segment").asc_nulls_first(), F.col("total_revenue_czk").desc_nulls_first(), F.col("user_id").asc_nulls_first()]
+    return {"monthly_revenue_by_country": [country, month], "category_performance": [rank, category], "user_segments": segments}[name]
 
 
 def valid_completed(stg_orders: DataFrame) -> DataFrame:
@@ -40,7 +48,7 @@ def monthly_revenue_by_country(stg_orders: DataFrame, stg_users: DataFrame,
     """Monthly revenue per country with the previous month and MoM %."""
     out = mom_growth(monthly_revenue(stg_orders, stg_users), "country", "month", "revenue_czk")
     out = out.select("month", "country", "revenue_czk", "prev_month_revenue_czk", "mom_growth_pct")
-    return out.orderBy("country", "month") if ordered else out
+    return out.orderBy(*mart_order("monthly_revenue_by_country")) if ordered else out
 
 
 def category_totals(stg_orders: DataFrame, stg_products: DataFrame) -> DataFrame:
@@ -91,7 +99,7 @@ def category_performance(stg_orders: DataFrame, stg_products: DataFrame, ordered
     ranked = rank_by(shaped, "total_revenue_czk", "revenue_rank")
     out = ranked.select("category", F.col("total_revenue_czk").cast("decimal(18,2)").alias("total_revenue_czk"),
                         "avg_margin_pct", "order_count", "avg_discount_pct", "revenue_rank")
-    return out.orderBy("revenue_rank") if ordered else out
+    return out.orderBy(*mart_order("category_performance")) if ordered else out
 
 
 def user_metrics(stg_users: DataFrame, stg_orders: DataFrame) -> DataFrame:
@@ -125,4 +133,4 @@ def user_segments(stg_users: DataFrame, stg_orders: DataFrame, ordered: bool = F
         F.col("order_count").cast("bigint"), F.col("total_revenue_czk").cast("decimal(18,2)"),
         F.col("days_since_registered").cast("bigint"), F.col("days_since_last_order").cast("bigint"),
         F.col("segment").cast("string"))
-    return out.orderBy("segment", F.col("total_revenue_czk").desc_nulls_first()) if ordered else out
+    return out.orderBy(*mart_order("user_segments")) if ordered else out

@@ -7,7 +7,9 @@ partial window-group-limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.exprs import (
@@ -33,12 +35,27 @@ PRODUCT_COLUMNS = SOURCE_COLUMNS["raw_products"]
 USER_COLUMNS = SOURCE_COLUMNS["raw_users"]
 
 
-def _lineage(df: DataFrame, source: str, with_loaded_at: bool) -> DataFrame:
-    cols = [F.current_timestamp().alias("loaded_at")] if with_loaded_at else []
+def _lineage(df: DataFrame, source: str, with_loaded_at: bool, loaded_at: datetime | None) -> DataFrame:
+    """``loaded_at`` is the stamp of the run that all its tables share; without one, the time of the query."""
+    stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    cols = [stamp.alias("loaded_at")] if with_loaded_at else []
     return df.select("*", *cols, F.lit(source).alias("source_table"))
 
 
-def stg_orders(orders: DataFrame, with_loaded_at: bool = True) -> DataFrame:
+def order_preference(date: str | Column) -> list[Column]:
+    """Which row of an ``order_id`` is kept: completed first, then the newest parseable
+    ``date``, then the remaining raw columns ascending (deterministic tie-break)."""
+    return [F.when(status_norm("status") == "completed", 0).otherwise(1).asc(), F.col(date).desc_nulls_last() if isinstance(date, str)
+            else date.desc_nulls_last(), *tie_breakers(ORDER_COLUMNS, exclude=["order_id"])]
+
+
+def status_unknown(status: str = "status") -> Column:
+    """1 where a raw status is neither an allowed one nor the alias of one."""
+    raw = F.lower(F.trim(F.col(status)))
+    return flag(F.col(status).isNotNull() & ~raw.isin(*ALLOWED_STATUSES, STATUS_ALIAS_COMPLETED))
+
+
+def stg_orders(orders: DataFrame, with_loaded_at: bool = True, loaded_at: datetime | None = None) -> DataFrame:
     """``stg_orders`` from the all-STRING source ``orders``.
 
     Per ``order_id`` (raw, untrimmed; all NULL ids form one group) the row
@@ -69,14 +86,13 @@ def stg_orders(orders: DataFrame, with_loaded_at: bool = True) -> DataFrame:
         try_num("discount_pct", 6, 4).alias("discount_pct"),
         flag(raw_status.isin("completed", STATUS_ALIAS_COMPLETED)
              & (blank("revenue_czk").isNull() | (rev_int == 0))).alias("is_revenue_suspicious"),
-        flag(F.col("status").isNotNull()
-             & ~raw_status.isin(*ALLOWED_STATUSES, STATUS_ALIAS_COMPLETED)).alias("is_status_unknown"),
+        status_unknown().alias("is_status_unknown"),
         flag(blank("quantity").isNull() | qty.isNull() | (qty <= 0)).alias("is_quantity_invalid"),
     )
-    return _lineage(out, "orders", with_loaded_at)
+    return _lineage(out, "orders", with_loaded_at, loaded_at)
 
 
-def stg_products(products: DataFrame, with_loaded_at: bool = True) -> DataFrame:
+def stg_products(products: DataFrame, with_loaded_at: bool = True, loaded_at: datetime | None = None) -> DataFrame:
     """``stg_products``; per ``product_id`` the active row with the highest
     price wins."""
     src = as_strings(products, "raw_products")
@@ -102,10 +118,10 @@ def stg_products(products: DataFrame, with_loaded_at: bool = True) -> DataFrame:
         flag(margin.isNull() | ~margin.between(0, 1)).alias("is_margin_out_of_range"),
         flag(F.col("category").isNull() | (F.trim("category") == "")).alias("is_category_missing"),
     )
-    return _lineage(out, "products", with_loaded_at)
+    return _lineage(out, "products", with_loaded_at, loaded_at)
 
 
-def stg_users(users: DataFrame, with_loaded_at: bool = True) -> DataFrame:
+def stg_users(users: DataFrame, with_loaded_at: bool = True, loaded_at: datetime | None = None) -> DataFrame:
     """``stg_users``; per ``user_id`` the newest registration wins."""
     src = as_strings(users, "raw_users")
     keyed = src.select(*USER_COLUMNS, try_date("registered_at").alias("__registered"))
@@ -128,4 +144,4 @@ def stg_users(users: DataFrame, with_loaded_at: bool = True) -> DataFrame:
              | F.col("acquisition_channel").isNull()).alias("is_channel_unknown"),
         flag(F.col("__registered").isNull()).alias("is_registered_at_invalid"),
     )
-    return _lineage(out, "users", with_loaded_at)
+    return _lineage(out, "users", with_loaded_at, loaded_at)

@@ -9,4 +9,4 @@ from tallyhouse.sources.tables import (  # noqa: F401
     read_csv_typed,
     read_table,
 )
-from tallyhouse.sources.sinks import write_csv, write_table  # noqa: F401
+from tallyhouse.sources.sinks import DuplicateKey, check_key, write_csv, write_files, write_table  # noqa: F401

@@ -4,12 +4,18 @@ raw_* source views."""
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.sources.published import Files, Log, current_folder
 from tallyhouse.sources.raw_views import VIEW_INPUTS
 
 RAW_TABLES = ("raw_orders", "raw_products", "raw_users")
@@ -27,19 +33,20 @@ SOURCE_COLUMNS = {
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path's scheme
     (local, HDFS, object stores alike)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception as exc:
-        raise RuntimeError(f"cannot look for {path}: this session has no access to the Hadoop file systems") from exc
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hpath.getFileSystem(conf).exists(hpath))
+    return Files(spark, path).exists(path)
 
 
 def table_path(spark: SparkSession, base: str, name: str) -> str:
-    """``<base>/<name>.parquet`` when that exists (driver layout), else ``<base>/<name>``."""
-    single = f"{base.rstrip('/')}/{name}.parquet"
-    return single if path_exists(spark, single) else f"{base.rstrip('/')}/{name}"
+    """Where the rows of a table are: ``<base>/<name>.parquet`` when that exists (driver
+    layout), the table of the run that ``base`` publishes, the published version of
+    ``<base>/<name>``, or that folder itself."""
+    base = base.rstrip("/")
+    if path_exists(spark, f"{base}/{name}.parquet"):
+        return f"{base}/{name}.parquet"
+    run = Log(spark, base).current()
+    if run and name in run.get("tables", {}):
+        return f"{base}/{run['tables'][name]}"
+    return current_folder(spark, f"{base}/{name}")
 
 
 def as_strings(df: DataFrame, table: str) -> DataFrame:
@@ -84,22 +91,119 @@ def read_table(spark: SparkSession, base: str, name: str,
     return df
 
 
+#: Bytes of a file in which its header line must end.
+HEADER_BYTES = 1 << 20
+#: Header lines read at once.
+PROBES = 16
+
+
+def _csv_files(spark: SparkSession, path: str) -> list[str]:
+    """The files with content that Spark would read under ``path``."""
+    files = Files(spark, path)
+    found, todo = [], [files.path(path)]
+    while todo:
+        for status in files._fs.listStatus(todo.pop()):
+            if status.getPath().getName()[0] in "_.":
+                continue
+            if status.isDirectory():
+                todo.append(status.getPath())
+            elif status.getLen():
+                found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The names in the first line of a CSV file (line breaks inside quotes belong to a name)."""
+    files = Files(spark, file)
+    stream = files._fs.open(files.path(file))
+    try:
+        codec = files._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(files._conf).getCodec(files.path(file))
+        start = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+    text = start.decode("utf-8-sig", "ignore")
+    names = tuple(next(csv.reader(io.StringIO(text, newline="")), []))
+    if len(start) == HEADER_BYTES and "\n" not in text and "\r" not in text:
+        raise ValueError(f"{file}: no end of the header line in its first {HEADER_BYTES} bytes")
+    if len(set(names)) < len(names):
+        raise ValueError(f"{file}: its header names a column twice: {names}")
+    return names
+
+
+def _local_part(path: str) -> str:
+    return unquote(urlsplit(path).path)
+
+
+def _broken_lines(spark: SparkSession, files: list[str]) -> set[str]:
+    """Files in which a quoted value holds a line break: a line of theirs has an odd number
+    of quotes. One pass over the text, split like any text."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    odd = (spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), (quotes % 2 == 1).alias("odd"))
+           .where("odd").select("file").distinct())
+    return {_local_part(r["file"]) for r in odd.collect()}
+
+
 def read_csv_typed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                   header: bool = True) -> DataFrame:
-    """CSV scan that keeps every value as STRING (no inference pass over the
-    data: only the header line is read to name the columns) and returns only
+                   header: bool = True, check: bool = True, multi_line: bool | None = None) -> DataFrame:
+    """CSV scan that keeps every value as STRING (no inference) and returns only
     ``columns`` when given.
 
-    Quoted line breaks belong to their value. A row with more or fewer values
-    than the header, and a file whose header names other columns or another
-    order, fail the read: nothing is dropped or bound by position. Whole rows
-    are parsed even for a few columns, as pruning would skip those checks.
+    Values are bound by the names in each file's header line: files of one folder
+    may order their columns differently, and may have others beside ``columns``
+    (without ``columns``, all must name the same). The driver reads one header line
+    per file; files with equal headers are one scan, the scans are united by name.
+
+    An empty field is NULL, a quoted empty one an empty value. Quoted line breaks belong to their value. Files that hold any are found in a
+    pass over the text and read whole, one task each; all others are split (say
+    ``multi_line`` to skip that pass). With ``check`` a further pass counts rows
+    with more or fewer values than their header and fails with the count per file;
+    without it such a row fails the read when it comes to it. Whole rows are
+    parsed even for a few columns, as pruning would skip those checks.
+
+    ``header=False`` names the columns ``_c0``, ``_c1``, ... by position.
     """
-    probe = spark.read.option("multiLine", True).option("escape", '"').option("header", header).option("inferSchema", False).csv(path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in probe.columns])
-    df = spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").option("multiLine", True)
-    df = df.option("enforceSchema", False).option("columnPruning", False).option("escape", '"').csv(path)
-    return df.select(*columns) if columns else df
+    path = current_folder(spark, path)
+    # a null value that no file holds: then an empty field is NULL and a quoted empty one ''
+    reader = spark.read.option("escape", '"').option("columnPruning", False).option("nullValue", "\0")
+    if not header:
+        names = reader.option("multiLine", True).option("inferSchema", False).csv(path).columns
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+        df = reader.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line is not False).csv(path)
+        return df.select(*columns) if columns else df
+
+    files = _csv_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no CSV file with a header in {path}")
+    with ThreadPoolExecutor(PROBES) as pool:
+        headers = dict(zip(files, pool.map(lambda f: _header(spark, f), files)))
+    wanted = list(columns or headers[files[0]])
+    for file, names in headers.items():
+        if missing := [c for c in wanted if c not in names]:
+            raise ValueError(f"{file} has no column(s) {missing}; its header names {list(names)}")
+        if not columns and len(names) != len(wanted):
+            raise ValueError(f"{file} has column(s) {[c for c in names if c not in wanted]} that {files[0]} has not")
+    whole = _broken_lines(spark, files) if multi_line is None else set()
+    groups: dict[tuple, list[str]] = {}
+    for file, names in headers.items():
+        groups.setdefault((names, bool(multi_line) or _local_part(file) in whole), []).append(file)
+
+    def scan(names, lines, part, mode, *more):
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in (*names, *more)])
+        return (reader.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", lines)
+                .option("mode", mode).option("columnNameOfCorruptRecord", more[0] if more else "_corrupt_record").csv(part))
+
+    if check:
+        bad = [scan(names, lines, part, "PERMISSIVE", "__bad").select(
+            F.col("_metadata.file_path").alias("file"), F.col("__bad").isNotNull().alias("bad"), F.col(f"`{names[0]}`").alias("value"))
+            for (names, lines), part in groups.items()]
+        # the value is counted too: Spark refuses to read the mark of a bad row alone
+        found = (reduce(DataFrame.unionByName, bad).groupBy("file").agg(F.count_if("bad").alias("rows"), F.count("value").alias("values"))
+                 .where("rows > 0").orderBy("file").collect())
+        if found:
+            listed = ", ".join(f"{r['file']} ({r['rows']})" for r in found[:10])
+            raise ValueError(f"{sum(r['rows'] for r in found)} row(s) in {len(found)} file(s) have more or fewer values than their header: {listed}")
+    return reduce(DataFrame.unionByName, [scan(names, lines, part, "FAILFAST").select(*[F.col(f"`{c}`") for c in wanted])
+                                          for (names, lines), part in groups.items()])
 
 
 def _view(spark: SparkSession, base: str, view: str) -> DataFrame:

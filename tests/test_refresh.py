@@ -6,6 +6,7 @@ import pytest
 from testkit import SF_SMALL
 from tallyhouse.plans import job as R
 from tallyhouse.session import shared_dir
+from tallyhouse.sources import read_table
 
 
 def test_refresh_writes_everything(spark):
@@ -53,7 +54,7 @@ def test_resume_keeps_committed_tables(spark, monkeypatch):
 
     def broken(*a, **k):
         raise RuntimeError("staging should not be recomputed")
-    monkeypatch.setattr(R, "write_table", broken)
+    monkeypatch.setattr(R, "write_files", broken)
     again = R.refresh(spark, SF_SMALL, out, resume=True)
     assert again.written == first.written and not again.errors
     assert fs.getFileStatus(path).getModificationTime() == before
@@ -68,7 +69,7 @@ def test_cli_runs_the_job(spark, capsys):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     printed = capsys.readouterr().out
     assert "cohort_retention\t" in printed and "ERROR" not in printed
-    assert spark.read.parquet(f"{out}/analytics/cohort_retention").count() > 0
+    assert read_table(spark, out, "cohort_retention").count() > 0
 
 
 EXPECTED_TYPES = {
