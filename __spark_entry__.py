@@ -29,6 +29,7 @@ from tallyhouse.plans.job import STAGING, published_run, refresh  # noqa: E402
 from tallyhouse.plans.reference import ref_allowed_age_group, ref_allowed_status  # noqa: E402
 from tallyhouse.session import apply_conf, shared_dir  # noqa: E402
 from tallyhouse.functions.exprs import (  # noqa: E402
+    initcap_words,
     parse_bool,
     status_norm,
     try_date,
@@ -252,6 +253,29 @@ def q_bool_parsed(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("rows")))
 
 
+def q_initcap_values(spark, sf_dir):
+    """INITCAP over texts full of delimiters: every page address and event payload."""
+    texts = (spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("raw"))
+             .unionByName(spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("props").alias("raw"))))
+    return (texts.groupBy("raw").agg(F.count(F.lit(1)).alias("rows"))
+            .select("raw", initcap_words(F.lower(F.trim("raw"))).alias("capped"), "rows"))
+
+
+#: What may stand around a date; the order key decides which (as in the raw views).
+DATE_TAILS_SQL = """
+SELECT o_orderkey, CASE o_orderkey % 9 WHEN 0 THEN d WHEN 1 THEN d || ' 10:30:00' WHEN 2 THEN d || 'T07:30:00' WHEN 3 THEN d || ' n/a'
+  WHEN 4 THEN d || 'Tfoo' WHEN 5 THEN ' ' || d || ' ' WHEN 6 THEN REPLACE(d, '-0', '-') WHEN 7 THEN d || ' 25:99:00' ELSE '  ' END AS raw
+FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS STRING) AS d FROM {orders}) t
+"""
+
+
+def q_dates_parsed(spark, sf_dir):
+    """The date rule on dates with times, other tails, blanks and short months."""
+    apply_conf(spark)
+    raw = spark.sql(DATE_TAILS_SQL, orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return raw.select("o_orderkey", "raw", try_date("raw").alias("parsed"))
+
+
 def q_flag_counts(spark, sf_dir):
     """How many staged rows carry each of the 10 quality flags: (flag, rows)."""
     s = _staged(spark, sf_dir)
@@ -347,6 +371,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_products": q_orphan_products,
     "status_normalized": q_status_normalized,
     "bool_parsed": q_bool_parsed,
+    "initcap_values": q_initcap_values,
+    "dates_parsed": q_dates_parsed,
     "flag_counts": q_flag_counts,
     "monthly_revenue": q_monthly_revenue,
     "mom_growth": q_mom_growth,

@@ -34,7 +34,7 @@ ISSUE_CATALOG = (
      "Staging leaves the status NULL, so no revenue counts; load a status."),
     ("orders", "invalid_status",
      "status, trimmed and in lower case, is neither in ref_allowed_status nor an alias of completed.",
-     "Staging sets it to NULL and raises is_status_unknown; use a listed status or extend ref_allowed_status."),
+     "Staging sets it to NULL and raises is_status_unknown; send one of the listed statuses, or have a new one listed first."),
     ("orders", "status_inconsistency",
      "status has capitals or is an alias of completed.",
      "Staging maps it to the listed spelling; send that spelling."),
@@ -91,7 +91,7 @@ ISSUE_CATALOG = (
      "Staging writes unknown and raises is_age_group_unknown; load a listed age group."),
     ("users", "invalid_age_group_format",
      "age_group, trimmed, is not in ref_allowed_age_group.",
-     "Staging writes unknown and raises is_age_group_unknown; use a listed group or extend ref_allowed_age_group."),
+     "Staging writes unknown and raises is_age_group_unknown; send one of the listed groups, or have a new one listed first."),
 )
 
 
