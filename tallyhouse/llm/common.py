@@ -3,6 +3,8 @@ and hashing over UTF-8 buffers, stored intermediate tables."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import zlib
 
@@ -52,6 +54,29 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker serves many stages, and
+    its allocators would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run):
+    """``run`` of a mapInArrow, with :func:`release_memory` before and after each task."""
+
+    def task(batches):
+        release_memory()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null rows are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batch_words, blob, mix, partitions, slices, stored
+from .common import Words, batch_words, blob, mix, partitions, slices, stored, tidy
 from .components import components
 
 WORDS = 5
@@ -97,7 +97,7 @@ def sizes_and_counters(docs: DataFrame) -> DataFrame:
                 [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(np.arange(k, dtype=np.int32)),
                  pa.array([zlib.compress(blob(c), 1) for c in chunks], pa.binary())], ["doc_id", "n", "id", "chunk", "counters"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, id long, chunk int, counters binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, id long, chunk int, counters binary")
 
 
 def ranks(counted: DataFrame) -> tuple[np.ndarray, int]:
@@ -115,7 +115,7 @@ def ranks(counted: DataFrame) -> tuple[np.ndarray, int]:
                                              ["chunk", "counters"])
 
     rows = (counted.where("chunk IS NOT NULL").select("chunk", "counters").repartition(partitions(spark), "chunk")
-            .mapInArrow(run, "chunk int, counters binary").collect())
+            .mapInArrow(tidy(run), "chunk int, counters binary").collect())
     total = np.zeros(1 << COUNTER_BITS, np.float64)
     for r in rows:
         total[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.uint64)
@@ -216,7 +216,7 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
         if held:
             yield give()
 
-    return docs.mapInArrow(run, "part int, entries binary, id long, n int, sketch binary")
+    return docs.mapInArrow(tidy(run), "part int, entries binary, id long, n int, sketch binary")
 
 
 def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
@@ -257,7 +257,7 @@ def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
                                               pa.array(size[a:a + 100_000]), pa.array(times[a:a + 100_000])], ["sig", "id", "n", "size", "times"])
 
     return (index.where("part IS NOT NULL").select("part", "entries").repartition(partitions(index.sparkSession), "part")
-            .mapInArrow(run, "sig long, id long, n int, size int, times long").groupBy("sig", "id")
+            .mapInArrow(tidy(run), "sig long, id long, n int, size int, times long").groupBy("sig", "id")
             .agg(F.min("n").alias("n"), F.max("size").alias("size"), F.sum("times").alias("times")))
 
 
@@ -274,7 +274,7 @@ def _similar(pairs: DataFrame, table: DataFrame, column: str, keep, name: str) -
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], ["a", "b"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "m", "n", "x", "y")
-    return stored(joined.mapInArrow(run, "a long, b long"), name)
+    return stored(joined.mapInArrow(tidy(run), "a long, b long"), name)
 
 
 def _may_link(x: bytes, y: bytes, m: int, n: int) -> bool:
@@ -319,7 +319,7 @@ def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataF
                  pa.array([blob(hashes[bounds[i]:bounds[i + 1]]) for i in at], pa.binary())], ["id", "n", "hashes"])
 
     wanted = stored(wanted, "jaccard-wanted")
-    sets = stored(_perhaps_in(docs, wanted).join(wanted, "doc_id").select("want", "text").mapInArrow(run, "id long, n int, hashes binary")
+    sets = stored(_perhaps_in(docs, wanted).join(wanted, "doc_id").select("want", "text").mapInArrow(tidy(run), "id long, n int, hashes binary")
                   .dropDuplicates(["id"]), "jaccard-sets")
     return _similar(pairs, sets, "hashes", _link, "jaccard-links")
 
@@ -404,7 +404,7 @@ def _cell_pairs(entries: DataFrame) -> DataFrame:
         if held:
             yield give()
 
-    return cells.mapInArrow(run, "a long, b long")
+    return cells.mapInArrow(tidy(run), "a long, b long")
 
 
 def _stacked(maps: list) -> tuple | None:
