@@ -3,6 +3,7 @@ quality models. Models are fitted on bounded samples; every row is scored."""
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -118,7 +119,7 @@ def metadata(batch: pa.RecordBatch, data, offsets, categories: list[str], number
     categorical columns (null is a value of its own)."""
     parts = [layout(data, offsets)]
     for c in numbers:
-        raw = np.array([np.nan if x is None else float(x) for x in batch.column(c).to_pylist()], dtype=float).reshape(-1)
+        raw = np.array([number(x) for x in batch.column(c).to_pylist()], dtype=float).reshape(-1)
         raw[~np.isfinite(raw)] = np.nan
         parts.append(np.stack([np.sign(raw) * np.log1p(np.abs(raw)), np.isnan(raw)], axis=1))
     for c in categories:
@@ -130,22 +131,32 @@ def metadata(batch: pa.RecordBatch, data, offsets, categories: list[str], number
     return np.nan_to_num(np.concatenate(parts, axis=1))
 
 
+def number(x) -> float:
+    """A numeric value; one that cannot be read as a number counts as null."""
+    try:
+        return np.nan if x is None else float(x)
+    except (TypeError, ValueError):
+        return np.nan
+
+
 def hash_text(x) -> int:
+    """Cell of a whole value, 0 for null."""
     if x is None:
         return 0
-    raw = np.frombuffer(str(x).encode(), np.uint8).astype(np.uint64)
-    h = mix(np.array([len(raw)], np.uint64))
-    for b in raw[:64]:
-        h = mix(h ^ b)
-    return 1 + int(h[0] % np.uint64(CELLS - 1))
+    code = hashlib.blake2b(str(x).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return 1 + int.from_bytes(code, "little") % (CELLS - 1)
 
 
-def sample_features(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, categories=(), numbers=()) -> Rows:
-    """Features of the documents in ``ids`` (column ``pick``; a bounded table)."""
+def sample_features(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, categories=(), numbers=(), once: bool = False) -> Rows:
+    """Features of the documents in ``ids`` (column ``pick``; a bounded table). ``once``:
+    of a repeated id only the row of the least text, found map-side first."""
     names = [*categories, *numbers]
     rows = (docs.join(F.broadcast(ids), docs[doc_id] == ids["pick"], "left_semi")
             .select(F.col(doc_id).cast("string").alias("id"), F.col(text).cast("string").alias("text"),
                     *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]))
+    if once:
+        rest = [c for c in rows.columns if c != "id"]
+        rows = rows.groupBy("id").agg(F.min(F.struct(*rest)).alias("r")).select("id", "r.*")
     cats, nums = [f"c{i}" for i in range(len(categories))], [f"c{i}" for i in range(len(categories), len(names))]
 
     def run(batches):
@@ -161,7 +172,8 @@ def sample_features(docs: DataFrame, ids: DataFrame, doc_id: str, text: str, cat
     order = sorted(range(len(got["id"])), key=lambda i: (got["id"][i], got["index"][i], got["value"][i]))
     return Rows([got["id"][i] for i in order], [np.frombuffer(got["index"][i], np.int32) for i in order],
                 [np.frombuffer(got["value"][i], np.float32) for i in order],
-                np.array([np.frombuffer(got["meta"][i], np.float64) for i in order]).reshape(len(order), -1))
+                np.array([np.frombuffer(got["meta"][i], np.float64) for i in order])
+                .reshape(len(order), LAYOUT + 2 * len(numbers) + CELLS * len(categories)))
 
 
 def labelled_sample(labels: DataFrame, doc_id: str, label: str, per_class: int) -> tuple[DataFrame | None, dict[str, int], float]:
