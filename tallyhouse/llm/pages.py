@@ -28,16 +28,23 @@ _BLOCK = set("""address article aside blockquote body center dd details dialog d
  form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr
  ul""".split())
 _FURNITURE = set("nav aside footer form menu dialog".split())
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE) for name in _RAW}
+_SCOPES = {"p", "article", "body", "td", "div"}
 _CLOSED_BY_BLOCK = _BLOCK - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
 #: Words of class, id and role that mark what is no article text.
 _MARKS = re.compile(
-    r"^(?:ad|ads|adv|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|comments?|disqus"
-    r"|repl(?:y|ies)|respond|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|share|sharing|social"
-    r"|related|newsletter|subscribe|signup|login|popup|modal|widgets?|pagination|pager|copyright|toolbar|search"
-    r"|contentinfo|complementary|form)$")
+    r"^(?:ad|ads|adv|advert\w*|adbox|adslot|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|comments?|disqus"
+    r"|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|newsletter|subscribe|popup|modal|widgets?|pagination|pager"
+    r"|copyright|toolbar|contentinfo|complementary)$")
+#: Words that do so alone, or with words that name a container.
+_WEAK_MARKS = set("notice notices alert repl reply replies respond share sharing social related signup login search form".split())
+_CONTAINERS = re.compile(r"^(?:\d*|area|articles?|bar|block|body|bottom|box|buttons?|col|container|content|group|icons?|inner|items?|left|links?|list"
+                         r"|media|news|outer|panel|posts?|right|row|section|stories|story|top|us|wrap|wrapper)$")
 
 #: Pages of other content that a page is compared with on either side.
 NEAR = 3
+#: Distinct pages whose lines a task shares among copies.
+POOL_PAGES = 256
 #: Characters of its own that tell a page from a near copy.
 LEAST_OWN = 60
 
@@ -55,28 +62,109 @@ class Line:
 def _marked(attributes: str) -> bool:
     if "=" not in attributes:
         return False
-    return any(_MARKS.match(w) for m in _ATTRIBUTE.finditer(attributes)
-               for w in re.split(r"[\s_-]+", (m[2] or m[3] or m[4] or "").lower()))
+    for m in _ATTRIBUTE.finditer(attributes):
+        for name in (m[2] or m[3] or m[4] or "").lower().split():
+            words = re.split(r"[_-]+", name)
+            if any(_MARKS.match(w) for w in words):
+                return True
+            if any(w in _WEAK_MARKS for w in words) and all(w in _WEAK_MARKS or _CONTAINERS.match(w) for w in words):
+                return True
+    return False
+
+
+class _Tree:
+    """The elements of a page that say what their text is: marks (menus, adverts and
+    the like) and articles, each with its parent among them."""
+
+    def __init__(self):
+        self.parent: list[int] = []
+        self.kind: list[str] = []  # unseen, mark, article
+        self.size: list[int] = []
+
+    def add(self, parent: int, kind: str) -> int:
+        self.parent.append(parent)
+        self.kind.append(kind)
+        self.size.append(0)
+        return len(self.parent) - 1
+
+    def judge(self, own: list[tuple[str, int]]) -> list[Line]:
+        """Lines from texts and the nearest element of each.
+
+        A mark holds for all inside it, but for one around the main article (the
+        article with most text), and, should the marks leave less than a tenth of
+        the text, for those that hold over half of it: these name the page's layout.
+        """
+        for text, node in own:
+            if node >= 0:
+                self.size[node] += len(text)
+        total = sum(len(t) for t, _ in own)
+        for k in range(len(self.parent) - 1, -1, -1):  # children come after their parents
+            if self.kind[k] == "unseen":
+                total -= self.size[k]
+                self.size[k] = 0
+            if self.parent[k] >= 0:
+                self.size[self.parent[k]] += self.size[k]
+        holds = [kind != "article" for kind in self.kind]
+        articles = [k for k, kind in enumerate(self.kind) if kind == "article" and self.size[k]]
+        if articles:
+            k = max(articles, key=lambda k: (self.size[k], k))
+            while (k := self.parent[k]) >= 0:
+                holds[k] = holds[k] and self.kind[k] == "unseen"
+        got = self._lines(own, holds)
+        if 10 * sum(len(x.text) for x, k in zip(got, _body(got)) if k) < total:
+            holds = [h and (kind == "unseen" or 2 * n <= total) for h, kind, n in zip(holds, self.kind, self.size)]
+            got = self._lines(own, holds)
+        return got
+
+    def _lines(self, own, holds) -> list[Line]:
+        furniture, article = [False] * len(holds), [False] * len(holds)
+        for k, up in enumerate(self.parent):
+            furniture[k] = holds[k] or (up >= 0 and furniture[up])
+            article[k] = self.kind[k] == "article" or (not holds[k] and up >= 0 and article[up])
+        return [Line(t, k >= 0 and furniture[k], k >= 0 and article[k]) for t, k in own]
 
 
 def lines(html: str) -> list[Line]:
     """Blocks of a page in order. Unclosed and stray tags are taken as browsers
-    do: an end tag closes up to its element, a block ends an open paragraph."""
-    out: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, furniture, article
+    do: an end tag closes up to its element, a block ends an open paragraph.
+    Time and memory are linear in the page."""
+    out: list[tuple[str, int]] = []
+    tree = _Tree()
+    stack: list[tuple[str, int]] = []  # element, nearest mark or article
+    open_now: dict[str, int] = {}  # elements on the stack by name
+    scopes: list[int] = []  # places of paragraphs and what may hold them
     pieces: list[str] = []
-    furniture = article = False
+    node, in_article = -1, 0
 
     def flush() -> None:
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                out.append(Line(text, furniture, article))
+                out.append((text, node))
 
-    at, n = 0, len(html)
+    def close(depth: int) -> None:
+        """Take everything from ``depth`` up off the stack."""
+        nonlocal node, in_article
+        now = stack[depth - 1][1] if depth else -1
+        if now != node:
+            flush()
+        while len(stack) > depth:
+            name, _ = stack.pop()
+            open_now[name] -= 1
+            in_article -= name in ("article", "main")
+        while scopes and scopes[-1] >= depth:
+            scopes.pop()
+        node = now
+
+    def depth_of(name: str) -> int:
+        if not open_now.get(name):
+            return -1
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
+
+    at, n, last = 0, len(html), html.rfind(">")
     while at < n:
-        m = _TOKEN.search(html, at)
+        m = _TOKEN.search(html, at) if at <= last or html.find("<!--", at) >= 0 else None
         if m is None:
             pieces.append(html[at:])
             break
@@ -91,37 +179,37 @@ def lines(html: str) -> list[Line]:
         elif name == "br":
             pieces.append(" ")
         if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if depth >= 0:
-                flush_needed = stack[depth][1:] != (stack[depth - 1][1:] if depth else (False, False))
-                if flush_needed:
-                    flush()
-                del stack[depth:]
-                furniture, article = stack[-1][1:] if stack else (False, False)
+            if (depth := depth_of(name)) >= 0:
+                close(depth)
             continue
         if name in _VOID or (m[3] or m[6] or "").endswith("/"):
             continue
         if name in _RAW:
-            end = re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE).search(html, at)
+            end = _RAW_END[name].search(html, at)
             at = end.end() if end else n
             continue
-        if name in _CLOSED_BY_BLOCK:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("p", "article", "body", "td", "div")), -1)
-            if depth >= 0 and stack[depth][0] == "p":
-                del stack[depth:]
-                furniture, article = stack[-1][1:] if stack else (False, False)
-        marked = _marked(m[3] or m[6] or "")
-        inside = name in ("article", "main")
-        own = marked or name in _FURNITURE or name in _UNSEEN or (name == "header" and not article)
-        if inside and not marked and all(f[0] in ("nav", "header", "footer", "body", "html") or not f[1] for f in stack):
-            furniture = False  # an unclosed menu does not swallow the article
-        state = (furniture or own, (article or inside) and not own)
-        if state != (furniture, article):
+        if name in _BLOCK and (depth := depth_of("head")) >= 0:
+            close(depth)  # text that is to be seen ends the head
+        if name in _CLOSED_BY_BLOCK and scopes and stack[scopes[-1]][0] == "p":
+            close(scopes[-1])
+        if name in _UNSEEN:
+            mine = tree.add(node, "unseen")
+        elif name not in ("html", "body") and (_marked(m[3] or m[6] or "") or name in _FURNITURE or (name == "header" and not in_article)):
+            mine = tree.add(node, "mark")
+        elif name in ("article", "main"):
+            mine = tree.add(node, "article")
+        else:
+            mine = node
+        if mine != node:
             flush()
-        stack.append((name, *state))
-        furniture, article = state
+        if name in _SCOPES:
+            scopes.append(len(stack))
+        stack.append((name, mine))
+        open_now[name] = open_now.get(name, 0) + 1
+        in_article += name in ("article", "main")
+        node = mine
     flush()
-    return out
+    return tree.judge(out)
 
 
 def shared(a: list[str], b: list[str]) -> list[bool]:
@@ -255,21 +343,27 @@ class Differencer:
             del self.last[next(iter(self.last))]
         if len(self.held) < 64 or len(self.last) <= self.near:
             return []
-        return self._settle(next(iter(self.last.values())))
+        # at least half of what waits, so that all the looking ahead is linear
+        until = next(iter(self.last.values()))
+        return self._settle(until) if 2 * (until - self.held[0][0]) >= len(self.held) else []
 
     def end(self) -> list[tuple]:
         return self._settle(self.number)
 
     def _settle(self, until: int) -> list[tuple]:
-        done = sum(h[0] < until for h in self.held)
-        if not done:
+        done = min(len(self.held), until - self.held[0][0]) if self.held else 0
+        if done <= 0:
             return []
         out, after = [], nearest([h[1] for h in self.held], self.near)
+        made: tuple = ((), "")
         for (_, kind, page, doc), places in zip(self.held[:done], after):
             if doc is not None:
                 ahead = [self.held[p][2] for p in places]
                 behind = [x for k, x in reversed(self.before.items()) if k != kind][:self.near]
-                out.append((doc, main_text(page, behind + ahead)))
+                key = tuple(map(id, (page, *behind, *ahead)))
+                if made[0] != key:  # copies in a row are one page object with one text
+                    made = key, main_text(page, behind + ahead)
+                out.append((doc, made[1]))
             self.before.pop(kind, None)
             self.before[kind] = page
             if len(self.before) > self.near + 1:
@@ -332,7 +426,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
     content than its own and each other's, however many copies lie between. A
     hot host is split over many ranges; a range gets from the others the pages
     that its first and last need, so the text does not depend on the ranges.
-    Copies wait in a task for the pages after them. A null or empty html gives
+    Copies wait in a task for the pages after them, equal pages and lines as one, so
+    a copy costs its payload and a few bytes a line. A null or empty html gives
     an empty text; a null url is a host of its own; repeated rows each give a row.
     """
     place = F.coalesce(F.col(url).cast("string"), F.lit(""))
@@ -382,6 +477,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
 
         kind = to_arrow_type(schema["doc"].dataType)
         now, differ, out = None, Differencer(), []
+        page_of: dict[str, list[Line]] = {}  # pages and lines met lately, held once
+        line_of: dict[str, Line] = {}
 
         def give():
             got = pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], kind), pa.array([t for _, t in out], pa.string())], schema.names)
@@ -394,8 +491,12 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", page_id: str
                 if h != now:
                     out += differ.end()
                     now, differ = h, Differencer()
-                page = [Line(y[1:], y[0] in "23", y[0] in "13") for y in x.split("\n")] if x else []
-                out += differ.add(page, d, k)
+                if x not in page_of:
+                    if len(page_of) >= POOL_PAGES:
+                        page_of.clear()
+                        line_of.clear()
+                    page_of[x] = [line_of.setdefault(y, Line(y[1:], y[0] in "23", y[0] in "13")) for y in x.split("\n")] if x else []
+                out += differ.add(page_of[x], d, k)
                 if len(out) >= 1000:
                     yield give()
         out += differ.end()
