@@ -25,7 +25,7 @@ from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
 from tallyhouse.plans.job import refresh  # noqa: E402
 from tallyhouse.session import build_session, shared_dir, size_shuffle_partitions  # noqa: E402
 from tallyhouse.sources.sinks import write_table  # noqa: E402
-from tallyhouse.sources.tables import RAW_TABLES, raw_sources  # noqa: E402
+from tallyhouse.sources.tables import RAW_TABLES, raw_sources, read_table  # noqa: E402
 
 
 def _noop(df) -> None:
@@ -55,11 +55,11 @@ def main() -> None:
     write_table(staging.stg_orders(raw["raw_orders"]), f"{staged_dir}/stg_orders")
     write_table(staging.stg_products(raw["raw_products"]), f"{staged_dir}/stg_products")
     write_table(staging.stg_users(raw["raw_users"]), f"{staged_dir}/stg_users")
-    so = spark.read.parquet(f"{staged_dir}/stg_orders")
-    sp = spark.read.parquet(f"{staged_dir}/stg_products")
-    su = spark.read.parquet(f"{staged_dir}/stg_users")
+    so = read_table(spark, staged_dir, "stg_orders")
+    sp = read_table(spark, staged_dir, "stg_products")
+    su = read_table(spark, staged_dir, "stg_users")
     write_table(marts.user_segments(su, so), f"{staged_dir}/user_segments")
-    us = spark.read.parquet(f"{staged_dir}/user_segments")
+    us = read_table(spark, staged_dir, "user_segments")
 
     jobs = {
         "stg_orders": lambda: staging.stg_orders(raw["raw_orders"]),

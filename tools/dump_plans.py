@@ -16,7 +16,7 @@ sys.path.insert(0, HERE)
 from tallyhouse.plans import audit, cohort, marts, staging  # noqa: E402
 from tallyhouse.session import build_session, shared_dir  # noqa: E402
 from tallyhouse.sources.sinks import write_table  # noqa: E402
-from tallyhouse.sources.tables import RAW_TABLES, raw_sources  # noqa: E402
+from tallyhouse.sources.tables import RAW_TABLES, raw_sources, read_table  # noqa: E402
 
 WIDTH = 160
 
@@ -42,7 +42,7 @@ def main() -> None:
                   staging.stg_users(raw["raw_users"]))
     for name, df in (("stg_orders", so), ("stg_products", sp), ("stg_users", su)):
         write_table(df, f"{scratch}/staged/{name}")
-    so_w, sp_w, su_w = (spark.read.parquet(f"{scratch}/staged/{n}") for n in ("stg_orders", "stg_products", "stg_users"))
+    so_w, sp_w, su_w = (read_table(spark, f"{scratch}/staged", n) for n in ("stg_orders", "stg_products", "stg_users"))
     us = spark.read.parquet(write_table(marts.user_segments(su_w, so_w), f"{scratch}/staged/user_segments"))
     frames = [
         ("stg_orders", "raw orders", so),
