@@ -167,12 +167,36 @@ def sketch(hashes: np.ndarray) -> bytes:
     return blob(np.packbits(out, bitorder="little"))
 
 
+_ENTRY = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4")])
+
+
+def packed(entries: np.ndarray) -> bytes:
+    """Entries column by column in 18 bytes each: 48 bits of the signature, the id,
+    and the byte planes of the size. Signatures that fall together bring more
+    candidates, which are compared; no pair is lost."""
+    def planes(x):
+        return x.view(np.uint8).reshape(len(x), -1)
+    sig, n = planes(entries["sig"] >> np.uint64(16))[:, :6], planes(np.ascontiguousarray(entries["n"]))
+    return blob(sig) + blob(entries["id"]) + blob(n.T)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    k = len(data) // 18
+    out = np.zeros(k, _ENTRY)
+    raw = np.frombuffer(data, np.uint8)
+    sig = np.zeros((k, 8), np.uint8)
+    sig[:, :6] = raw[:6 * k].reshape(k, 6)
+    out["sig"] = sig.view("<u8")[:, 0]
+    out["id"] = raw[6 * k:14 * k].view("<i8")
+    out["n"] = np.ascontiguousarray(raw[14 * k:].reshape(4, k).T).view("<i4")[:, 0]
+    return out
+
+
 def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> DataFrame:
     """Index entries of all texts, packed per part of the signature space: rows
     (part, entries); and per distinct set a row (id, n, sketch). Equal sets
     that a task meets are indexed once."""
     shared = docs.sparkSession.sparkContext.broadcast((rank, frequent))
-    kind = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4")])
 
     def run(batches):
         rank, frequent = shared.value
@@ -184,7 +208,7 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
             order = np.argsort(part, kind="stable")
             entries, part = entries[order], part[order]
             cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            blobs = [blob(e) for e in np.split(entries, cut[1:])]
+            blobs = [packed(e) for e in np.split(entries, cut[1:])]
             k = len(blobs)
             return pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary()), pa.nulls(k, pa.int64()),
                                                pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["part", "entries", "id", "n", "sketch"])
@@ -198,7 +222,7 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
                     continue
                 seen.add(i)
                 sigs = signatures(hashes[a:b], order[a:b], frequent)
-                one = np.empty(len(sigs), kind)
+                one = np.empty(len(sigs), _ENTRY)
                 one["sig"], one["id"], one["n"] = sigs, i, b - a
                 held.append(one)
                 total += len(one)
@@ -226,10 +250,8 @@ def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
     equal lists of sets become one, ``sig`` being a hash of the list and ``times``
     their number. Lists whose hashes collide are compared together: no pair is lost.
     """
-    kind = np.dtype([("sig", "<u8"), ("id", "<i8"), ("n", "<i4")])
-
     def run(batches):
-        held = [np.frombuffer(x, kind) for batch in batches for x in batch.column(1).to_pylist()]
+        held = [unpacked(x) for batch in batches for x in batch.column(1).to_pylist()]
         if not held:
             return
         entries = np.concatenate(held)
@@ -299,11 +321,14 @@ def _link(x: bytes, y: bytes, m: int, n: int) -> bool:
     return DEN * common >= NUM * (m + n - common)
 
 
-def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids that link: bitmaps rule out what cannot, then
-    the sets of the others are built again from their texts and compared."""
-    pairs = _similar(pairs, index.where("id IS NOT NULL").select("id", "n", "sketch").dropDuplicates(["id"]),
+def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataFrame, passed: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) of set ids that link: bitmaps rule out what cannot, then the
+    sets of the others, and of pairs whose bitmaps have ``passed`` before, are
+    built again from their texts and compared. ``pairs`` is a stored table."""
+    pairs = _similar(pairs, _sketches(index, pairs.select(F.explode(F.array("a", "b")).alias("id"))),
                      "sketch", _may_link, "jaccard-candidates")
+    if passed is not None:
+        pairs = stored(pairs.union(passed).distinct(), "jaccard-open")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = (counted.where("chunk IS NULL AND n > 0").join(nodes, "id").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
               .select("doc_id", F.col("id").alias("want")))
@@ -324,17 +349,23 @@ def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataF
     return _similar(pairs, sets, "hashes", _link, "jaccard-links")
 
 
-def _perhaps_in(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose hashed id is in a bitmap of those of ``wanted``, so
-    that the join after it need not shuffle the other texts. The bitmap has a
+def _sketches(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, n, sketch) of each set that is in ``wanted``, and of some that are not."""
+    rows = index.where("id IS NOT NULL").select("id", "n", "sketch")
+    return _perhaps_in(rows, wanted, "id").dropDuplicates(["id"])
+
+
+def _perhaps_in(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose hashed ``key`` is in a bitmap of those of ``wanted``, so
+    that the join after it need not shuffle the other rows. The bitmap has a
     fixed size (at most 2**FILTER_BITS / 64 rows), so it can be broadcast."""
     def cell(c):
         return F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
 
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("cell") % 64).cast("int"))
-    bitmap = (wanted.select(cell("doc_id").alias("cell")).groupBy(F.floor(F.col("cell") / 64).alias("word"))
+    bitmap = (wanted.select(cell(key).alias("cell")).groupBy(F.floor(F.col("cell") / 64).alias("word"))
               .agg(F.bit_or(bit).alias("bits")))
-    return (docs.withColumn("cell", cell("doc_id")).withColumn("word", F.floor(F.col("cell") / 64))
+    return (docs.withColumn("cell", cell(key)).withColumn("word", F.floor(F.col("cell") / 64))
             .join(F.broadcast(bitmap), "word").where(F.col("bits").bitwiseAND(bit) != 0).select(*docs.columns))
 
 
@@ -345,9 +376,9 @@ def _bits_apart(x: np.ndarray, m: int, many: np.ndarray, n: np.ndarray) -> np.nd
     return DEN * most >= NUM * (m + n - most)
 
 
-def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFrame:
+def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs that share a signature, fit in size and lie in different
-    groups so far.
+    groups so far: those whose bitmaps are still to be compared, and the others.
 
     Signatures whose sets are all in one group drop out. Those of up to SMALL
     sets give their pairs as they are. Sets of larger ones bring their bitmaps,
@@ -360,9 +391,9 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> DataFra
     mixed = stored(entries.groupBy("sig").agg(F.count("*").alias("size"), F.min("group").alias("lo"), F.max("group").alias("hi"))
                    .where("lo <> hi").select("sig", "size"), "jaccard-mixed")
     small = entries.join(mixed.where(F.col("size") <= SMALL), "sig").withColumn("sketch", F.lit(None).cast("binary"))
-    sketches = index.where("id IS NOT NULL").select("id", "sketch").dropDuplicates(["id"])
-    large = entries.join(mixed.where(F.col("size") > SMALL), "sig").join(sketches, "id")
-    return _cell_pairs(small).union(_cell_pairs(large)).distinct()
+    large = stored(entries.join(mixed.where(F.col("size") > SMALL), "sig"), "jaccard-large")
+    large = large.join(_sketches(index, large.select("id")).drop("n"), "id")
+    return (stored(_cell_pairs(small).distinct(), "jaccard-small-pairs"), stored(_cell_pairs(large).distinct(), "jaccard-large-pairs"))
 
 
 def _cell_pairs(entries: DataFrame) -> DataFrame:
@@ -482,13 +513,16 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # one another: per signature, the set whose signatures are most shared
     weight = live.groupBy("id").agg(F.sum(F.col("size") * F.col("times")).alias("weight"))
     pivots = stored(live.join(stored(weight, "jaccard-weights"), "id").groupBy("sig")
-                    .agg(F.max(F.struct("weight", "id")).alias("best")).select("sig", F.col("best.id").alias("a")), "jaccard-pivots")
-    stars = live.join(pivots, "sig").where("id <> a").groupBy("id", "a").agg(F.sum("times").alias("shared"))
+                    .agg(F.max(F.struct("weight", "id", "n")).alias("best"))
+                    .select("sig", F.col("best.id").alias("a"), F.col("best.n").alias("m")), "jaccard-pivots")
+    fits = DEN * F.least("n", "m").cast("long") >= NUM * F.greatest("n", "m").cast("long")
+    stars = live.join(pivots, "sig").where(fits & (F.col("id") != F.col("a"))).groupBy("id", "a").agg(F.sum("times").alias("shared"))
     # the pivot that a set shares most signatures with; the second pass sees to the rest
     stars = stars.groupBy("id").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", F.col("id").alias("b"))
-    links = verified(stars, index, usable, counted)
+    links = verified(stored(stars, "jaccard-stars"), index, usable, counted)
     groups = stored(components(links.withColumnRenamed("a", "u").withColumnRenamed("b", "v")), "jaccard-groups")
-    more = verified(stored(_open_pairs(live, groups, index), "jaccard-open"), index, usable, counted)
+    small, large = _open_pairs(live, groups, index)
+    more = verified(small, index, usable, counted, large)
     links = links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     groups = stored(components(links).withColumnRenamed("node", "id"), "jaccard-groups")
 
