@@ -175,7 +175,7 @@ def packed(entries: np.ndarray) -> bytes:
     and the byte planes of the size. Signatures that fall together bring more
     candidates, which are compared; no pair is lost."""
     def planes(x):
-        return x.view(np.uint8).reshape(len(x), -1)
+        return x.view(np.uint8).reshape(len(x), x.itemsize)
     sig, n = planes(entries["sig"] >> np.uint64(16))[:, :6], planes(np.ascontiguousarray(entries["n"]))
     return blob(sig) + blob(entries["id"]) + blob(n.T)
 
