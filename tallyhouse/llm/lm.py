@@ -83,6 +83,11 @@ def _by_part(batches):
         yield part, held
 
 
+def _first(blocks: list[int]) -> list[int]:
+    """Places of the first row of each block: equal blocks have equal answers, and one does for all."""
+    return np.unique(np.array(blocks, np.int64), return_index=True)[1].tolist()
+
+
 def _split(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Stable order of the hashes by part, the parts present, and their bounds."""
     part = (hashes % np.uint64(parts)).astype(np.int64)
@@ -128,10 +133,11 @@ def unigrams(table: DataFrame, parts: int) -> DataFrame:
             total = np.zeros(len(unique), np.int64)
             np.add.at(total, number, seen)
             counts = np.split(total[number], np.cumsum(size)[:-1])
-            k = len(rows)
+            once = _first([b for b, _, _ in rows])
+            k = len(once)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _, _ in rows] + [None], pa.int64()), pa.array([part] * (k + 1), pa.int32()),
-                 pa.array([blob(c) for c in counts] + [None], pa.binary()), pa.array([None] * k + [int(total.sum())], pa.int64()),
+                [pa.array([rows[i][0] for i in once] + [None], pa.int64()), pa.array([part] * (k + 1), pa.int32()),
+                 pa.array([blob(counts[i]) for i in once] + [None], pa.binary()), pa.array([None] * k + [int(total.sum())], pa.int64()),
                  pa.array([None] * k + [int((total > 0).sum())], pa.int64())], ["block", "part", "counts", "total", "distinct"])
 
     spark = table.sparkSession
@@ -199,8 +205,9 @@ def levels(table: DataFrame, parts: int, bits: int) -> DataFrame:
                 back[once], back[~once] = level[at:at + s], level[more:more + m]
                 at, more = at + s, more + m
                 backs.append(blob(back))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([part] * len(rows), pa.int32()),
-                                              pa.array(backs, pa.binary())], ["block", "part", "levels"])
+            first = _first([r[0] for r in rows])
+            yield pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in first], pa.int64()), pa.array([part] * len(first), pa.int32()),
+                                              pa.array([backs[i] for i in first], pa.binary())], ["block", "part", "levels"])
 
     spark = table.sparkSession
     sent = (table.select("block", "held", "ends", "tokens", "words")
