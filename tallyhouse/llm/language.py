@@ -21,10 +21,10 @@ SPAN = 60
 #: Symbols: word gap, any letter not seen in training, and the alphabet; letters
 #: beyond it take three symbols, so none is lost.
 ALPHABET = 64
-#: Texts are parsed in windows of so many symbols; a phrase ends with its window.
+#: Texts are parsed in windows of so many symbols at once; phrases go on across them.
 WINDOW = 512
 #: Text of one pass through the tables; a longer one goes through in spans of so
-#: many code points, and a phrase ends with its span.
+#: many code points.
 PASS_BYTES = 1 << 20
 
 
@@ -64,20 +64,25 @@ def parse_table(steps: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndar
 
     A place is state * (size + 1); the last column is padding and stays. Where
     no match goes on, the phrase ends and the next begins with this symbol at
-    the root; a symbol unknown to the language is a phrase of its own.
+    the root; a symbol unknown to the language is a phrase of its own, in a state after
+    which every symbol begins the next one.
     """
     parts, roots, base = [], [], 0
     for step in steps:
         states = len(step)
-        here = np.arange(states, dtype=np.int64) * (size + 1) + base
-        first = np.where(step[0] >= 0, step[0].astype(np.int64) * (size + 1) + base, base)
-        out = np.empty((states, size + 1), np.int64)
-        out[:, :size] = np.where(step >= 0, (step.astype(np.int64) * (size + 1) + base) * 2, first[None, :] * 2 + 1)
+        alone = states * (size + 1) + base
+        here = np.arange(states + 1, dtype=np.int64) * (size + 1) + base
+        first = np.where(step[0] >= 0, step[0].astype(np.int64) * (size + 1) + base, alone)
+        out = np.empty((states + 1, size + 1), np.int64)
+        out[:, :size] = first * 2 + 1
+        out[0, :size] = first * 2
+        out[:-1, :size] = np.where(step >= 0, (step.astype(np.int64) * (size + 1) + base) * 2, out[:-1, :size])
         out[:, size] = here * 2
         parts.append(out.reshape(-1))
         roots.append(base)
-        base += states * (size + 1)
-    return np.concatenate(parts).astype(np.int32), np.array(roots, np.int32)
+        base += (states + 1) * (size + 1)
+    kind = np.int32 if 2 * base <= np.iinfo(np.int32).max else np.int64
+    return np.concatenate(parts or [np.zeros(1, np.int64)]).astype(kind), np.array(roots, kind)
 
 
 @dataclass
@@ -141,38 +146,82 @@ def symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def phrases(texts: list[str], model: Model, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Phrases of every text in every language, symbols, and letters per text.
 
-    All windows of all texts go through the table in step, one symbol at a time.
+    A single text longer than ``PASS_BYTES`` goes through span by span; the parses go on
+    where the span before stopped, so phrases do not end with spans.
     """
-    if len(texts) == 1 and len(texts[0]) > PASS_BYTES:
-        spans = [phrases([texts[0][a:a + PASS_BYTES]], model, table) for a in range(0, len(texts[0]), PASS_BYTES)]
-        return tuple(sum(x) for x in zip(*spans))
-    s, owner, letters = symbols(texts, table)
-    n_lang, n_texts = len(model.languages), len(texts)
-    count = np.zeros((n_texts, n_lang), np.int64)
-    per_text = np.bincount(owner, minlength=n_texts)
-    if not len(s) or not n_lang:
-        return count, per_text, letters
-    begin = np.cumsum(per_text) - per_text
+    long = len(texts) == 1 and len(texts[0]) > PASS_BYTES
+    places = range(0, len(texts[0]), PASS_BYTES) if long else (0,)
+    at = np.repeat(model.roots[None, :], len(texts), axis=0)
+    count, size, letters = np.zeros(at.shape, np.int64), np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    in_gap = False
+    for a in places:
+        s, owner, n = symbols([texts[0][a:a + PASS_BYTES]] if long else texts, table)
+        if in_gap and len(s) and s[0] == 0:  # a gap that began in the span before
+            s, owner = s[1:], owner[1:]
+        in_gap = long and (s[-1] == 0 if len(s) else in_gap)
+        per_text = np.bincount(owner, minlength=len(texts))
+        ended, at = breaks(s, per_text, model, at)
+        count, size, letters = count + ended, size + per_text, letters + n
+    return count + (size > 0)[:, None], size, letters
+
+
+def breaks(s: np.ndarray, per_text: np.ndarray, model: Model, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrase ends in each of the texts whose symbols follow each other in ``s``, and the
+    places where the parses stop (both texts x languages); ``entry`` holds those where they
+    begin.
+
+    Texts are cut into windows that go through the table in step, each from the root.
+    Then every window is parsed again from where the one before it stopped, until
+    both parses stand at the same place, from where on they are the same. Where that
+    moves a window's own stop, its successor is parsed once more.
+    """
+    count, stops = np.zeros(entry.shape, np.int64), entry.copy()
+    if not len(s) or not len(model.languages):
+        return count, stops
     windows = -(-per_text // WINDOW)
-    who = np.repeat(np.arange(n_texts), windows)
+    who = np.repeat(np.arange(len(per_text)), windows)
     nth = np.arange(len(who)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = begin[who] + nth * WINDOW
     size = np.minimum(per_text[who] - nth * WINDOW, WINDOW)
-    grid = np.full((WINDOW, len(who)), model.size, np.int32)
-    place = np.arange(len(s)) - np.repeat(at, size)
-    grid[place, np.repeat(np.arange(len(who)), size)] = s
     order = np.argsort(-size, kind="stable")  # long windows first, so that full ones can stop
-    grid, alive = np.ascontiguousarray(grid[:, order]), np.bincount(size, minlength=WINDOW + 1)[::-1].cumsum()[::-1]
-    for k, root in enumerate(model.roots):
-        state = np.full(len(who), root, np.int32)
-        ended = np.ones(len(who), np.int32)  # the last phrase of a window
-        for j in range(int(size.max())):
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    column = np.repeat(rank, size)
+    grid = np.full((int(size.max()), len(who)), model.size, np.int32)
+    grid[np.arange(len(s)) - np.repeat(np.cumsum(size) - size, size), column] = s
+    alive = np.bincount(size, minlength=len(grid) + 1)[::-1].cumsum()[::-1]
+    who, nth, size = who[order], nth[order], size[order]
+    later = np.flatnonzero(nth > 0)
+    before = rank[order[later] - 1]
+    last = np.flatnonzero(nth == windows[who] - 1)
+    trail = np.empty(grid.shape, model.table.dtype)
+    for k in range(len(model.languages)):
+        began = np.where(nth > 0, model.roots[k], entry[who, k])
+        stop, ended = began.copy(), np.zeros(len(who), np.int64)
+        for j in range(len(grid)):
             n = alive[j + 1]
-            got = model.table[state[:n] + grid[j, :n]]
-            ended[:n] += got & 1
-            state[:n] = got >> 1
-        count[:, k] = np.bincount(who[order], ended, n_texts)
-    return count, per_text, letters
+            trail[j, :n] = model.table[stop[:n] + grid[j, :n]]
+            ended[:n] += trail[j, :n] & 1
+            stop[:n] = trail[j, :n] >> 1
+        while True:
+            moved = stop[before] != began[later]
+            todo = later[moved]
+            if not len(todo):
+                break
+            state = began[todo] = stop[before[moved]]
+            for j in range(len(grid)):
+                got, old = model.table[state + grid[j, todo]], trail[j, todo]
+                trail[j, todo] = got
+                ended[todo] += (got & 1).astype(np.int64) - (old & 1)
+                state = got >> 1
+                full = size[todo] == j + 1
+                stop[todo[full]] = state[full]
+                on = ~full & (state != old >> 1)
+                todo, state = todo[on], state[on]
+                if not len(todo):
+                    break
+        count[:, k] = np.bincount(who, ended, len(per_text))
+        stops[who[last], k] = stop[last]
+    return count, stops
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", per_language: int = PER_LANGUAGE,
