@@ -15,7 +15,7 @@ from .common import Words, blob, mix, slices, text_buffer
 
 #: Each feature family is hashed to 2**BITS weights.
 BITS = 17
-FAMILIES = 3  # words, 3 bytes, 4 bytes
+FAMILIES = 3  # words, 3 characters, 4 characters
 WIDTH = FAMILIES << BITS
 #: Shares are multiplied by this, so that weights stay of the order of one.
 SCALE = 50.0
@@ -32,32 +32,33 @@ _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of a UTF-8 buffer (its bytes, in one), and the rows' bounds."""
+    leads = (data & 0xC0) != 0x80
+    at = np.flatnonzero(leads)
+    size = np.diff(np.append(at, len(data)))
+    value = data[at].astype(np.uint32)
+    for k in (1, 2, 3):
+        more = np.flatnonzero(size > k)
+        value[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
+    return value, np.concatenate(([0], np.cumsum(leads)))[offsets]
+
+
 def families(words: Words, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per family the hashed index of every feature occurrence and the bounds of
-    each row's occurrences. Byte n-grams do not cross rows."""
+    each row's occurrences. Character n-grams do not cross rows."""
     out = [((words.hash >> np.uint64(64 - BITS)).astype(np.int64), words.first)]
-    data = words.data.astype(np.uint32)
-    value, size = data, np.diff(offsets)
+    letter, begin = characters(words.data, offsets)
+    size = np.diff(begin)
+    row = np.repeat(np.arange(len(size)), size)
+    value = letter
     for n in (2, 3, 4):
-        if len(data) < n:
-            value = np.zeros(0, np.uint32)
-        else:
-            value = value[:-1] | (data[n - 1:] << np.uint32(8 * (n - 1)))
+        value = (value[:-1] ^ (value[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + letter[n - 1:]
         if n == 2:
             continue
-        kept = np.maximum(size - (n - 1), 0)
-        bounds = np.concatenate(([0], np.cumsum(kept)))
-        # windows that start in the last n-1 bytes of a row run into the next one
-        ok = np.ones(len(value), bool)
-        for back in range(1, n):
-            at = offsets[1:][size >= 1] - back
-            ok[at[(at >= 0) & (at < len(ok))]] = False
-        if int(bounds[-1]) != int(ok.sum()):  # rows shorter than n: mark by position
-            ok = np.zeros(len(value), bool)
-            for a, k in zip(offsets[:-1], kept):
-                ok[a:a + k] = True
-        hashed = (value[ok] * np.uint32(2654435761)) >> np.uint32(32 - BITS)
-        out.append((hashed.astype(np.int64) + ((n - 2) << BITS), bounds))
+        inside = row[:len(value)] == row[n - 1:]
+        hashed = (value[inside] * np.uint32(2654435761)) >> np.uint32(32 - BITS)
+        out.append((hashed.astype(np.int64) + ((n - 2) << BITS), np.concatenate(([0], np.cumsum(np.maximum(size - (n - 1), 0))))))
     return out
 
 
