@@ -92,7 +92,7 @@ def hashed(vectors: DataFrame) -> DataFrame:
     """``rep``, ``n``, ``vector`` (doubles) and ``keys`` of distinct vectors."""
     def run(batches):
         for batch in batches:
-            labels = batch.column("label").cast(pa.int64()).to_numpy(zero_copy_only=False)
+            labels = batch.column("label").to_numpy()
             column = batch.column("embedding")
             size = np.asarray(column.value_lengths())
             for d in np.unique(size):
@@ -106,7 +106,7 @@ def hashed(vectors: DataFrame) -> DataFrame:
                      pa.array(list(keys.reshape(len(at), -1).view(np.int64)), pa.list_(pa.int64()))],
                     ["rep", "n", "vector", "keys"])
 
-    return vectors.select("rep", "n", F.col("label").cast("long").alias("label"), "embedding").mapInArrow(
+    return vectors.select("rep", "n", F.xxhash64("label").alias("label"), "embedding").mapInArrow(
         run, "rep long, n long, vector binary, keys array<long>")
 
 
@@ -142,6 +142,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     buckets are compared in blocks of bounded size, pairs stay inside their
     task, and only sums and a star of links per block leave it.
 
+    Labels may be of any type that can be grouped by; only their equality counts.
+
     Vectors that are null, empty, zero or hold null or non-finite parts, and
     rows with null label or id, link with nothing; vectors of different length
     neither. Repeated rows count as copies. An empty table gives no rows.
