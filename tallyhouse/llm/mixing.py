@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.ranges import row_numbers
+
 from .common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,28 +32,29 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     ``sizes`` has ``source``, ``size`` and ``docs`` (words and rows, pre-aggregated
     or not). Targets are proportional to the
     weights but never above ``most`` times the source; what is cut off goes
-    to the others by weight until none is above. Works on one row per source.
+    to the others by weight until none is above. Sources are numbered by ranges, and each
+    round of sharing is one sum over them, so no task sees them all; a round
+    caps at least one source more, and the sums are of whole numbers, so reruns agree.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum("docs").alias("docs"))
     # strings compare by code point in Spark's binary collation; null comes last
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
+    per = row_numbers(per, [F.col("source").asc_nulls_last()], "nr")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("nr") - 1) % len(weights) + 1).cast("int"))
     per = per.withColumn("w", weight).withColumn("cap", F.col("source_size") * F.lit(float(most)))
-    # sources by the level at which they reach their cap: those below the
-    # water level are capped, the rest share what is left by weight
-    up_to = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
-    before = up_to.rowsBetween(Window.unboundedPreceding, -1)
-    onward = up_to.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    per = (per.withColumn("total", F.sum("source_size").over(whole) * F.lit(share))
-           .withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-                       / F.sum("w").over(onward)))
-    # the first source whose cap is above the level it would get sets the level
-    per = per.withColumn("open", F.col("cap") > F.col("level") * F.col("w"))
-    level = F.min(F.when(F.col("open"), F.struct((F.col("cap") / F.col("w")).alias("k"), F.col("level").alias("l")))).over(whole)
-    per = per.withColumn("final", level["l"])
-    return per.select("source", "source_size", "docs", "cap",
-                      F.coalesce(F.least("cap", F.col("final") * F.col("w")), "cap").alias("target"))
+    total = float(per.agg(F.sum("source_size")).first()[0] or 0) * share
+    level, capped = 0.0, -1
+    while True:
+        full = F.col("cap") <= F.lit(level) * F.col("w")
+        got = per.agg(F.count_if(full).alias("n"), F.sum(F.when(full, F.col("cap"))).alias("cap"),
+                      F.sum(F.when(~full, F.col("w"))).alias("w")).first()
+        if got["n"] == capped:
+            break
+        capped = got["n"]
+        if not got["w"]:
+            level = float("inf")
+            break
+        level = (total - (got["cap"] or 0.0)) / got["w"]
+    return per.select("source", "source_size", "docs", "cap", F.least(F.col("cap"), F.lit(level) * F.col("w")).alias("target"))
 
 
 def tilts(groups: DataFrame, targets: DataFrame, most: int = MOST, max_rounds: int = 60) -> DataFrame:

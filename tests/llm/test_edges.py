@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import random
+from datetime import date as D
 
 import numpy as np
 import pyarrow as pa
@@ -8,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from tallyhouse.llm import chat, cotraining, embeddings, language, lm, mixing, ngram_join, packing, pages, quality_rules
-from tallyhouse.llm.common import slices, text_buffer
+from tallyhouse.llm import chat, cotraining, embeddings, features, language, lm, mixing, ngram_join, packing, pages, quality_rules
+from tallyhouse.llm.common import Words, slices, text_buffer
 from tallyhouse.llm.queries import TOKENIZER
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
@@ -106,6 +107,14 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind, labels", [("string", ["a", "7", "a", None]), ("date", [D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 1), None]),
+                                         ("double", [0.0, 7.5, -0.0, None]), ("boolean", [True, False, True, None])])
+def test_embeddings_with_labels_of_any_type(spark, kind, labels):
+    rows = [(i, [1.0, 2.0, 3.0 + i / 1000], v) for i, v in enumerate(labels)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 0, True), (1, 0, 1, True), (2, 1, 0, False), (3, 0, 3, True)]
+
+
 def test_embeddings_large_group_in_blocks(spark):
     pick = np.random.default_rng(1)
     centre = pick.normal(size=16)
@@ -125,15 +134,6 @@ def test_language(spark, docs):
     assert {r[0] for r in language.identify(docs, language.fit(docs.limit(0))).select("lang_pred").collect()} == {"und"}
 
 
-def test_long_text_goes_through_in_spans(spark, monkeypatch):
-    model = language.Model(["a"], {"x": 2}, *language.parse_table([language.automaton(np.array([2, 2, 0]), 4)], 4), np.ones(1), 4)
-    table = language.symbol_table(model.symbol)
-    monkeypatch.setattr(language, "PASS_BYTES", 100)
-    whole, _, letters = language.phrases(["xx " * 99], model, table)
-    spans = sum(language.phrases([("xx " * 99)[a:a + 100]], model, table)[0] for a in (0, 100, 200))
-    assert whole.tolist() == spans.tolist() and letters.tolist() == [198]
-
-
 def test_cross_parsing_counts_phrases():
     train, text = "abracadabra", "cadabrabrazz"
     model = language.Model(["l"], {c: i + 2 for i, c in enumerate("abcdr")}, *[None] * 3, 8)
@@ -171,6 +171,28 @@ def test_mixing(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [{"a": 10}, {"a": 0, None: 0}, {"a": 5, "b": 1000, None: 3}, {"a": 1, "b": 1, "c": 1, "d": 1, "e": 9},
+                                   {f"s{i:02d}": 3 ** i for i in range(12)}, {"Z": 4, "a": 4, "\u00e9": 40, "\U0001f600": 400, "\uffff": 4}])
+def test_targets_of_sources(spark, sizes):
+    table = spark.createDataFrame([(k, n, 1) for k, n in sizes.items()], "source string, size long, docs long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(table).collect()}
+    assert got == pytest.approx(brute.mix_targets(sizes))
+    plan = mixing.source_targets(table)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_character_features():
+    texts = ["", "a", "abc", "h\u00e9llo w\u00f6rld", "\u65e5\u672c\u8a9e\u30c6\u30ad", "", "\U0001f600\U0001f600\U0001f600\U0001f600", "llo "]
+    data, offsets = text_buffer(pa.array(texts))
+    got = features.families(Words(data, offsets, lower=False), offsets)
+    for (index, bounds), n in zip(got[1:], (3, 4)):
+        grams = [[t[j:j + n] for j in range(len(t) - n + 1)] for t in texts]
+        assert np.diff(bounds).tolist() == [len(g) for g in grams]
+        flat = [g for one in grams for g in one]
+        cells = {}
+        assert all(cells.setdefault(g, i) == i for g, i in zip(flat, index.tolist())) and len(set(cells.values())) == len(cells)
+
+
 def test_quality(spark, docs, labels):
     model = quality_rules.fit(docs, labels)
     got = quality_rules.apply_rules(docs, model).collect()
