@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, blob, mix, partitions, slices, stored, text_buffer
+from .common import Words, blob, mix, partitions, slices, stored, text_buffer, tidy
 
 SEQUENCE = 2048
 #: Id that ends every document.
@@ -24,6 +24,10 @@ BITS = 8
 REMEMBERED = 2_000_000
 #: Words that are encoded in one line.
 LINE = 500
+#: Lines or pieces that are encoded at once; an encoding takes far more than its ids.
+ENCODED = 256
+#: Text of one pass; its words, hashes and ids take some fifty bytes a byte.
+PASS_BYTES = 1 << 19
 
 # 1: ASCII letters and digits, 2: ASCII punctuation apart from ' < | >
 _KIND = np.zeros(256, np.uint8)
@@ -103,9 +107,12 @@ class WordIds:
         self.flat = np.concatenate((self.flat, flat))
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter(chain.from_iterable(got), np.uint16, int(size.sum())), size
+        flat, size = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for at in range(0, len(texts), ENCODED):
+            got = [e.ids for e in _tokenizer(self.path).encode_batch_fast(texts[at:at + ENCODED], add_special_tokens=False)]
+            size.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter(chain.from_iterable(got), np.uint16, int(size[-1].sum())))
+        return np.concatenate(flat), np.concatenate(size)
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words of a slice in order, and ids per word."""
@@ -187,7 +194,7 @@ def tokenised(docs: DataFrame, text: str, payload: list[str], tokenizer: str) ->
 
     def run(batches):
         memory = _memory(tokenizer)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", PASS_BYTES):
             words = pieces(*text_buffer(part.column("text")))
             ids, per_word = memory.encode(words)
             ends = np.concatenate(([0], np.cumsum(per_word)))[words.first]
@@ -196,7 +203,7 @@ def tokenised(docs: DataFrame, text: str, payload: list[str], tokenizer: str) ->
                 [part.column("doc"), pa.array(hilbert_key(project(words), BITS)), pa.array(np.diff(ends) + 1),
                  pa.array(each, pa.binary())], ["doc", "curve", "tokens", "ids"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def _running_offsets(rows: DataFrame) -> DataFrame:
@@ -237,7 +244,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", payload: list[str]
                            *[F.lit(0).cast("long").alias(c) for c in ("doc_tokens", "sequence_id", "offset")]).schema
 
     def run(batches):
-        for part in slices(batches, "ids"):
+        for part in slices(batches, "ids", PASS_BYTES):
             row, start, length, ids, whole, number, offset = [], [], [], [], [], [], []
             for i, (at, own) in enumerate(zip(part.column("at").to_pylist(), part.column("ids").to_pylist())):
                 n, begin = len(own) // 2, 0
@@ -257,7 +264,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", payload: list[str]
                  pa.array(ids, pa.binary()), pa.array(whole, pa.int64()), pa.array(number, pa.int64()),
                  pa.array(offset, pa.int64())], schema.names)
 
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(tidy(run), schema)
 
 
 def ids_crc32(pieces: DataFrame) -> DataFrame:
@@ -271,4 +278,4 @@ def ids_crc32(pieces: DataFrame) -> DataFrame:
             crc = [zlib.crc32(np.frombuffer(x, np.uint16).astype("<u4").tobytes()) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(crc, pa.int64()), *batch.columns[at + 1:]], schema.names)
 
-    return pieces.mapInArrow(run, schema)
+    return pieces.mapInArrow(tidy(run), schema)

@@ -48,6 +48,23 @@ def test_pieces_keep_the_ids_of_odd_texts():
         assert [[*ids[a:b].tolist(), 1] for a, b in zip(ends, ends[1:])] == brute.token_ids(some, TOKENIZER)
 
 
+def test_few_pieces_are_encoded_at_once(monkeypatch):
+    """The encodings of a slice's pieces, held together, took a worker's memory."""
+    own, seen = packing._tokenizer(TOKENIZER), []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            seen.append(len(texts))
+            return own.encode_batch_fast(texts, **options)
+
+        get_vocab = staticmethod(own.get_vocab)
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Watched())
+    text = " ".join(f"w{i} é{i}" for i in range(3000))
+    ids, _ = packing.WordIds(TOKENIZER).encode(packing.pieces(*text_buffer(pa.array([text]))))
+    assert max(seen) <= packing.ENCODED < sum(seen) and [*ids.tolist(), 1] == brute.token_ids([text], TOKENIZER)[0]
+
+
 def test_hilbert_key_visits_neighbours():
     side = np.stack(np.meshgrid(range(8), range(8), range(8), indexing="ij"), -1).reshape(-1, 3)
     key = packing.hilbert_key(side, 3)
