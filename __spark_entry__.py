@@ -37,7 +37,7 @@ from tallyhouse.functions.exprs import (  # noqa: E402
 from tallyhouse.operators.cohort import cohort_sizes  # noqa: E402
 from tallyhouse.operators.ranges import rank_by, row_numbers  # noqa: E402
 from tallyhouse.operators.series import mom_growth  # noqa: E402
-from tallyhouse.sources.sinks import csv_files, write_table  # noqa: E402
+from tallyhouse.sources.sinks import csv_files, write_table, written_back  # noqa: E402
 from tallyhouse.sources.tables import SOURCE_COLUMNS, raw_sources, read_csv_typed, read_table  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -171,12 +171,13 @@ def q_scan_ne(spark, sf_dir):
 
 def q_csv_round_trip(spark, sf_dir):
     """The raw orders written as CSV by two producers, one with another column order
-    and a column more, and read back by name."""
+    and a column more, and read back by name. Both write from rows stored once."""
     orders, base = _raw(spark, sf_dir)["raw_orders"], f"{shared_dir(spark)}/landed"
     columns = SOURCE_COLUMNS["raw_orders"]
     completed = status_norm("status").eqNullSafe("completed")
-    csv_files(orders.where(completed), f"{base}/one")
-    csv_files(orders.where(~completed).select(*reversed(columns), F.lit('two, "quoted"\nlines').alias("note")), f"{base}/two")
+    orders = written_back(orders.select(*columns, completed.alias("completed")), "raw-orders")
+    csv_files(orders.where("completed").select(*columns), f"{base}/one")
+    csv_files(orders.where("NOT completed").select(*reversed(columns), F.lit('two, "quoted"\nlines').alias("note")), f"{base}/two")
     return read_csv_typed(spark, base, columns)
 
 

@@ -71,6 +71,13 @@ def test_every_value_comes_back(spark):
     assert rows(read_csv_typed(spark, csv_files(table, f"{shared_dir(spark)}/values"))) == sorted(((str(i), v) for i, v in enumerate(values)), key=str)
 
 
+def test_rows_of_both_producers_are_computed_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(E, "csv_files", lambda df, path: written.append(df._jdf.queryExecution().executedPlan().toString()) or csv_files(df, path))
+    E.queries()["csv_round_trip"](spark, SF_SMALL)
+    assert len(written) == 2 and not any("Join" in plan for plan in written)
+
+
 def test_no_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_csv_typed(spark, str(tmp_path))
