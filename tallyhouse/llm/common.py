@@ -56,8 +56,11 @@ def _powers(n: int) -> np.ndarray:
 
 def release_memory() -> None:
     """Give freed memory back to the system: a Python worker serves many stages, and
-    its allocators would keep it."""
+    its allocators would keep it. What the first call finds in use, mostly modules, is
+    not searched for garbage again: that took more time than a small task's work."""
     gc.collect()
+    if not gc.get_freeze_count():
+        gc.freeze()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
     if trim is not None:

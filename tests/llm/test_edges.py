@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import gc
 import random
 from datetime import date as D
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 import brute
 from tallyhouse.llm import chat, cotraining, embeddings, features, language, lm, mixing, ngram_join, packing, pages, quality_rules
-from tallyhouse.llm.common import Words, slices, text_buffer
+from tallyhouse.llm.common import Words, release_memory, slices, text_buffer
+from tallyhouse.llm.components import components
 from tallyhouse.llm.queries import TOKENIZER
 
 LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
@@ -337,3 +339,20 @@ def test_language_tells_letters_beyond_the_alphabet(spark):
     got = language.phrases([text(k, 200) for k in sets], model, language.symbol_table(model.symbol))[0] * model.cost
     assert [model.languages[i] for i in got.argmin(1)] == list(sets)
     assert got[1, 2] > 1.1 * got[1, 1] and got[2, 1] > 1.1 * got[2, 2]
+
+
+def test_components_of_stars_need_no_round_and_chains_end(spark):
+    """A round on what is stars already, to see that it changes nothing, took most tasks of the join."""
+    stars = spark.createDataFrame([(5, 1), (1, 7), (9, 2), (9, 9), (5, 1), (None, 3)], "u long, v long")
+    assert sorted(map(tuple, components(stars, max_rounds=0).collect())) == [(1, 1), (2, 2), (5, 1), (7, 1), (9, 2)]
+    assert components(stars.limit(0), max_rounds=0).count() == 0
+    chain = [3, 14, 1, 5, 9, 2, 6, 8, 7, 11]
+    edges = spark.createDataFrame([*zip(chain, chain[1:]), (20, 30), (30, 25), (20, 25)], "u long, v long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(edges, max_rounds=0)
+    assert sorted(map(tuple, components(edges).collect())) == sorted([(n, 1) for n in chain] + [(n, 20) for n in (20, 25, 30)])
+
+
+def test_release_memory_does_not_search_the_modules_again():
+    release_memory()
+    assert gc.get_freeze_count() > 0
