@@ -28,9 +28,10 @@ from .components import components
 WORDS = 5
 NUM, DEN = 75, 100
 #: Hashed counters that rank shingles by frequency; the order may be any, so
-#: their fixed number affects speed only.
-COUNTER_BITS = 20
-CHUNK = 1 << 14
+#: their fixed number affects speed only; too few of them for the shingles of a
+#: corpus tell rare ones from others no more, and candidates grow faster than it.
+COUNTER_BITS = 22
+CHUNK = 1 << 16
 #: A shingle is frequent when its counter exceeds twice the mean by so much.
 FREQUENT = 64
 #: Entries that a task holds before it hands them on.
@@ -79,48 +80,67 @@ def set_ids(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sizes_and_counters(docs: DataFrame) -> DataFrame:
-    """One pass over all texts: a row (doc_id, n, id) per document, and per task
-    the hashed counters of its shingles in compressed chunks (chunk, counters)."""
+    """One pass over all texts: a row (doc_id, n, id, sketch) per document, and per task
+    the hashed counters of its shingles in compressed chunks (chunk, counters). Of
+    equal sets that a task meets the first alone has its sketch."""
     def run(batches):
-        counters = np.zeros(1 << COUNTER_BITS, np.uint32)
+        counters, seen = np.zeros(1 << COUNTER_BITS, np.uint32), set()
         for part in slices(batches, "text", PASS_BYTES):
             hashes, bounds = shingle_sets(batch_words(part, "text", lower=True))
-            counters += np.bincount((hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counters)).astype(np.uint32)
-            none = pa.nulls(part.num_rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(set_ids(hashes, bounds)), none,
-                                              pa.nulls(part.num_rows, pa.binary())],
-                                             ["doc_id", "n", "id", "chunk", "counters"])
+            np.add.at(counters, (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), np.uint32(1))
+            ids, sketches = set_ids(hashes, bounds), []
+            for i, a, b in zip(ids.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                sketches.append(None if a == b or i in seen else sketch(hashes[a:b]))
+                seen.add(i)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(ids), pa.array(sketches, pa.binary()),
+                                              pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())],
+                                             ["doc_id", "n", "id", "sketch", "chunk", "counters"])
         if counters.any():
             chunks = counters.reshape(-1, CHUNK)
             k = len(chunks)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(np.arange(k, dtype=np.int32)),
-                 pa.array([zlib.compress(blob(c), 1) for c in chunks], pa.binary())], ["doc_id", "n", "id", "chunk", "counters"])
+                [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()),
+                 pa.array(np.arange(k, dtype=np.int32)), pa.array([counter_bytes(c) for c in chunks], pa.binary())],
+                ["doc_id", "n", "id", "sketch", "chunk", "counters"])
+
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, id long, sketch binary, chunk int, counters binary")
+
+
+def counter_bytes(counters: np.ndarray) -> bytes:
+    """Compressed byte planes of 32-bit counters; all but the lowest are mostly empty."""
+    return zlib.compress(blob(np.ascontiguousarray(counters, "<u4").view(np.uint8).reshape(-1, 4).T), 6)
+
+
+def counters_of(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
 
-    return docs.mapInArrow(tidy(run), "doc_id long, n long, id long, chunk int, counters binary")
+def _rank(counts: np.ndarray) -> np.ndarray:
+    """Rank of counts, finer than powers of two."""
+    return np.minimum(255, 4 * np.log2(counts + 1)).astype(np.uint8)
 
 
 def ranks(counted: DataFrame) -> tuple[np.ndarray, int]:
-    """Rank of every counter (finer than powers of two) and the least frequent
-    rank. The table has a fixed size; tasks add up chunks as they stream by."""
+    """Rank of every counter and the least frequent rank. The table has a fixed
+    size; tasks add up chunks as they stream by, the driver gets a byte a counter."""
     spark = counted.sparkSession
 
     def run(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[c] = sums.get(c, 0) + np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64)
+                sums[c] = sums.get(c, 0) + counters_of(x).astype(np.uint64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([blob(s) for s in sums.values()], pa.binary())],
-                                             ["chunk", "counters"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([blob(_rank(s)) for s in sums.values()], pa.binary())],
+                                             ["chunk", "ranks"])
 
     rows = (counted.where("chunk IS NOT NULL").select("chunk", "counters").repartition(partitions(spark), "chunk")
-            .mapInArrow(tidy(run), "chunk int, counters binary").collect())
-    total = np.zeros(1 << COUNTER_BITS, np.float64)
+            .mapInArrow(tidy(run), "chunk int, ranks binary").collect())
+    rank = np.zeros(1 << COUNTER_BITS, np.uint8)
     for r in rows:
-        total[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counters"], np.uint64)
-    rank = lambda c: np.minimum(255, 4 * np.log2(c + 1)).astype(np.uint8)
-    return rank(total), int(rank(np.array([2 * total.mean() + FREQUENT]))[0]) + 1
+        rank[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["ranks"], np.uint8)
+    mean = (counted.where("chunk IS NULL").agg(F.sum("n")).first()[0] or 0) / len(rank)  # each shingle of a set counts once
+    return rank, int(_rank(np.array([2 * mean + FREQUENT]))[0]) + 1
 
 
 def signatures(hashes: np.ndarray, rank: np.ndarray, frequent: int) -> np.ndarray:
@@ -137,7 +157,7 @@ def signatures(hashes: np.ndarray, rank: np.ndarray, frequent: int) -> np.ndarra
     for b in (band, band + 1):
         if DEN * n < NUM << b:
             continue
-        groups = (1 << b) // 8
+        groups = (1 << b) // 4
         salt = mix(np.array([b + 1000], np.uint64))[0]
         if not groups:  # small sets: frequent shingles singly
             out.append(mix(common[:max(0, need - rare)] ^ salt))
@@ -194,8 +214,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> DataFrame:
     """Index entries of all texts, packed per part of the signature space: rows
-    (part, entries); and per distinct set a row (id, n, sketch). Equal sets
-    that a task meets are indexed once."""
+    (part, entries). Equal sets that a task meets are indexed once."""
     shared = docs.sparkSession.sparkContext.broadcast((rank, frequent))
 
     def run(batches):
@@ -209,14 +228,11 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
             entries, part = entries[order], part[order]
             cut = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             blobs = [packed(e) for e in np.split(entries, cut[1:])]
-            k = len(blobs)
-            return pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary()), pa.nulls(k, pa.int64()),
-                                               pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], ["part", "entries", "id", "n", "sketch"])
+            return pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "entries"])
 
         for piece in slices(batches, "text", PASS_BYTES):
             hashes, bounds = shingle_sets(batch_words(piece, "text", lower=True))
             ids, order = set_ids(hashes, bounds).tolist(), rank[(hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-            new_ids, new_n, new_sketch = [], [], []
             for i, a, b in zip(ids, bounds[:-1].tolist(), bounds[1:].tolist()):
                 if a == b or i in seen:
                     continue
@@ -226,24 +242,16 @@ def indexed(docs: DataFrame, rank: np.ndarray, frequent: int, parts: int) -> Dat
                 one["sig"], one["id"], one["n"] = sigs, i, b - a
                 held.append(one)
                 total += len(one)
-                new_ids.append(i)
-                new_n.append(b - a)
-                new_sketch.append(sketch(hashes[a:b]))
-            k = len(new_ids)
-            if k:
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.array(new_ids, pa.int64()),
-                                                  pa.array(new_n, pa.int32()), pa.array(new_sketch, pa.binary())],
-                                                 ["part", "entries", "id", "n", "sketch"])
             if total >= HELD:
                 yield give()
                 held, total, seen = [], 0, set()
         if held:
             yield give()
 
-    return docs.mapInArrow(tidy(run), "part int, entries binary, id long, n int, sketch binary")
+    return docs.mapInArrow(tidy(run), "part int, entries binary")
 
 
-def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
+def shared_signatures(index: DataFrame) -> DataFrame:
     """(sig, id, n, size, times) of every signature that ``size`` sets have, two or more.
 
     A near copy shares many signatures with the same few sets, so signatures with
@@ -278,7 +286,7 @@ def shared_signatures(index: DataFrame, parts: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(lists[a:a + 100_000]), pa.array(e["id"].copy()), pa.array(e["n"].copy()),
                                               pa.array(size[a:a + 100_000]), pa.array(times[a:a + 100_000])], ["sig", "id", "n", "size", "times"])
 
-    return (index.where("part IS NOT NULL").select("part", "entries").repartition(partitions(index.sparkSession), "part")
+    return (index.repartition(partitions(index.sparkSession), "part")
             .mapInArrow(tidy(run), "sig long, id long, n int, size int, times long").groupBy("sig", "id")
             .agg(F.min("n").alias("n"), F.max("size").alias("size"), F.sum("times").alias("times")))
 
@@ -321,11 +329,11 @@ def _link(x: bytes, y: bytes, m: int, n: int) -> bool:
     return DEN * common >= NUM * (m + n - common)
 
 
-def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataFrame, passed: DataFrame | None = None) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, counted: DataFrame, passed: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) of set ids that link: bitmaps rule out what cannot, then the
     sets of the others, and of pairs whose bitmaps have ``passed`` before, are
     built again from their texts and compared. ``pairs`` is a stored table."""
-    pairs = _similar(pairs, _sketches(index, pairs.select(F.explode(F.array("a", "b")).alias("id"))),
+    pairs = _similar(pairs, _sketches(counted, pairs.select(F.explode(F.array("a", "b")).alias("id"))),
                      "sketch", _may_link, "jaccard-candidates")
     if passed is not None:
         pairs = stored(pairs.union(passed).distinct(), "jaccard-open")
@@ -344,14 +352,17 @@ def verified(pairs: DataFrame, index: DataFrame, docs: DataFrame, counted: DataF
                  pa.array([blob(hashes[bounds[i]:bounds[i + 1]]) for i in at], pa.binary())], ["id", "n", "hashes"])
 
     wanted = stored(wanted, "jaccard-wanted")
-    sets = stored(_perhaps_in(docs, wanted).join(wanted, "doc_id").select("want", "text").mapInArrow(tidy(run), "id long, n int, hashes binary")
-                  .dropDuplicates(["id"]), "jaccard-sets")
+    sets = stored(_perhaps_in(docs, wanted).join(wanted, "doc_id").select("want", "text").mapInArrow(tidy(run), "id long, n int, hashes binary"),
+                  "jaccard-sets")
+    # one row per set, but where a row is repeated with its doc_id; else the sets need not be shuffled for that
+    if not sets.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        sets = sets.dropDuplicates(["id"])
     return _similar(pairs, sets, "hashes", _link, "jaccard-links")
 
 
-def _sketches(index: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sketches(counted: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, n, sketch) of each set that is in ``wanted``, and of some that are not."""
-    rows = index.where("id IS NOT NULL").select("id", "n", "sketch")
+    rows = counted.where("sketch IS NOT NULL").select("id", "n", "sketch")
     return _perhaps_in(rows, wanted, "id").dropDuplicates(["id"])
 
 
@@ -376,7 +387,7 @@ def _bits_apart(x: np.ndarray, m: int, many: np.ndarray, n: np.ndarray) -> np.nd
     return DEN * most >= NUM * (m + n - most)
 
 
-def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _open_pairs(live: DataFrame, groups: DataFrame, counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs that share a signature, fit in size and lie in different
     groups so far: those whose bitmaps are still to be compared, and the others.
 
@@ -392,7 +403,7 @@ def _open_pairs(live: DataFrame, groups: DataFrame, index: DataFrame) -> tuple[D
                    .where("lo <> hi").select("sig", "size"), "jaccard-mixed")
     small = entries.join(mixed.where(F.col("size") <= SMALL), "sig").withColumn("sketch", F.lit(None).cast("binary"))
     large = stored(entries.join(mixed.where(F.col("size") > SMALL), "sig"), "jaccard-large")
-    large = large.join(_sketches(index, large.select("id")).drop("n"), "id")
+    large = large.join(_sketches(counted, large.select("id")).drop("n"), "id")
     return (stored(_cell_pairs(small).distinct(), "jaccard-small-pairs"), stored(_cell_pairs(large).distinct(), "jaccard-large-pairs"))
 
 
@@ -507,8 +518,8 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     rank, frequent = ranks(counted)
     parts = 4 * partitions(spark)
     usable = docs.where("doc_id IS NOT NULL")
-    index = stored(indexed(usable, rank, frequent, parts), "jaccard-index")
-    live = stored(shared_signatures(index, parts), "jaccard-live")
+    # the entries are many times the rest: they are shuffled once, and not stored before
+    live = stored(shared_signatures(indexed(usable, rank, frequent, parts)), "jaccard-live")
     # an original shares all its signatures with its copies, which differ from
     # one another: per signature, the set whose signatures are most shared
     weight = live.groupBy("id").agg(F.sum(F.col("size") * F.col("times")).alias("weight"))
@@ -519,10 +530,10 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     stars = live.join(pivots, "sig").where(fits & (F.col("id") != F.col("a"))).groupBy("id", "a").agg(F.sum("times").alias("shared"))
     # the pivot that a set shares most signatures with; the second pass sees to the rest
     stars = stars.groupBy("id").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", F.col("id").alias("b"))
-    links = verified(stored(stars, "jaccard-stars"), index, usable, counted)
+    links = verified(stored(stars, "jaccard-stars"), usable, counted)
     groups = stored(components(links.withColumnRenamed("a", "u").withColumnRenamed("b", "v")), "jaccard-groups")
-    small, large = _open_pairs(live, groups, index)
-    more = verified(small, index, usable, counted, large)
+    small, large = _open_pairs(live, groups, counted)
+    more = verified(small, usable, counted, large)
     links = links.union(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     groups = stored(components(links).withColumnRenamed("node", "id"), "jaccard-groups")
 
