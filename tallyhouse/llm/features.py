@@ -21,6 +21,8 @@ WIDTH = FAMILIES << BITS
 SCALE = 50.0
 #: Text of one pass; its features take some hundred bytes a byte.
 PASS_BYTES = 1 << 19
+#: Sparse features that a fit takes at once.
+BLOCK_FEATURES = 1 << 18
 #: Labelled documents per class that a model is fitted on at most.
 PER_CLASS = 1000
 #: Layout features of a text, see :func:`layout`.
@@ -197,17 +199,24 @@ def labelled_sample(labels: DataFrame, doc_id: str, label: str, per_class: int)
 
 
 def fit_sparse(rows: Rows, at: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 120) -> tuple[np.ndarray, float]:
-    """Logistic regression with a small ridge by Adam over all rows of ``at``."""
-    index = np.concatenate([rows.index[i] for i in at] or [np.zeros(0, np.int32)])
-    value = np.concatenate([rows.value[i] for i in at] or [np.zeros(0, np.float32)])
+    """Logistic regression with a small ridge by Adam over all rows of ``at``, whose
+    features are taken in blocks: the driver never holds numbers of all of them at once."""
     size = np.array([len(rows.index[i]) for i in at], np.int64)
-    owner = np.repeat(np.arange(len(at)), size)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // BLOCK_FEATURES, prepend=-1))
+    blocks = [(a, np.concatenate([rows.index[i] for i in at[a:b]]), np.concatenate([rows.value[i] for i in at[a:b]]),
+               np.repeat(np.arange(b - a, dtype=np.int32), size[a:b])) for a, b in zip(cuts, [*cuts[1:], len(at)])]
     w, b = np.zeros(WIDTH), 0.0
     m, v, mb, vb = np.zeros(WIDTH), np.zeros(WIDTH), 0.0, 0.0
+    margin = np.zeros(len(at))
     for t in range(1, rounds + 1):
-        margin = np.bincount(owner, value * w[index], len(at)) + b
-        gap = weight * (1 / (1 + np.exp(-margin)) - y)
-        g = np.bincount(index, value * gap[owner], WIDTH) + 1e-4 * w
+        for a, index, value, owner in blocks:
+            got = np.bincount(owner, value * w[index])
+            margin[a:a + len(got)] = got
+        gap = weight * (1 / (1 + np.exp(-margin - b)) - y)
+        g = np.zeros(WIDTH)
+        for a, index, value, owner in blocks:
+            np.add.at(g, index, value * gap[a + owner])
+        g += 1e-4 * w
         gb = gap.sum()
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
